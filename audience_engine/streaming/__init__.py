@@ -1,0 +1,8 @@
+"""Streaming.
+
+The job this library rebuilds calls its play log a "click stream" but reads
+it as a bounded batch; it has no streaming source, watermark, window or state.
+Nothing is built here (see README): every operator already accepts any
+DataFrame, so a caller with a streaming source can run the relational steps
+per micro-batch with ``foreachBatch``.
+"""
