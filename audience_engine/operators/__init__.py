@@ -4,6 +4,7 @@
 from .activity import Activity, build_activity, index_ids, label_frequencies, play_counts, rank_labels
 from .audience import (
     attach_clusters,
+    broadcast_if_small,
     build_audience,
     cluster_artist_hits,
     cluster_artist_hits_from_clustered,
@@ -34,15 +35,15 @@ from .ctr import (
     target_counts_from_notified,
     top_notifications,
 )
-from .factors import factor_vectors, fit_taste_factors, standardise, user_factors
+from .factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
 
 __all__ = [
     "Activity", "build_activity", "index_ids", "label_frequencies", "play_counts", "rank_labels",
-    "attach_clusters", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
+    "attach_clusters", "broadcast_if_small", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
     "notified_users", "top_artist_per_cluster", "user_clusters",
     "KChoice", "assign_clusters", "centres_frame", "choose_k", "cluster_sizes", "cluster_users", "fit_kmeans",
     "mean_centres", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
-    "factor_vectors", "fit_taste_factors", "standardise", "user_factors",
+    "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",
 ]

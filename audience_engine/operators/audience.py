@@ -11,15 +11,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def attach_clusters(activity: DataFrame, user_cluster: DataFrame, broadcast: bool = False) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows
+    (a bounded job: it stops reading after ``max_rows + 1`` rows); otherwise
+    the frame is returned as is and the join shuffles."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def attach_clusters(activity: DataFrame, user_cluster: DataFrame, broadcast: bool = False,
+                    broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Activity rows with their user's cluster.
 
     The reference forced a broadcast of the per-user table; that table grows
-    with the user count, so here it is a switch and AQE otherwise picks the
-    strategy from runtime sizes (and splits a skewed user's partition)."""
+    with the user count, so here the broadcast is a switch guarded by a row
+    count check, and by default AQE picks the strategy from runtime sizes
+    (and splits a skewed user's partition)."""
     clusters = user_cluster.select("UserIndex", "cluster")
     if broadcast:
-        clusters = F.broadcast(clusters)
+        clusters = broadcast_if_small(clusters, broadcast_max_rows)
     return activity.join(clusters, "UserIndex").select(
         "UserIndex", "UserId", "SongId", "SongIndex", "hits", "cluster")
 

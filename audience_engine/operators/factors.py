@@ -47,6 +47,13 @@ def factor_vectors(factors: DataFrame, rank: int, include_id: bool = True,
     return assembled.select(id_col, "features")
 
 
+def vectorize_columns(df: DataFrame, exclude: tuple[str, ...] = (), out_col: str = "features") -> DataFrame:
+    """M7: every column (but ``exclude``) assembled into one vector column,
+    in column order - the reference's general helper."""
+    cols = [c for c in df.columns if c not in exclude and c != out_col]
+    return VectorAssembler(inputCols=cols, outputCol=out_col).transform(df)
+
+
 def standardise(vectors: DataFrame, id_col: str = "id", features_col: str = "features") -> DataFrame:
     """M8: subtract the mean and divide by the sample standard deviation,
     per dimension; (id, features).  One aggregation job for the moments."""

@@ -56,13 +56,14 @@ def _notification_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notification_artist_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw notification -> artist rows (NotificationId, ArtistId)."""
-    ks = _notification_ids(spark, sf_dir)
-    first = ks.select(F.col("k").alias("NotificationId"), (F.col("k") % ARTIST_COUNT + 1).alias("ArtistId"))
-    second = (ks.where(F.col("k") % SECOND_ARTIST_EVERY == 0)
-              .select(F.col("k").alias("NotificationId"),
-                      ((F.col("k") + SECOND_ARTIST_SHIFT) % ARTIST_COUNT + 1).alias("ArtistId")))
-    return first.unionByName(second)
+    """Raw notification -> artist rows (NotificationId, ArtistId): one scan of
+    ``events``, one distinct, then one or two artist rows per notification."""
+    k = F.col("k")
+    first = k % ARTIST_COUNT + 1
+    second = (k + SECOND_ARTIST_SHIFT) % ARTIST_COUNT + 1
+    artists = F.when(k % SECOND_ARTIST_EVERY == 0, F.array(first, second)).otherwise(F.array(first))
+    return (_notification_ids(spark, sf_dir)
+            .select(k.alias("NotificationId"), F.explode(artists).alias("ArtistId")))
 
 
 def notification_clicks_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
