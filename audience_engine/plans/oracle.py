@@ -166,38 +166,25 @@ _TAILS = {
     "q_sink_single": _top("ctr_reference", "notificationClicks"),
 }
 
-# Standardised (id, first four embedding values): (x - mean) / sample sd.
-_SCALED = """
-WITH v AS (
-    SELECT vec_id AS id, CAST(vec_id AS DOUBLE) AS c0, CAST(embedding[1] AS DOUBLE) AS c1,
-           CAST(embedding[2] AS DOUBLE) AS c2, CAST(embedding[3] AS DOUBLE) AS c3, CAST(embedding[4] AS DOUBLE) AS c4
+# Standardised vectors in long form (id, dim, value): dimension 0 is the id
+# itself when it is a feature, then every embedding value; (x - mean) / sample sd.
+def _scaled(with_id: bool) -> str:
+    first = "0" if with_id else "1"
+    shift = "" if with_id else " - 1"
+    id_rows = ("SELECT vec_id AS id, 0 AS d, CAST(vec_id AS DOUBLE) AS v FROM embeddings UNION ALL "
+               if with_id else "")
+    return f"""
+WITH x AS (
+    {id_rows}SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) AS INTEGER) AS d,
+           CAST(unnest(embedding) AS DOUBLE) AS v
     FROM embeddings
 ),
-m AS (
-    SELECT avg(c0) AS m0, stddev_samp(c0) AS s0, avg(c1) AS m1, stddev_samp(c1) AS s1, avg(c2) AS m2,
-           stddev_samp(c2) AS s2, avg(c3) AS m3, stddev_samp(c3) AS s3, avg(c4) AS m4, stddev_samp(c4) AS s4
-    FROM v
-)
-SELECT id, round((c0 - m0) / s0, 6) AS x0, round((c1 - m1) / s1, 6) AS x1, round((c2 - m2) / s2, 6) AS x2,
-       round((c3 - m3) / s3, 6) AS x3, round((c4 - m4) / s4, 6) AS x4
-FROM v CROSS JOIN m
+m AS (SELECT d, avg(v) AS mu, stddev_samp(v) AS sd FROM x GROUP BY d)
+SELECT x.id, CAST(x.d{shift} AS INTEGER) AS dim, round((x.v - m.mu) / m.sd, 6) AS value
+FROM x JOIN m ON x.d = m.d
+WHERE x.d >= {first}
 """
 
-_SCALED_NO_ID = """
-WITH v AS (
-    SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS c1, CAST(embedding[2] AS DOUBLE) AS c2,
-           CAST(embedding[3] AS DOUBLE) AS c3, CAST(embedding[4] AS DOUBLE) AS c4
-    FROM embeddings
-),
-m AS (
-    SELECT avg(c1) AS m1, stddev_samp(c1) AS s1, avg(c2) AS m2, stddev_samp(c2) AS s2,
-           avg(c3) AS m3, stddev_samp(c3) AS s3, avg(c4) AS m4, stddev_samp(c4) AS s4
-    FROM v
-)
-SELECT id, round((c1 - m1) / s1, 6) AS x0, round((c2 - m2) / s2, 6) AS x1, round((c3 - m3) / s3, 6) AS x2,
-       round((c4 - m4) / s4, 6) AS x3
-FROM v CROSS JOIN m
-"""
 
 # Per embedding value: (vec_id, label, dimension, value).
 _POINTS = """
@@ -248,8 +235,8 @@ FROM per_point
 
 def oracle_sql() -> dict[str, str]:
     out = {name: _BASE + tail for name, tail in _TAILS.items()}
-    out["q_factor_vectors_scaled"] = _SCALED
-    out["q_factor_vectors_no_id"] = _SCALED_NO_ID
+    out["q_factor_vectors_scaled"] = _scaled(True)
+    out["q_factor_vectors_no_id"] = _scaled(False)
     out["q_wssse_fixed_labels"] = _WSSSE
     out["q_silhouette_fixed_labels"] = _SILHOUETTE
     return out

@@ -94,11 +94,18 @@ class _Slice:
                                 fanout=fanout, keep_zero_click=keep_zero_click)
 
 
-def _embedding_vectors(spark: SparkSession, sf_dir: str, dims: int) -> DataFrame:
-    """(id, features array<float>) from the first ``dims`` embedding values -
-    the shape of ALS user factors."""
+def _embedding_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """(id, features array<float>) from the whole embedding - the shape of ALS
+    user factors, with the embedding width as the rank."""
     emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select(F.col("vec_id").alias("id"), F.slice("embedding", 1, dims).alias("features"))
+    width = emb.select(F.max(F.size("embedding")).alias("w")).first().w
+    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features")), int(width)
+
+
+def _long_vectors(vecs: DataFrame) -> DataFrame:
+    """(id, dim, value rounded to 6 places) from (id, features vector)."""
+    return (vecs.select("id", F.posexplode(vector_to_array("features")).alias("dim", "value"))
+            .select("id", "dim", F.round("value", 6).alias("value")))
 
 
 def _embedding_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,16 +171,14 @@ def q_als_user_factors(spark, sf_dir):
 
 
 def q_factor_vectors_scaled(spark, sf_dir):
-    """M6-M8, P7 on embedding values: id + 4 values, standardised."""
-    vecs = standardise(factor_vectors(_embedding_vectors(spark, sf_dir, CFG.rank), rank=CFG.rank, include_id=True))
-    arr = vector_to_array("features")
-    return vecs.select("id", *[F.round(arr[i], 6).alias(f"x{i}") for i in range(CFG.rank + 1)])
+    """M6-M8, P7 on the embeddings: id + every value, standardised (long form)."""
+    raw, width = _embedding_vectors(spark, sf_dir)
+    return _long_vectors(standardise(factor_vectors(raw, rank=width, include_id=True)))
 
 
 def q_factor_vectors_no_id(spark, sf_dir):
-    vecs = standardise(factor_vectors(_embedding_vectors(spark, sf_dir, CFG.rank), rank=CFG.rank, include_id=False))
-    arr = vector_to_array("features")
-    return vecs.select("id", *[F.round(arr[i], 6).alias(f"x{i}") for i in range(CFG.rank)])
+    raw, width = _embedding_vectors(spark, sf_dir)
+    return _long_vectors(standardise(factor_vectors(raw, rank=width, include_id=False)))
 
 
 def q_kmeans_clusters(spark, sf_dir):
