@@ -42,14 +42,14 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
 
     1. range-partition and sort by (frequency desc, label asc) - a total order;
     2. tag each row with its partition and its position there;
-    3. write that out (lineage cut: the ranks depend on where the range
+    3. write that out as a table (lineage cut: the ranks depend on where the range
        bounds fell, so they must not be recomputed differently later);
     4. partition sizes -> running offsets (one row per partition, so the
        broadcast is bounded by the partition count) -> rank = offset + position.
     """
     tagged = (freqs.orderBy(F.desc(_N), F.asc(col))
               .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID)))
-    tagged = cut_lineage(tagged)
+    tagged = cut_lineage(tagged, f"rank-{col}")
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
                .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
@@ -95,7 +95,7 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
         activity = indexed.select("UserId", "SongId", F.col("UserIndex").cast("int").alias("UserIndex"),
                                   F.col("SongIndex").cast("int").alias("SongIndex"), "hits")
         if checkpoint:
-            activity = cut_lineage(activity)
+            activity = cut_lineage(activity, "activity")
         users = activity.select("UserId", "UserIndex").distinct()
         songs = activity.select("SongId", "SongIndex").distinct()
     else:
@@ -104,6 +104,6 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
         activity = (pairs.join(users, "UserId").join(songs, "SongId")
                     .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
         if checkpoint:
-            activity = cut_lineage(activity)
+            activity = cut_lineage(activity, "activity")
     pairs.unpersist()
     return Activity(activity=activity, users=users, songs=songs)

@@ -57,9 +57,9 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
     als = fit_taste_factors(act.activity, rank=cfg.rank, max_iter=cfg.max_iter, reg=cfg.reg, alpha=cfg.alpha,
                             seed=cfg.als_seed, blocks=cfg.als_blocks)
     vectors = standardise(factor_vectors(user_factors(als), rank=cfg.rank, include_id=cfg.include_id))
-    vectors = cut_lineage(vectors)
+    vectors = cut_lineage(vectors, "vectors")
     km = fit_kmeans(vectors, k=cfg.k, seed=cfg.kmeans_seed, max_iter=cfg.kmeans_max_iter, tol=cfg.kmeans_tol)
-    uc = cut_lineage(assign_clusters(km, vectors))
+    uc = cut_lineage(assign_clusters(km, vectors), "user-cluster")
     sil = wss = None
     if cfg.evaluate:
         sil = silhouette(uc)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "audience_engine",
@@ -30,6 +30,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(total_cores: int, shuffle_bytes: int = 100 * 2**40) -> dict[str, str]:
+    """Settings for a large cluster, to pass to ``SparkSession.builder.config``
+    or spark-submit ``--conf``.
+
+    Shuffle partitions start at ~3 per core and at least one per 1 GiB of the
+    largest expected shuffle (``shuffle_bytes``, default 100 TiB), so that no
+    reduce task spills heavily; AQE then coalesces small ones to
+    ``advisoryPartitionSizeInBytes`` and splits skewed join partitions."""
+    partitions = max(3 * total_cores, shuffle_bytes // 2**30)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 2**20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 2**20),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 2**20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 2**20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.shuffle.service.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -64,12 +91,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (never a local checkpoint):
-    a lost executor then rereads the files instead of recomputing, so results
-    that depend on partition order stay fixed."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read
+    it back (never a local checkpoint).  A lost executor then rereads the
+    files instead of recomputing the lineage, so values that depend on
+    partition order stay fixed, and later plans see the table's real size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
-__all__ = ["local_session", "checkpoint_root", "scratch_path", "cut_lineage"]
+__all__ = ["local_session", "cluster_conf", "checkpoint_root", "scratch_path", "cut_lineage"]
