@@ -86,16 +86,18 @@ def top_artist_per_cluster(hits: DataFrame, n: int = 1) -> DataFrame:
     return top.withColumn("artistCluster", F.dense_rank().over(Window.orderBy("ArtistId")))
 
 
-def build_audience(clustered_users: DataFrame, cluster_artist: DataFrame, distinct: bool = True) -> DataFrame:
+def build_audience(clustered_users: DataFrame, cluster_artist: DataFrame, distinct: bool = True,
+                   unique_input: bool = False) -> DataFrame:
     """J3 (C3): (UserId, cluster, ArtistId, artistCluster) - every user of a
     cluster is in the audience of the cluster's top artist.
 
-    ``clustered_users`` is (UserId, cluster): one row per user with
-    ``distinct=True`` (``user_clusters``), or J1's activity rows for the
-    reference's bag (one row per user and song).  ``cluster_artist`` holds at
-    most k rows, hence the broadcast."""
+    ``clustered_users`` is (UserId, cluster): J1's activity rows (one per user
+    and song) or ``user_clusters`` (one per user).  ``distinct=False`` keeps
+    the reference's bag.  ``unique_input=True`` says the rows are already one
+    per user, which saves the shuffle of the distinct.  ``cluster_artist``
+    holds at most k rows, hence the broadcast."""
     users = clustered_users.select("UserId", "cluster")
-    if distinct:
+    if distinct and not unique_input:
         users = users.distinct()
     return (users.join(F.broadcast(cluster_artist.select("cluster", "ArtistId", "artistCluster")), "cluster")
             .select("UserId", "cluster", "ArtistId", "artistCluster"))

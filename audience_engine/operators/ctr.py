@@ -58,10 +58,15 @@ def target_counts_from_notified(notified: DataFrame) -> DataFrame:
     return notified.groupBy(*_GROUP).agg(F.countDistinct("UserId").alias("clusterUserCounts"))
 
 
-def target_counts(notification_artist: DataFrame, audience: DataFrame) -> DataFrame:
+def target_counts(notification_artist: DataFrame, audience: DataFrame, audience_is_set: bool = False) -> DataFrame:
     """A4 from audience sizes: distinct users per artist, joined to the
-    notification -> artist rows.  Equal to ``target_counts_from_notified``."""
-    sizes = audience.groupBy("ArtistId", "artistCluster").agg(F.countDistinct("UserId").alias("clusterUserCounts"))
+    notification -> artist rows.  Equal to ``target_counts_from_notified``.
+
+    A distinct count shuffles every audience row once more, keyed by user;
+    when the audience is known to hold each user once (``audience_is_set``)
+    a plain count gives the same number with map-side partial counts only."""
+    users = F.count(F.lit(1)) if audience_is_set else F.countDistinct("UserId")
+    sizes = audience.groupBy("ArtistId", "artistCluster").agg(users.alias("clusterUserCounts"))
     na = notification_artist.select("NotificationId", "ArtistId").distinct()
     return na.join(sizes, "ArtistId").select(*_GROUP, "clusterUserCounts")
 

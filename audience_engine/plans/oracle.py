@@ -154,6 +154,7 @@ _TAILS = {
         "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),
     "q_click_counts": "SELECT NotificationId, ArtistId, artistCluster, clusterUserClicks FROM click_groups",
     "q_target_counts": "SELECT NotificationId, ArtistId, artistCluster, clusterUserCounts FROM target_groups",
+    "q_target_counts_bag": "SELECT NotificationId, ArtistId, artistCluster, clusterUserCounts FROM target_groups",
     "q_target_counts_notified": (
         "SELECT NotificationId, ArtistId, artistCluster, clusterUserCounts FROM target_groups"),
     "q_ctr_reference": _ctr("ctr_reference"),

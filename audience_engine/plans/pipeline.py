@@ -80,7 +80,8 @@ def audience_of(listeners: ClusteredListeners, cluster_artist: DataFrame,
     """The audience; a set of users by default, the reference's bag of
     activity rows with ``distinct_audience=False``."""
     if cfg.distinct_audience:
-        return build_audience(user_clusters(listeners.users, listeners.user_cluster), cluster_artist)
+        return build_audience(user_clusters(listeners.users, listeners.user_cluster), cluster_artist,
+                              unique_input=True)
     bag = attach_clusters(listeners.activity, listeners.user_cluster, broadcast=cfg.broadcast_clusters)
     return build_audience(bag, cluster_artist, distinct=False)
 
@@ -106,7 +107,8 @@ def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str |
     cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
     audience = audience_of(listeners, cluster_artist, cfg)
     clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience)
-    ctr = notification_ctr(click_counts(clicked), target_counts(inputs.notification_artist, audience),
+    targets = target_counts(inputs.notification_artist, audience, audience_is_set=cfg.distinct_audience)
+    ctr = notification_ctr(click_counts(clicked), targets,
                            fanout=cfg.fanout, keep_zero_click=cfg.keep_zero_click)
     top = top_notifications(ctr, n=cfg.top_n, rank_by=cfg.rank_by)
     if sink_dir:

@@ -76,7 +76,8 @@ class _Slice:
         return top_artist_per_cluster(self.hits())
 
     def audience(self) -> DataFrame:
-        return build_audience(user_clusters(self.users, self.user_cluster), self.cluster_artist())
+        return build_audience(user_clusters(self.users, self.user_cluster), self.cluster_artist(),
+                              unique_input=True)
 
     def audience_bag(self) -> DataFrame:
         return build_audience(attach_clusters(self.activity, self.user_cluster), self.cluster_artist(),
@@ -90,7 +91,8 @@ class _Slice:
 
     def ctr(self, fanout: str = "reference", keep_zero_click: bool = False) -> DataFrame:
         aud = self.audience()
-        return notification_ctr(click_counts(self.clicked()), target_counts(self.inputs.notification_artist, aud),
+        targets = target_counts(self.inputs.notification_artist, aud, audience_is_set=True)
+        return notification_ctr(click_counts(self.clicked()), targets,
                                 fanout=fanout, keep_zero_click=keep_zero_click)
 
 
@@ -271,7 +273,12 @@ def q_click_counts(spark, sf_dir):
 
 def q_target_counts(spark, sf_dir):
     s = _Slice(spark, sf_dir)
-    return target_counts(s.inputs.notification_artist, s.audience())
+    return target_counts(s.inputs.notification_artist, s.audience(), audience_is_set=True)
+
+
+def q_target_counts_bag(spark, sf_dir):
+    s = _Slice(spark, sf_dir)
+    return target_counts(s.inputs.notification_artist, s.audience_bag())
 
 
 def q_target_counts_notified(spark, sf_dir):
