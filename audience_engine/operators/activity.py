@@ -41,15 +41,17 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
     """Frequency rank of every label, computed without a single-task step.
 
     1. range-partition and sort by (frequency desc, label asc) - a total order;
-    2. tag each row with its partition and its position there;
-    3. write that out as a table (lineage cut: the ranks depend on where the range
-       bounds fell, so they must not be recomputed differently later);
-    4. partition sizes -> running offsets (one row per partition, so the
+    2. tag each row with its partition and its position there, and persist;
+    3. partition sizes -> running offsets (one row per partition, so the
        broadcast is bounded by the partition count) -> rank = offset + position.
-    """
+
+    The offsets and the positions must come from the same partitioning.  The
+    persisted frame is planned once, so its range bounds are fixed; a lost
+    block is recomputed through the same shuffle with the same bounds, and the
+    total order puts every row back at the same position."""
     tagged = (freqs.orderBy(F.desc(_N), F.asc(col))
-              .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID)))
-    tagged = cut_lineage(tagged, f"rank-{col}")
+              .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID))
+              .persist(StorageLevel.MEMORY_AND_DISK))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
                .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))

@@ -1,10 +1,10 @@
 """The whole job.
 
-Lineage is cut (reliable checkpoint to the shared folder) at the two points
-every later step reads from: the indexed activity and the per-user clusters.
-A lost executor then rereads those files instead of refitting ALS and
-K-means, and the results that depend on partition order cannot change
-between the steps that use them.
+Lineage is cut (a parquet table in the shared checkpoint folder) at the two
+points later steps read from: the indexed activity (input of ALS, of the
+popularity counts and of the audience) and the scaled user vectors (output
+of ALS, input of K-means and of the cluster assignment).  A lost executor
+then rereads those files instead of refitting ALS.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
     vectors = standardise(factor_vectors(user_factors(als), rank=cfg.rank, include_id=cfg.include_id))
     vectors = cut_lineage(vectors, "vectors")
     km = fit_kmeans(vectors, k=cfg.k, seed=cfg.kmeans_seed, max_iter=cfg.kmeans_max_iter, tol=cfg.kmeans_tol)
-    uc = cut_lineage(assign_clusters(km, vectors), "user-cluster")
+    uc = assign_clusters(km, vectors)  # a narrow map over the written vectors
     sil = wss = None
     if cfg.evaluate:
         sil = silhouette(uc)
