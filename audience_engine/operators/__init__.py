@@ -21,6 +21,7 @@ from .clustering import (
     cluster_users,
     fit_kmeans,
     mean_centres,
+    model_silhouette,
     select_k,
     silhouette,
     squared_errors,
@@ -42,7 +43,7 @@ __all__ = [
     "attach_clusters", "broadcast_if_small", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
     "notified_users", "top_artist_per_cluster", "user_clusters",
     "KChoice", "assign_clusters", "centres_frame", "choose_k", "cluster_sizes", "cluster_users", "fit_kmeans",
-    "mean_centres", "select_k", "silhouette", "squared_errors", "wssse",
+    "mean_centres", "model_silhouette", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
     "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",

@@ -45,6 +45,14 @@ def silhouette(predictions: DataFrame, features_col: str = "features", predictio
     return ev.evaluate(predictions)
 
 
+def model_silhouette(model: KMeansModel, vectors: DataFrame) -> float:
+    """Silhouette of a fitted model's assignment; 0 when the fit found a
+    single centre (the evaluator needs two clusters)."""
+    if len(model.clusterCenters()) < 2:
+        return 0.0
+    return float(silhouette(assign_clusters(model, vectors)))
+
+
 def centres_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
     """(cluster, centre array<double>) - k rows from the fitted model."""
     schema = StructType([StructField("cluster", IntegerType(), False),
@@ -125,8 +133,7 @@ def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: flo
     rows = []
     for k in ks:
         model = fit_kmeans(vectors, k=k, seed=seed, max_iter=max_iter, tol=tol)
-        assigned = assign_clusters(model, vectors)
-        rows.append((int(k), float(silhouette(assigned)), float(model.summary.trainingCost)))
+        rows.append((int(k), model_silhouette(model, vectors), float(model.summary.trainingCost)))
     vectors.unpersist()
     scored, chosen = choose_k(rows)
     schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"

@@ -25,7 +25,7 @@ from ..operators.audience import (
     top_artist_per_cluster,
     user_clusters,
 )
-from ..operators.clustering import assign_clusters, fit_kmeans, silhouette
+from ..operators.clustering import assign_clusters, fit_kmeans, model_silhouette
 from ..operators.ctr import (
     click_counts,
     clicked_audience,
@@ -62,7 +62,7 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
     uc = assign_clusters(km, vectors)  # a narrow map over the written vectors
     sil = wss = None
     if cfg.evaluate:
-        sil = silhouette(uc)
+        sil = model_silhouette(km, vectors)
         wss = float(km.summary.trainingCost)
     return ClusteredListeners(activity=act.activity, users=act.users, user_cluster=uc, als=als, kmeans=km,
                               silhouette=sil, wssse=wss)

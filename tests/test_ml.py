@@ -146,3 +146,21 @@ def test_choose_k_rule():
     assert k == 262
     scored0, k0 = choose_k([(10, 0.0, 5.0), (11, 0.2, 4.0)])
     assert scored0[1][3] == 0.0 and k0 == 10
+
+
+def test_select_k_runs_the_sweep(spark, embedded):
+    from audience_engine.operators import select_k
+    choice = select_k(embedded.select("id", "features"), [2, 3, 4], seed=1)
+    rows = choice.metrics.orderBy("k").collect()
+    assert [r.k for r in rows] == [2, 3, 4]
+    assert rows[0].chosen and rows[0].silhouette_change == 0.0
+    assert choice.k in (2, 3, 4)
+
+
+def test_single_centre_scores_zero(spark):
+    from audience_engine.operators import model_silhouette
+    pts = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(5)], "id int, a array<double>") \
+        .select("id", array_to_vector("a").alias("features"))
+    model = fit_kmeans(pts, k=3, seed=1)
+    assert len(model.clusterCenters()) == 1
+    assert model_silhouette(model, pts) == 0.0
