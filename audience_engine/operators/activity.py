@@ -37,7 +37,7 @@ def label_frequencies(df: DataFrame, col: str, weight: str | None = None) -> Dat
     return df.groupBy(col).agg(agg.alias(_N))
 
 
-def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
+def rank_labels(freqs: DataFrame, col: str, index_col: str, table: str | None = None) -> DataFrame:
     """Frequency rank of every label, computed without a single-task step.
 
     1. range-partition and sort by (frequency desc, label asc) - a total order;
@@ -48,7 +48,10 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
     The offsets and the positions must come from the same partitioning.  The
     persisted frame is planned once, so its range bounds are fixed; a lost
     block is recomputed through the same shuffle with the same bounds, and the
-    total order puts every row back at the same position."""
+    total order puts every row back at the same position.
+
+    With ``table`` the (label, index) result is written to the shared folder
+    and the persisted frame released, so later steps read files only."""
     tagged = (freqs.orderBy(F.desc(_N), F.asc(col))
               .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID))
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -56,8 +59,13 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
     offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
                .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
     position = F.col(_MID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
-    return (tagged.join(F.broadcast(offsets), _PART)
-            .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
+    ranks = (tagged.join(F.broadcast(offsets), _PART)
+             .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
+    if table is None:
+        return ranks
+    ranks = cut_lineage(ranks, table)
+    tagged.unpersist()
+    return ranks
 
 
 def index_ids(plays: DataFrame, col: str, index_col: str, method: str = "sort",
@@ -87,8 +95,9 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
 
     The counts are taken once; both indexes are ranked from them (the sum of
     hits per label is its play count, the frequency ``StringIndexer`` uses),
-    so the raw log is read once.  The result is checkpointed: ALS, the
-    popularity counts and the audience all start from it."""
+    so the raw log is read once.  The two index tables and the activity are
+    written to the shared folder: ALS, the popularity counts and the audience
+    all start from those files."""
     pairs = play_counts(plays).persist(StorageLevel.MEMORY_AND_DISK)
     if method == "stringindexer":
         model = StringIndexer(inputCols=["UserId", "SongId"], outputCols=["UserIndex", "SongIndex"],
@@ -101,8 +110,10 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
         users = activity.select("UserId", "UserIndex").distinct()
         songs = activity.select("SongId", "SongIndex").distinct()
     else:
-        users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex")
-        songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex")
+        users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex",
+                            table="users" if checkpoint else None)
+        songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex",
+                            table="songs" if checkpoint else None)
         activity = (pairs.join(users, "UserId").join(songs, "SongId")
                     .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
         if checkpoint:
