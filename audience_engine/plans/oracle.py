@@ -3,7 +3,8 @@
 The SQL follows the reference job's own formulation - the audience as a bag
 of activity rows, the notified relation materialised, click and target
 counts from it - so that it checks the rewritten Spark plans rather than
-repeating them.  Clusters are the customer's nation, as in the registry.
+repeating them.  Clusters are the customer's nation and market segment, as in
+the registry.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ activity AS (
     FROM pairs p JOIN users u ON p.UserId = u.UserId JOIN songs s ON p.SongId = s.SongId
 ),
 user_cluster AS (
-    SELECT u.UserIndex, CAST(c.c_nationkey AS INTEGER) AS cluster
+    SELECT u.UserIndex,
+           CAST(c.c_nationkey * 10 + CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1
+                WHEN 'FURNITURE' THEN 2 WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 ELSE -1 END AS INTEGER)
+           AS cluster
     FROM users u JOIN customer c ON u.UserId = CAST(c.c_custkey AS VARCHAR)
 ),
 clustered_activity AS (
@@ -46,9 +50,9 @@ ks AS (
     SELECT DISTINCT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 ),
 notification_artist AS (
-    SELECT k AS NotificationId, k % 25 + 1 AS ArtistId FROM ks WHERE k IS NOT NULL
-    UNION ALL
-    SELECT k AS NotificationId, (k + 7) % 25 + 1 AS ArtistId FROM ks WHERE k IS NOT NULL AND k % 10 = 0
+    SELECT k AS NotificationId,
+           UNNEST(CASE WHEN k % 10 = 0 THEN [k % 25 + 1, (k + 7) % 25 + 1] ELSE [k % 25 + 1] END) AS ArtistId
+    FROM ks WHERE k IS NOT NULL
 ),
 clicks AS (
     SELECT * FROM (

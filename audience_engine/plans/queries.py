@@ -2,8 +2,9 @@
 
 Each query takes (spark, sf_dir), reads the test tables in full and returns a
 DataFrame.  Queries downstream of K-means take their clusters from the data
-itself (the customer's nation, a per-user attribute) so that the relational
-operators can be checked against SQL; the K-means queries have no SQL twin.
+itself (the customer's nation and market segment, per-user attributes) so
+that the relational operators can be checked against SQL; the K-means
+queries have no SQL twin.
 """
 
 from __future__ import annotations
@@ -58,16 +59,28 @@ K_SWEEP = list(range(250, 281, 4))
 
 # -- shared building blocks ---------------------------------------------------
 
+# The market segments of the customer table, in this order.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def customer_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(UserId, cluster): a per-user grouping taken from the data - the
+    customer's nation and market segment, ``nation * 10 + segment`` - that
+    stands in for K-means labels where the result must be checkable in SQL."""
+    seg = F.array_position(F.array(*[F.lit(x) for x in SEGMENTS]), F.col("c_mktsegment")) - 1
+    return read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("UserId"),
+        (F.col("c_nationkey") * 10 + seg).cast("int").alias("cluster"))
+
+
 class _Slice:
-    """The relational slice on data-derived clusters (customer nation)."""
+    """The relational slice on data-derived clusters (nation x segment)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.inputs = inputs_from_tables(spark, sf_dir)
         act = build_activity(self.inputs.plays)
         self.activity, self.users = act.activity, act.users
-        nation = read_table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").cast("string").alias("UserId"), F.col("c_nationkey").cast("int").alias("cluster"))
-        self.user_cluster = self.users.join(nation, "UserId").select("UserIndex", "cluster")
+        self.user_cluster = self.users.join(customer_groups(spark, sf_dir), "UserId").select("UserIndex", "cluster")
 
     def hits(self, weight: str = "pairs") -> DataFrame:
         return cluster_artist_hits(self.activity, self.user_cluster, self.inputs.song_artist, weight=weight)
