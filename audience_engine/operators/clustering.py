@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
@@ -61,13 +62,25 @@ def centres_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _as_array(df: DataFrame, col: str):
+    """A vector or array column as array<double>."""
+    if dict(df.dtypes).get(col) == "vector":
+        return vector_to_array(col)
+    return F.col(col).cast("array<double>")
+
+
+def _as_vector(df: DataFrame, col: str):
+    """A vector or array column as a vector."""
+    if dict(df.dtypes).get(col) == "vector":
+        return F.col(col)
+    return array_to_vector(col)
+
+
 def squared_errors(assigned: DataFrame, centres: DataFrame, features_col: str = "features",
                    prediction_col: str = "cluster") -> DataFrame:
     """Per-row squared distance to the assigned centre.  ``centres`` has one
     row per cluster (at most k), so it is broadcast."""
-    pts = assigned.select(F.col(prediction_col).alias("cluster"), vector_to_array(features_col).alias("_x")) \
-        if dict(assigned.dtypes).get(features_col) == "vector" else \
-        assigned.select(F.col(prediction_col).alias("cluster"), F.col(features_col).alias("_x"))
+    pts = assigned.select(F.col(prediction_col).alias("cluster"), _as_array(assigned, features_col).alias("_x"))
     return (pts.join(F.broadcast(centres), "cluster")
             .select("cluster", squared_distance("_x", "centre").alias("sq_error")))
 
@@ -81,16 +94,13 @@ def wssse(assigned: DataFrame, centres: DataFrame, features_col: str = "features
     return squared_errors(assigned, centres, features_col, prediction_col).agg(F.sum("sq_error").alias("wssse"))
 
 
-def mean_centres(assigned: DataFrame, features_col: str = "features", prediction_col: str = "cluster",
-                 dims: int | None = None) -> DataFrame:
-    """(cluster, centre): the mean point of each labelled cluster, for WSSSE of
-    a fixed labelling.  One aggregation, k output rows."""
-    x = vector_to_array(features_col) if dict(assigned.dtypes).get(features_col) == "vector" else F.col(features_col)
-    if dims is None:
-        dims = len(assigned.select(x.alias("_x")).first()[0])
-    arr = assigned.select(F.col(prediction_col).alias("cluster"), x.alias("_x"))
-    sums = arr.groupBy("cluster").agg(*[F.avg(F.col("_x")[i].cast("double")).alias(f"_m{i}") for i in range(dims)])
-    return sums.select("cluster", F.array(*[F.col(f"_m{i}") for i in range(dims)]).alias("centre"))
+def mean_centres(assigned: DataFrame, features_col: str = "features", prediction_col: str = "cluster") -> DataFrame:
+    """(cluster, centre array<double>): the mean point of each labelled
+    cluster, for the WSSSE of a fixed labelling.  One aggregation (map-side
+    partial sums), k output rows."""
+    x = _as_vector(assigned, features_col)
+    means = assigned.groupBy(F.col(prediction_col).alias("cluster")).agg(Summarizer.mean(x).alias("_m"))
+    return means.select("cluster", vector_to_array("_m").alias("centre"))
 
 
 def cluster_sizes(user_cluster: DataFrame) -> DataFrame:

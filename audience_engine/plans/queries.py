@@ -211,7 +211,7 @@ def q_kmeans_embeddings(spark, sf_dir):
 def q_wssse_fixed_labels(spark, sf_dir):
     """Squared error of each labelled cluster around its mean."""
     pts = _embedding_labelled(spark, sf_dir)
-    errs = squared_errors(pts, mean_centres(pts, dims=None))
+    errs = squared_errors(pts, mean_centres(pts))
     return errs.groupBy("cluster").agg(F.count(F.lit(1)).alias("points"),
                                        F.round(F.sum("sq_error"), 6).alias("wssse"))
 
