@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
@@ -70,9 +71,12 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
 
 def popular_artists(listeners: ClusteredListeners, song_artist: DataFrame,
                     cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """(cluster, ArtistId, artistCluster)."""
+    """(cluster, ArtistId, artistCluster).
+
+    At most k rows, but each costs a pass over the whole activity; persisted
+    so that every later action (sinks, the top report) reuses them."""
     hits = cluster_artist_hits(listeners.activity, listeners.user_cluster, song_artist, weight=cfg.weight)
-    return top_artist_per_cluster(hits)
+    return top_artist_per_cluster(hits).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def audience_of(listeners: ClusteredListeners, cluster_artist: DataFrame,
@@ -112,6 +116,8 @@ def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str |
                            fanout=cfg.fanout, keep_zero_click=cfg.keep_zero_click)
     top = top_notifications(ctr, n=cfg.top_n, rank_by=cfg.rank_by)
     if sink_dir:
+        # two actions read the clicked rows: keep them rather than join twice
+        clicked.persist(StorageLevel.MEMORY_AND_DISK)
         base = sink_dir.rstrip("/")
         write_partitioned_csv(clicked, f"{base}/notifications", max_rows=cfg.sink_max_rows)
         write_single_csv(top, f"{base}/top5/CTR.csv", max_rows=cfg.sink_max_rows)

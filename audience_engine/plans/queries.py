@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,13 +99,14 @@ class _Slice:
     def notified(self) -> DataFrame:
         return notified_users(self.inputs.notification_artist, self.audience())
 
-    def clicked(self) -> DataFrame:
-        return clicked_audience(self.inputs.notification_clicks, self.inputs.notification_artist, self.audience())
+    def clicked(self, audience: DataFrame | None = None) -> DataFrame:
+        aud = audience if audience is not None else self.audience()
+        return clicked_audience(self.inputs.notification_clicks, self.inputs.notification_artist, aud)
 
     def ctr(self, fanout: str = "reference", keep_zero_click: bool = False) -> DataFrame:
         aud = self.audience()
         targets = target_counts(self.inputs.notification_artist, aud, audience_is_set=True)
-        return notification_ctr(click_counts(self.clicked()), targets,
+        return notification_ctr(click_counts(self.clicked(aud)), targets,
                                 fanout=fanout, keep_zero_click=keep_zero_click)
 
 
@@ -125,7 +126,6 @@ def _long_vectors(vecs: DataFrame) -> DataFrame:
 
 def _embedding_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
-    from pyspark.ml.functions import array_to_vector
     return emb.select("vec_id", array_to_vector("embedding").alias("features"), F.col("label").alias("cluster"))
 
 
