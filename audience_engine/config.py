@@ -37,6 +37,10 @@ class PipelineConfig:
     weight: str = "pairs"
     # the reference's audience is a bag; a set leaves every CTR unchanged [fact 7]
     distinct_audience: bool = True
+    # repeated clicks of one user on one notification collapse before the
+    # join; False keeps them, and with distinct_audience=False the clicked
+    # rows are then exactly the reference's notified-clicks output (K2)
+    dedupe_clicks: bool = True
     # CTR join on NotificationId alone ("reference") or per-notification sums
     # before the join ("exact") [fact 5]
     fanout: str = "reference"

@@ -38,7 +38,9 @@ def clicked_audience(clicks: DataFrame, notification_artist: DataFrame, audience
     Repeated clicks collapse map-side first (a user clicking one notification
     a million times shuffles one row per task); the notification -> artist
     relation is small and AQE broadcasts it; the last join is on
-    (UserId, ArtistId) against one audience row per user."""
+    (UserId, ArtistId) against one audience row per user.  With
+    ``dedupe_clicks=False`` and the reference's bag audience the rows are the
+    reference's multiset exactly (every click row times every audience row)."""
     c = clicks.select("NotificationId", "UserId")
     if dedupe_clicks:
         c = c.distinct()

@@ -154,6 +154,7 @@ _TAILS = {
     "q_audience_bag": "SELECT UserId, cluster, ArtistId, artistCluster FROM audience_bag",
     "q_notified": "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified",
     "q_notified_clicks": "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks",
+    "q_notified_clicks_bag": "SELECT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks",
     "q_notified_clicks_join": (
         "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),
     "q_click_counts": "SELECT NotificationId, ArtistId, artistCluster, clusterUserClicks FROM click_groups",

@@ -110,7 +110,8 @@ def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str |
     listeners = cluster_listeners(inputs.plays, cfg)
     cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
     audience = audience_of(listeners, cluster_artist, cfg)
-    clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience)
+    clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience,
+                               dedupe_clicks=cfg.dedupe_clicks)
     targets = target_counts(inputs.notification_artist, audience, audience_is_set=cfg.distinct_audience)
     ctr = notification_ctr(click_counts(clicked), targets,
                            fanout=cfg.fanout, keep_zero_click=cfg.keep_zero_click)

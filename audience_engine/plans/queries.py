@@ -275,6 +275,14 @@ def q_notified_clicks(spark, sf_dir):
     return _Slice(spark, sf_dir).clicked()
 
 
+def q_notified_clicks_bag(spark, sf_dir):
+    """J5 with the reference's bag audience and repeated clicks kept: the
+    reference's notified-clicks rows, duplicates included."""
+    s = _Slice(spark, sf_dir)
+    return clicked_audience(s.inputs.notification_clicks, s.inputs.notification_artist, s.audience_bag(),
+                            dedupe_clicks=False)
+
+
 def q_notified_clicks_join(spark, sf_dir):
     s = _Slice(spark, sf_dir)
     return notified_clicks(s.notified(), s.inputs.notification_clicks)
