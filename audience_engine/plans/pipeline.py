@@ -104,10 +104,12 @@ class JobResult:
         return notified_users(notification_artist, self.audience)
 
 
-def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str | None = None) -> JobResult:
-    """The whole job.  With ``sink_dir`` the notified clicks (K2) and the
-    top notifications (K3) are written as the reference's cluster mode did."""
-    listeners = cluster_listeners(inputs.plays, cfg)
+def analyse(listeners: ClusteredListeners, inputs: Inputs, cfg: PipelineConfig = PipelineConfig(),
+            sink_dir: str | None = None) -> JobResult:
+    """C2-C6 on fitted clusters: popular artist per cluster, audience, clicks,
+    CTR and the top notifications.  With ``sink_dir`` the notified clicks (K2)
+    and the top notifications (K3) are written as the reference's cluster
+    mode did."""
     cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
     audience = audience_of(listeners, cluster_artist, cfg)
     clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience,
@@ -124,3 +126,8 @@ def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str |
         write_single_csv(top, f"{base}/top5/CTR.csv", max_rows=cfg.sink_max_rows)
     return JobResult(listeners=listeners, cluster_artist=cluster_artist, audience=audience,
                      notified_clicks=clicked, ctr=ctr, top=top)
+
+
+def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str | None = None) -> JobResult:
+    """The whole job - C1 then C2-C6 (and the sinks)."""
+    return analyse(cluster_listeners(inputs.plays, cfg), inputs, cfg, sink_dir)
