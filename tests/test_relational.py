@@ -177,3 +177,12 @@ def test_top_notifications_ties_and_rank_by(spark):
     assert by_ctr == [1, 9]
     with pytest.raises(ValueError):
         top_notifications(ctr, rank_by="views")
+
+
+def test_duplicate_notification_rows_change_nothing(spark, ctr_case):
+    aud, na, clicks = ctr_case
+    dup = na.unionByName(na)
+    def ctr(n):
+        cc = click_counts(clicked_audience(clicks, n, aud))
+        return sorted(tuple(r) for r in notification_ctr(cc, target_counts(n, aud)).collect())
+    assert ctr(dup) == ctr(na)
