@@ -58,6 +58,9 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str, table: str | None =
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
                .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
+    # monotonically_increasing_id() is documented to hold the partition index in
+    # its upper 31 bits and the record number within the partition in the
+    # lower 33, so this is the row's position inside its sorted partition.
     position = F.col(_MID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
     ranks = (tagged.join(F.broadcast(offsets), _PART)
              .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
