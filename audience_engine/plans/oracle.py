@@ -142,6 +142,8 @@ _TAILS = {
     "q_activity": "SELECT UserId, SongId, UserIndex, SongIndex, hits FROM activity",
     "q_csv_plays": "SELECT UserId, SongId FROM plays",
     "q_csv_roundtrip_clean": "SELECT ArtistId, SongId FROM song_artist",
+    "q_csv_notification_artist": "SELECT NotificationId, ArtistId FROM notification_artist",
+    "q_csv_notification_clicks": "SELECT NotificationId, UserId FROM clicks",
     "q_cluster_sizes": "SELECT cluster, COUNT(*) AS count FROM user_cluster GROUP BY cluster",
     "q_clustered_activity": "SELECT UserIndex, UserId, SongId, SongIndex, hits, cluster FROM clustered_activity",
     "q_cluster_artist_hits": "SELECT cluster, ArtistId, artistHits FROM hits",

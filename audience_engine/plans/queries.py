@@ -47,8 +47,14 @@ from ..operators.ctr import (
 from ..operators.factors import factor_vectors, fit_taste_factors, standardise, user_factors
 from ..session import scratch_path
 from ..sinks.csv import write_partitioned_csv, write_single_csv
-from ..sources.csv import PLAYS, read_plays, read_song_artist
-from ..sources.tables import inputs_from_tables, plays_from_tables, read_table
+from ..sources.csv import PLAYS, read_notification_artist, read_notification_clicks, read_plays, read_song_artist
+from ..sources.tables import (
+    inputs_from_tables,
+    notification_artist_from_tables,
+    notification_clicks_from_tables,
+    plays_from_tables,
+    read_table,
+)
 from .pipeline import cluster_listeners, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,14 +160,41 @@ def q_activity(spark, sf_dir):
 
 
 def q_csv_plays(spark, sf_dir):
-    """The click log written as headerless CSV, read back."""
+    """The click log written as headerless CSV, read back."""
     path = scratch_path(spark, "plays-csv")
     raw = plays_from_tables(spark, sf_dir).select(*[F.col(c).cast("string") for c in
                                                     [p.split(" ")[0] for p in PLAYS.split(", ")]])
-    raw.write.option("header", False).csv(path)
+    # the same plays once more without a song: P5 drops them on read
+    no_song = raw.withColumn("SongId", F.lit(None).cast("string"))
+    raw.unionByName(no_song).write.option("header", False).csv(path)
     return read_plays(spark, path)
 
 
+def q_csv_notification_artist(spark, sf_dir):
+    """Notification -> artist CSV; every event's raw JSON props is
+    also written as a notification id, which is malformed and dropped."""
+    good = notification_artist_from_tables(spark, sf_dir).select(
+        F.col("NotificationId").cast("string").alias("NotificationId"), F.col("ArtistId").cast("string").alias("ArtistId"))
+    bad = read_table(spark, sf_dir, "events").select(
+        F.col("props").alias("NotificationId"), F.col("event_id").cast("string").alias("ArtistId"))
+    path = scratch_path(spark, "notification-artist-csv")
+    good.unionByName(bad).write.option("header", False).csv(path)
+    return read_notification_artist(spark, path)
+
+
+def q_csv_notification_clicks(spark, sf_dir):
+    """Click CSV (NotificationId, UserId, Date); the other events
+    are written with their type as the notification id and are dropped."""
+    clicks = notification_clicks_from_tables(spark, sf_dir)
+    others = (read_table(spark, sf_dir, "events").where(F.col("event_type") != "click")
+              .select(F.col("event_type").alias("NotificationId"), F.col("user_id").cast("string").alias("UserId"),
+                      F.to_date("ts").alias("Date")))
+    path = scratch_path(spark, "notification-clicks-csv")
+    clicks.unionByName(others).select(*[F.col(c).cast("string") for c in ["NotificationId", "UserId", "Date"]]) \
+        .write.option("header", False).csv(path)
+    return read_notification_clicks(spark, path)
+
+
 def q_csv_roundtrip_clean(spark, sf_dir):
     """Song metadata CSV with malformed rows - text ids,
     decimal ids, missing ids - which are dropped on read."""
