@@ -31,8 +31,6 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--infer", action="store_true", help="infer CSV column types as the reference did")
     p.add_argument("--out", help="output folder for the sinks")
     for f in fields(PipelineConfig):
-        if f.name == "extra":
-            continue
         flag = "--" + f.name.replace("_", "-")
         if f.type in ("bool", bool):
             p.add_argument(flag, type=lambda s: s.lower() in ("1", "true", "yes"), default=None)
@@ -48,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     overrides = {f.name: getattr(args, f.name) for f in fields(PipelineConfig)
-                 if f.name != "extra" and getattr(args, f.name, None) is not None}
+                 if getattr(args, f.name, None) is not None}
     cfg = PipelineConfig(**overrides)
     spark = SparkSession.builder.appName("audience_engine").getOrCreate()
     if args.tables:
