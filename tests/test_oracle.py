@@ -19,11 +19,15 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
+    """Every registry query runs; those with a SQL twin match it; none plans
+    a cross join."""
     from oracle_check import compare
-    r = compare(spark, name, QUERIES[name], SQL[name], SF_SMALL, con)
-    assert r["status"] == "match", r
+    r = compare(spark, name, QUERIES[name], SQL.get(name), SF_SMALL, con)
+    assert r["status"] in ("match", "rows-only"), r
+    assert name not in SQL or r["status"] == "match", r
+    assert "cross_join" not in r, r
 
 
 def test_every_sql_has_a_query():
