@@ -164,3 +164,20 @@ def test_single_centre_scores_zero(spark):
     model = fit_kmeans(pts, k=3, seed=1)
     assert len(model.clusterCenters()) == 1
     assert model_silhouette(model, pts) == 0.0
+
+
+def test_vectorize_columns_takes_every_column_in_order(spark):
+    from audience_engine.operators import vectorize_columns
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "id int, a double, b double")
+    out = vectorize_columns(df).select(vector_to_array("features").alias("v")).first().v
+    assert out == [1.0, 2.0, 3.0]
+    out2 = vectorize_columns(df, exclude=("id",)).select(vector_to_array("features").alias("v")).first().v
+    assert out2 == [2.0, 3.0]
+
+
+def test_cluster_users_renames_columns(spark, embedded):
+    from audience_engine.operators import cluster_users
+    model, uc = cluster_users(embedded.select("id", "features"), k=3, seed=1)
+    assert uc.columns == ["UserIndex", "features", "cluster"]
+    assert dict(uc.dtypes)["cluster"] == "int"
+    assert uc.select("cluster").distinct().count() <= 3
