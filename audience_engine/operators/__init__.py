@@ -36,6 +36,7 @@ from .ctr import (
     target_counts_from_notified,
     top_notifications,
 )
+from .joins import salted_join
 from .factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
 
 __all__ = [
@@ -46,5 +47,6 @@ __all__ = [
     "mean_centres", "model_silhouette", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
+    "salted_join",
     "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",
 ]

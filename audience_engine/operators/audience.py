@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import salted_join
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows
@@ -103,11 +105,14 @@ def build_audience(clustered_users: DataFrame, cluster_artist: DataFrame, distin
             .select("UserId", "cluster", "ArtistId", "artistCluster"))
 
 
-def notified_users(notification_artist: DataFrame, audience: DataFrame) -> DataFrame:
+def notified_users(notification_artist: DataFrame, audience: DataFrame, salts: int = 32) -> DataFrame:
     """J4 (C4): the notification list - every audience user of each
     notification's artist: (NotificationId, ArtistId, UserId, cluster, artistCluster).
 
     This is the job's largest relation (notifications x audience); the CTR
-    path below never materialises it."""
-    return (notification_artist.join(audience, "ArtistId")
+    path never materialises it.  The join key has at most k distinct values
+    and one artist may own a third of all users, so the join is salted by
+    user (``salted_join``): every artist's audience spreads over ``salts`` tasks."""
+    na = notification_artist.select("NotificationId", "ArtistId")
+    return (salted_join(audience, na, ["ArtistId"], spread_by="UserId", salts=salts)
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))

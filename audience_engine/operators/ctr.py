@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import salted_join
+
 _GROUP = ["NotificationId", "ArtistId", "artistCluster"]
 
 
@@ -31,21 +33,22 @@ def notified_clicks(notified: DataFrame, clicks: DataFrame, dedupe_clicks: bool
 
 
 def clicked_audience(clicks: DataFrame, notification_artist: DataFrame, audience: DataFrame,
-                     dedupe_clicks: bool = True) -> DataFrame:
+                     dedupe_clicks: bool = True, salts: int = 32) -> DataFrame:
     """J5 (C5) without the notified relation: the same rows as
     ``notified_clicks(notified_users(na, audience), clicks)``.
 
     Repeated clicks collapse map-side first (a user clicking one notification
-    a million times shuffles one row per task); the notification -> artist
-    relation is small and AQE broadcasts it; the last join is on
-    (UserId, ArtistId) against one audience row per user.  With
+    a million times shuffles one row per task); the join to the small
+    notification -> artist relation is salted by user, since one notification
+    may draw a third of all clicks; the last join is on (UserId, ArtistId)
+    against one audience row per user.  With
     ``dedupe_clicks=False`` and the reference's bag audience the rows are the
     reference's multiset exactly (every click row times every audience row)."""
     c = clicks.select("NotificationId", "UserId")
     if dedupe_clicks:
         c = c.distinct()
     na = notification_artist.select("NotificationId", "ArtistId").distinct()
-    return (c.join(na, "NotificationId")
+    return (salted_join(c, na, ["NotificationId"], spread_by="UserId", salts=salts)
             .join(audience.select("UserId", "ArtistId", "cluster", "artistCluster"), ["UserId", "ArtistId"])
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))
 

@@ -85,3 +85,11 @@ def test_broadcast_only_after_a_size_check(spark):
     assert "BroadcastHashJoin" in small
     assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
     assert "BroadcastHashJoin" not in default
+
+
+def test_notification_list_join_is_salted(spark):
+    from audience_engine.operators import notified_users
+    na = spark.createDataFrame([(1, 10)], "NotificationId bigint, ArtistId bigint")
+    aud = spark.createDataFrame([("u1", 0, 10, 1)], "UserId string, cluster int, ArtistId bigint, artistCluster int")
+    p = plan(notified_users(na, aud, salts=16))
+    assert "_salt" in p and "xxhash64(UserId" in p

@@ -50,3 +50,18 @@ def test_parse_id_and_distance(spark):
     df = spark.createDataFrame([("12", [1.0, 2.0], [1.0, 4.0]), ("x", [0.0], [3.0])], "s string, a array<double>, b array<double>")
     out = df.select(parse_id("s").alias("i"), squared_distance("a", "b").alias("d")).collect()
     assert [(r.i, r.d) for r in out] == [(12, 4.0), (None, 9.0)]
+
+
+keys = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30)), min_size=0, max_size=60)
+
+
+@SETTINGS
+@given(big=keys, small=st.lists(st.tuples(st.integers(0, 4), st.integers(100, 103)), max_size=8),
+       salts=st.integers(1, 7))
+def test_salted_join_equals_plain_join(spark, big, small, salts):
+    from audience_engine.operators import salted_join
+    b = spark.createDataFrame(big, "k int, u int")
+    s = spark.createDataFrame(small, "k int, v int")
+    got = sorted(tuple(r) for r in salted_join(b, s, ["k"], spread_by="u", salts=salts).select("k", "u", "v").collect())
+    want = sorted((k, u, v) for k, u in big for k2, v in small if k == k2)
+    assert got == want
