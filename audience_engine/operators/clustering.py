@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions.vectors import squared_distance
+from ..session import cut_lineage
 
 
 def fit_kmeans(vectors: DataFrame, k: int = 275, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
@@ -137,14 +137,15 @@ def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: flo
     """Fit K-means for each k of the sweep, score it, apply the rule.
 
     The loop is over parameters (a handful of k values), not data: each fit
-    and evaluation is a distributed job over the persisted vectors."""
+    and evaluation is a distributed job over the vectors, which are written
+    to the shared folder first so that a lost executor mid-sweep rereads
+    them instead of recomputing whatever produced them (e.g. ALS)."""
     spark = vectors.sparkSession
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = cut_lineage(vectors, "k-search-vectors")
     rows = []
     for k in ks:
         model = fit_kmeans(vectors, k=k, seed=seed, max_iter=max_iter, tol=tol)
         rows.append((int(k), model_silhouette(model, vectors), float(model.summary.trainingCost)))
-    vectors.unpersist()
     scored, chosen = choose_k(rows)
     schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"
     return KChoice(metrics=spark.createDataFrame(scored, schema), k=chosen)
