@@ -3,6 +3,10 @@
     python -m audience_engine --plays P --song-artist S --notification-artist N \\
         --notification-clicks C [--out DIR] [--k 275] [--fanout exact] ...
     python -m audience_engine --tables /root/testdata/sf0.01 --out DIR
+    python -m audience_engine local SOURCE PLAYS SONG_ARTIST NOTIFICATION_CLICKS NOTIFICATION_ARTIST
+
+The last form takes the reference job's local-mode arguments in their order:
+a source folder and the four input names under it.
 
 Inputs are headerless CSV files, folders or globs on any Hadoop file system.
 With ``--out`` the notified clicks (partitioned by notification) and the top
@@ -43,7 +47,22 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _local_mode(argv: list[str]) -> list[str]:
+    """``local SOURCE PLAYS META CLICKS NOTIFICATION_ARTIST [options]`` ->
+    the equivalent flags (names are joined to the folder with a separator)."""
+    if len(argv) < 6:
+        raise SystemExit("local mode needs: local SOURCE PLAYS SONG_ARTIST NOTIFICATION_CLICKS NOTIFICATION_ARTIST")
+    src, plays, meta, clicks, notif = argv[1:6]
+    join = lambda name: f"{src.rstrip('/')}/{name.lstrip('/')}"
+    return (["--plays", join(plays), "--song-artist", join(meta), "--notification-clicks", join(clicks),
+             "--notification-artist", join(notif)] + argv[6:])
+
+
 def main(argv: list[str] | None = None) -> None:
+    import sys
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0].lower() == "local":
+        argv = _local_mode(argv)
     args = _parser().parse_args(argv)
     overrides = {f.name: getattr(args, f.name) for f in fields(PipelineConfig)
                  if getattr(args, f.name, None) is not None}

@@ -53,3 +53,14 @@ def test_cli_on_csv_inputs(spark, tmp_path, capsys):
     top = spark.read.option("header", True).csv(os.path.join(out, "top5", "CTR.csv"))
     assert 0 < top.count() <= 5
     assert "rowNumber" in capsys.readouterr().out
+
+
+def test_cli_local_mode_arguments(spark, tmp_path, capsys):
+    src = tmp_path / "src"
+    src.mkdir()
+    for name, fn in (("plays", plays_from_tables), ("meta", song_artist_from_tables),
+                     ("nclicks", notification_clicks_from_tables), ("nartist", notification_artist_from_tables)):
+        df = fn(spark, SF_SMALL)
+        df.select(*[F.col(c).cast("string") for c in df.columns]).write.csv(str(src / name))
+    main(["local", str(src), "plays", "meta", "nclicks", "nartist", "--k", "10"])
+    assert "rowNumber" in capsys.readouterr().out
