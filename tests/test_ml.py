@@ -16,7 +16,6 @@ from audience_engine.operators import (
     index_ids,
     silhouette,
     standardise,
-    user_factors,
     wssse,
 )
 from audience_engine.sources import inputs_from_tables
