@@ -146,6 +146,8 @@ _TAILS = {
     "q_csv_notification_clicks": "SELECT NotificationId, UserId FROM clicks",
     "q_cluster_sizes": "SELECT cluster, COUNT(*) AS count FROM user_cluster GROUP BY cluster",
     "q_clustered_activity": "SELECT UserIndex, UserId, SongId, SongIndex, hits, cluster FROM clustered_activity",
+    "q_clustered_activity_broadcast": (
+        "SELECT UserIndex, UserId, SongId, SongIndex, hits, cluster FROM clustered_activity"),
     "q_cluster_artist_hits": "SELECT cluster, ArtistId, artistHits FROM hits",
     "q_cluster_artist_hits_reference": "SELECT cluster, ArtistId, artistHits FROM hits",
     "q_cluster_artist_plays": (

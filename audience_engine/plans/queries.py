@@ -275,6 +275,13 @@ def q_clustered_activity(spark, sf_dir):
     return attach_clusters(s.activity, s.user_cluster)
 
 
+def q_clustered_activity_broadcast(spark, sf_dir):
+    """J1 with the reference's broadcast of the per-user clusters, taken only
+    after the row-count check passes (else a shuffle join)."""
+    s = _Slice(spark, sf_dir)
+    return attach_clusters(s.activity, s.user_cluster, broadcast=True)
+
+
 def q_cluster_artist_hits(spark, sf_dir):
     return _Slice(spark, sf_dir).hits()
 
