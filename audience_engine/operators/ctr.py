@@ -41,13 +41,15 @@ def clicked_audience(clicks: DataFrame, notification_artist: DataFrame, audience
     a million times shuffles one row per task); the join to the small
     notification -> artist relation is salted by user, since one notification
     may draw a third of all clicks; the last join is on (UserId, ArtistId)
-    against one audience row per user.  With
-    ``dedupe_clicks=False`` and the reference's bag audience the rows are the
-    reference's multiset exactly (every click row times every audience row)."""
+    against one audience row per user.
+
+    ``dedupe_clicks=False`` keeps every repeat (of clicks and of notification
+    -> artist rows); with the reference's bag audience the rows are then the
+    reference's multiset exactly."""
     c = clicks.select("NotificationId", "UserId")
+    na = notification_artist.select("NotificationId", "ArtistId")
     if dedupe_clicks:
-        c = c.distinct()
-    na = notification_artist.select("NotificationId", "ArtistId").distinct()
+        c, na = c.distinct(), na.distinct()
     return (salted_join(c, na, ["NotificationId"], spread_by="UserId", salts=salts)
             .join(audience.select("UserId", "ArtistId", "cluster", "artistCluster"), ["UserId", "ArtistId"])
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))

@@ -186,3 +186,12 @@ def test_duplicate_notification_rows_change_nothing(spark, ctr_case):
         cc = click_counts(clicked_audience(clicks, n, aud))
         return sorted(tuple(r) for r in notification_ctr(cc, target_counts(n, aud)).collect())
     assert ctr(dup) == ctr(na)
+
+
+def test_reference_multiset_keeps_every_repeat(spark, ctr_case):
+    aud, na, clicks = ctr_case
+    dup = na.unionByName(na.where("NotificationId = 3"))
+    ref = notified_clicks(notified_users(dup, aud), clicks, dedupe_clicks=False)
+    mine = clicked_audience(clicks, dup, aud, dedupe_clicks=False)
+    assert sorted(tuple(r) for r in mine.collect()) == sorted(tuple(r) for r in ref.collect())
+    assert mine.where("NotificationId = 3").count() == 6  # three clickers x two copies of the row
