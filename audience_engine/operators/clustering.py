@@ -18,9 +18,19 @@ from ..session import cut_lineage
 
 
 def fit_kmeans(vectors: DataFrame, k: int = 275, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
-               features_col: str = "features") -> KMeansModel:
+               features_col: str = "features", id_col: str | None = "id") -> KMeansModel:
     """M9 fit: spark.ml K-means (k-means|| initialisation).  k above the
-    number of distinct points yields fewer centres, never an error."""
+    number of distinct points yields fewer centres, never an error.
+
+    k-means|| samples each partition with a seed derived from the partition
+    index, so a fit depends on which rows sit in which partition and in what
+    order - and a table read back from files has no fixed order.  With an
+    ``id_col`` the points are hash-partitioned by id (one partition per core)
+    and sorted inside each partition first, so the same points and seed give
+    the same centres."""
+    if id_col and id_col in vectors.columns:
+        parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
+        vectors = vectors.repartition(parts, id_col).sortWithinPartitions(id_col)
     km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features_col, predictionCol="prediction")
     return km.fit(vectors)
 

@@ -61,3 +61,13 @@ def test_sinks_from_the_job(fitted, tmp_path):
     assert os.path.isdir(tmp_path / "out" / "notifications")
     assert any(f.startswith("part-") for f in os.listdir(tmp_path / "out" / "top5" / "CTR.csv"))
     assert res.top.count() <= 5
+
+
+def test_refit_gives_the_same_clusters(spark, fitted):
+    """Seeds alone are not enough: the vectors come back from files in any
+    order, so fit_kmeans lays them out by id first."""
+    inputs, listeners = fitted
+    again = cluster_listeners(inputs.plays, PipelineConfig(k=10))
+    a = sorted((r.UserIndex, r.cluster) for r in listeners.user_cluster.select("UserIndex", "cluster").collect())
+    b = sorted((r.UserIndex, r.cluster) for r in again.user_cluster.select("UserIndex", "cluster").collect())
+    assert a == b
