@@ -37,6 +37,28 @@ def label_frequencies(df: DataFrame, col: str, weight: str | None = None) -> Dat
     return df.groupBy(col).agg(agg.alias(_N))
 
 
+def _sorted_positions(freqs: DataFrame, col: str) -> DataFrame:
+    """Range-sort (frequency desc, label asc) - a total order - and tag each
+    row with its partition and position there; persisted, so that the
+    offsets and the positions below come from one planned sort."""
+    return (freqs.orderBy(F.desc(_N), F.asc(col))
+            .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _ranks(tagged: DataFrame, col: str, index_col: str) -> DataFrame:
+    """rank = rows in earlier partitions + position in the partition."""
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
+               .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
+    # monotonically_increasing_id() is documented to hold the partition index in
+    # its upper 31 bits and the record number within the partition in the
+    # lower 33, so this is the row's position inside its sorted partition.
+    position = F.col(_MID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
+    return (tagged.join(F.broadcast(offsets), _PART)
+            .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
+
+
 def rank_labels(freqs: DataFrame, col: str, index_col: str, table: str | None = None) -> DataFrame:
     """Frequency rank of every label, computed without a single-task step.
 
@@ -52,18 +74,8 @@ def rank_labels(freqs: DataFrame, col: str, index_col: str, table: str | None =
 
     With ``table`` the (label, index) result is written to the shared folder
     and the persisted frame released, so later steps read files only."""
-    tagged = (freqs.orderBy(F.desc(_N), F.asc(col))
-              .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
-               .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
-    # monotonically_increasing_id() is documented to hold the partition index in
-    # its upper 31 bits and the record number within the partition in the
-    # lower 33, so this is the row's position inside its sorted partition.
-    position = F.col(_MID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
-    ranks = (tagged.join(F.broadcast(offsets), _PART)
-             .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
+    tagged = _sorted_positions(freqs, col)
+    ranks = _ranks(tagged, col, index_col)
     if table is None:
         return ranks
     ranks = cut_lineage(ranks, table)
@@ -98,9 +110,9 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
 
     The counts are taken once; both indexes are ranked from them (the sum of
     hits per label is its play count, the frequency ``StringIndexer`` uses),
-    so the raw log is read once.  The two index tables and the activity are
-    written to the shared folder: ALS, the popularity counts and the audience
-    all start from those files."""
+    so the raw log is read once.  The user index and the activity are written
+    to the shared folder: ALS, the popularity counts and the audience all
+    start from those files."""
     pairs = play_counts(plays).persist(StorageLevel.MEMORY_AND_DISK)
     if method == "stringindexer":
         model = StringIndexer(inputCols=["UserId", "SongId"], outputCols=["UserIndex", "SongIndex"],
@@ -113,13 +125,17 @@ def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = Tr
         users = activity.select("UserId", "UserIndex").distinct()
         songs = activity.select("SongId", "SongIndex").distinct()
     else:
+        # the user index is read again later (the audience), so it is written;
+        # the song index only feeds the activity table and is released after it
         users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex",
                             table="users" if checkpoint else None)
-        songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex",
-                            table="songs" if checkpoint else None)
+        song_tags = _sorted_positions(label_frequencies(pairs, "SongId", "hits"), "SongId")
+        songs = _ranks(song_tags, "SongId", "SongIndex")
         activity = (pairs.join(users, "UserId").join(songs, "SongId")
                     .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
         if checkpoint:
             activity = cut_lineage(activity, "activity")
+            songs = activity.select("SongId", "SongIndex").distinct()
+            song_tags.unpersist()
     pairs.unpersist()
     return Activity(activity=activity, users=users, songs=songs)
