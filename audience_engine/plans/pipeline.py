@@ -111,7 +111,9 @@ def analyse(listeners: ClusteredListeners, inputs: Inputs, cfg: PipelineConfig =
     and the top notifications (K3) are written as the reference's cluster
     mode did."""
     cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
-    audience = audience_of(listeners, cluster_artist, cfg)
+    # read by the click side and the target side: without this the two
+    # branches (pruned to different columns) would each rebuild it
+    audience = audience_of(listeners, cluster_artist, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience,
                                dedupe_clicks=cfg.dedupe_clicks)
     targets = target_counts(inputs.notification_artist, audience, audience_is_set=cfg.distinct_audience)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,7 @@ class _Slice:
         act = build_activity(self.inputs.plays)
         self.activity, self.users = act.activity, act.users
         self.user_cluster = self.users.join(customer_groups(spark, sf_dir), "UserId").select("UserIndex", "cluster")
+        self._audience: DataFrame | None = None
 
     def hits(self, weight: str = "pairs") -> DataFrame:
         return cluster_artist_hits(self.activity, self.user_cluster, self.inputs.song_artist, weight=weight)
@@ -95,8 +97,11 @@ class _Slice:
         return top_artist_per_cluster(self.hits())
 
     def audience(self) -> DataFrame:
-        return build_audience(user_clusters(self.users, self.user_cluster), self.cluster_artist(),
-                              unique_input=True)
+        if self._audience is None:
+            # read by several branches of one query: built once
+            self._audience = build_audience(user_clusters(self.users, self.user_cluster), self.cluster_artist(),
+                                            unique_input=True).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._audience
 
     def audience_bag(self) -> DataFrame:
         return build_audience(attach_clusters(self.activity, self.user_cluster), self.cluster_artist(),
