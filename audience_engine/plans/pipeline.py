@@ -103,6 +103,12 @@ class JobResult:
         """C4: the full notification list (large; built only on request)."""
         return notified_users(notification_artist, self.audience)
 
+    def release(self) -> None:
+        """Drop the relations the job kept in executor memory (the top artists,
+        the audience and, with sinks, the clicked rows)."""
+        for df in (self.cluster_artist, self.audience, self.notified_clicks):
+            df.unpersist()
+
 
 def analyse(listeners: ClusteredListeners, inputs: Inputs, cfg: PipelineConfig = PipelineConfig(),
             sink_dir: str | None = None) -> JobResult:

@@ -71,3 +71,12 @@ def test_refit_gives_the_same_clusters(spark, fitted):
     a = sorted((r.UserIndex, r.cluster) for r in listeners.user_cluster.select("UserIndex", "cluster").collect())
     b = sorted((r.UserIndex, r.cluster) for r in again.user_cluster.select("UserIndex", "cluster").collect())
     assert a == b
+
+
+def test_release_drops_cached_relations(spark, fitted):
+    inputs, listeners = fitted
+    res = analyse(listeners, inputs, PipelineConfig())
+    res.top.collect()
+    assert res.audience.storageLevel.useMemory
+    res.release()
+    assert not res.audience.storageLevel.useMemory and not res.cluster_artist.storageLevel.useMemory
