@@ -1,8 +1,9 @@
 """From clusters to audiences (J1-J4, A2, W1, W2; composites C2-C4).
 
 Sizes that bound the plans below: ``user_cluster`` has one row per user (grows
-with the data, never broadcast by us); ``cluster_artist`` has one row per
-cluster, at most k rows (a parameter), so it is always safe to broadcast.
+with the data; broadcast only on request and after a row-count check);
+``cluster_artist`` has one row per cluster, at most k rows (a parameter), so
+it is always safe to broadcast.
 """
 
 from __future__ import annotations
