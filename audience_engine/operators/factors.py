@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import array_columns
+from ..session import checkpoint_root
 
 
 def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg: float = 0.01,
                       alpha: float = 1.0, seed: int = 1, blocks: int | None = None,
                       user_col: str = "UserIndex", item_col: str = "SongIndex",
-                      rating_col: str = "hits") -> ALSModel:
+                      rating_col: str = "hits", checkpoint_interval: int = 4) -> ALSModel:
     """M4: implicit-feedback ALS on (user, song, hits).
 
     Always pass a seed: PySpark's default seed is a hash of the class name,
@@ -22,12 +23,19 @@ def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg
     shuffles once per half-iteration; each block is one task, so the block
     count equals the cluster's parallelism: one wave of tasks per
     half-iteration (spark.ml's fixed 10 leaves a large cluster idle and takes
-    two waves on 8 cores).  ``blocks`` overrides it."""
+    two waves on 8 cores).  ``blocks`` overrides it.
+
+    The factor RDDs are checkpointed to the shared checkpoint folder every
+    ``checkpoint_interval`` iterations (spark.ml's default of 10 never fires
+    within 8), so an executor lost late in the fit does not send Spark back
+    through every earlier iteration.  Checkpointing does not change the
+    factors."""
+    checkpoint_root(activity.sparkSession)  # ALS skips checkpoints without a dir
     if not blocks:
         blocks = max(1, activity.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol=user_col, itemCol=item_col, ratingCol=rating_col,
-              numUserBlocks=blocks, numItemBlocks=blocks)
+              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=checkpoint_interval)
     return als.fit(activity.select(user_col, item_col, rating_col))
 
 
