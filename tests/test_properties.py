@@ -65,3 +65,35 @@ def test_salted_join_equals_plain_join(spark, big, small, salts):
     got = sorted(tuple(r) for r in salted_join(b, s, ["k"], spread_by="u", salts=salts).select("k", "u", "v").collect())
     want = sorted((k, u, v) for k, u in big for k2, v in small if k == k2)
     assert got == want
+
+
+audiences = st.lists(st.tuples(st.integers(0, 12), st.integers(0, 3)), min_size=1, max_size=25)  # (user, cluster)
+tops = st.lists(st.integers(0, 4), min_size=4, max_size=4)                                       # artist per cluster
+notifs = st.lists(st.tuples(st.integers(0, 6), st.integers(0, 5)), min_size=1, max_size=12)      # (notification, artist)
+clicklog = st.lists(st.tuples(st.integers(0, 7), st.integers(0, 14)), max_size=40)              # (notification, user)
+
+
+@SETTINGS
+@given(users=audiences, top=tops, na_rows=notifs, click_rows=clicklog)
+def test_scalable_ctr_equals_reference_formulation(spark, users, top, na_rows, click_rows):
+    """The CTR path without the notified relation gives the reference's
+    numbers, in both fan-out modes, with repeated rows anywhere."""
+    from audience_engine.operators import (
+        build_audience, click_counts, clicked_audience, notification_ctr, notified_clicks, notified_users,
+        target_counts, target_counts_from_notified, top_artist_per_cluster)
+    clustered = spark.createDataFrame([(f"u{u}", c) for u, c in users], "UserId string, cluster int")
+    hits = spark.createDataFrame([(c, a, 1) for c, a in enumerate(top)], "cluster int, ArtistId bigint, artistHits bigint")
+    ca = top_artist_per_cluster(hits)
+    na = spark.createDataFrame(na_rows, "NotificationId bigint, ArtistId bigint")
+    clicks = spark.createDataFrame([(n, f"u{u}") for n, u in click_rows], "NotificationId bigint, UserId string")
+    bag = build_audience(clustered, ca, distinct=False)
+    notified = notified_users(na, bag)
+    ref_clicks = click_counts(notified_clicks(notified, clicks, dedupe_clicks=False))
+    ref_targets = target_counts_from_notified(notified)
+    aud = build_audience(clustered, ca)
+    new_clicks = click_counts(clicked_audience(clicks, na, aud))
+    new_targets = target_counts(na, aud)
+    for fanout in ("reference", "exact"):
+        want = sorted(tuple(r) for r in notification_ctr(ref_clicks, ref_targets, fanout=fanout).collect())
+        got = sorted(tuple(r) for r in notification_ctr(new_clicks, new_targets, fanout=fanout).collect())
+        assert got == want, fanout
