@@ -8,6 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# The reference job's settings, which the defaults below keep.
+#   ALS: rank 4, 8 iterations, regularisation 0.01, alpha 1.0, implicit feedback
+#   K-means: k 275, 20 iterations, tolerance 0.0001
+#   top notifications: 5
+#   k search: 250 to 280 in steps of 4
+#   row cap per written output, when asked for: 10000
+REFERENCE_ROW_CAP = 10000
+REFERENCE_K_SWEEP = range(250, 281, 4)
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -55,6 +64,6 @@ class PipelineConfig:
     broadcast_clusters: bool = False
     # evaluate silhouette and WSSSE after the fit (two extra jobs)
     evaluate: bool = False
-    # sink row cap; the reference wrote at most 10000 rows per output, we keep
-    # results whole unless asked
+    # sink row cap; the reference wrote at most REFERENCE_ROW_CAP rows per
+    # output, we keep results whole unless asked
     sink_max_rows: int | None = None

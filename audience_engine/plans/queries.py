@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig
+from ..config import REFERENCE_K_SWEEP, PipelineConfig
 from ..operators.activity import build_activity, index_ids, label_frequencies, play_counts
 from ..operators.audience import (
     attach_clusters,
@@ -60,8 +60,7 @@ from .pipeline import cluster_listeners, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = PipelineConfig()
-# The reference's k sweep (commented out there): 250 to 280 in steps of 4.
-K_SWEEP = list(range(250, 281, 4))
+K_SWEEP = list(REFERENCE_K_SWEEP)  # the reference's k sweep (commented out there)
 
 
 # -- shared building blocks ---------------------------------------------------
