@@ -12,9 +12,10 @@ from dataclasses import dataclass
 #   ALS: rank 4, 8 iterations, regularisation 0.01, alpha 1.0, implicit feedback
 #   K-means: k 275, 20 iterations, tolerance 0.0001
 #   top notifications: 5
-#   k search: 250 to 280 in steps of 4
+#   k search: 150 to 450 in steps of 100 first, then 250 to 280 in steps of 4
 #   row cap per written output, when asked for: 10000
 REFERENCE_ROW_CAP = 10000
+REFERENCE_FIRST_K_SWEEP = range(150, 451, 100)
 REFERENCE_K_SWEEP = range(250, 281, 4)
 
 
