@@ -80,3 +80,18 @@ def test_release_drops_cached_relations(spark, fitted):
     assert res.audience.storageLevel.useMemory
     res.release()
     assert not res.audience.storageLevel.useMemory and not res.cluster_artist.storageLevel.useMemory
+
+
+def test_sink_cap_is_opt_in_and_ordered(spark, fitted, tmp_path):
+    inputs, listeners = fitted
+    whole = analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False))
+    n = whole.notified_clicks.count()
+    capped_dir = str(tmp_path / "capped")
+    analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False, sink_max_rows=2),
+            sink_dir=capped_dir)
+    back = spark.read.schema("ArtistId bigint, UserId string, cluster int, artistCluster int, NotificationId bigint") \
+        .csv(capped_dir + "/notifications")
+    assert back.count() == min(2, n)
+    whole_dir = str(tmp_path / "whole")
+    analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False), sink_dir=whole_dir)
+    assert spark.read.csv(whole_dir + "/notifications").count() == n
