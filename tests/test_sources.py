@@ -61,3 +61,10 @@ def test_folder_with_several_files(spark, tmp_path):
     (d / "b.csv").write_text("u2,t,s2,d\n")
     assert read_plays(spark, str(d)).count() == 2
     assert read_plays(spark, [str(d / "a.csv"), str(d / "b.csv")]).count() == 2
+
+
+def test_inferred_ids_merge_like_the_reference(spark, tmp_csv):
+    # with inference the id column is numeric, so 007 and 7 are one user (the reference's behaviour)
+    df = read_plays(spark, tmp_csv("plays", ["007,1,s1,d", "7,1,s1,d"]), infer=True)
+    assert sorted(r.UserId for r in df.collect()) == ["7", "7"]
+    assert df.dtypes == [("UserId", "string"), ("SongId", "string")]
