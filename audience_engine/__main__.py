@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("plays", "song-artist", "notification-artist", "notification-clicks"):
         p.add_argument(f"--{name}", nargs="+")
     p.add_argument("--infer", action="store_true", help="infer CSV column types as the reference did")
+    p.add_argument("--input-format", default="csv", help="csv (headerless, by position) or parquet/orc/json (by name)")
     p.add_argument("--out", help="output folder for the sinks")
     for f in fields(PipelineConfig):
         flag = "--" + f.name.replace("_", "-")
@@ -75,10 +76,11 @@ def main(argv: list[str] | None = None) -> None:
                    if not getattr(args, n)]
         if missing:
             raise SystemExit(f"missing inputs: {', '.join(missing)}")
-        inputs = Inputs(plays=read_plays(spark, args.plays, args.infer),
-                        song_artist=read_song_artist(spark, args.song_artist, args.infer),
-                        notification_artist=read_notification_artist(spark, args.notification_artist, args.infer),
-                        notification_clicks=read_notification_clicks(spark, args.notification_clicks, args.infer))
+        fmt = args.input_format
+        inputs = Inputs(plays=read_plays(spark, args.plays, args.infer, fmt),
+                        song_artist=read_song_artist(spark, args.song_artist, args.infer, fmt),
+                        notification_artist=read_notification_artist(spark, args.notification_artist, args.infer, fmt),
+                        notification_clicks=read_notification_clicks(spark, args.notification_clicks, args.infer, fmt))
     result = run(inputs, cfg, sink_dir=args.out)
     result.top.orderBy("rowNumber").show(truncate=False)  # K5
 

@@ -5,7 +5,8 @@ A source path may be a file, a folder, a glob or a list of them, on any Hadoop
 file system (S5); Spark lists the files.  Columns are named by position (S6):
 with an explicit schema by default - one pass fewer than inference, and ids
 stay strings on both sides of every join - or, with ``infer=True``, by
-inference plus ``toDF`` as the reference did (S7).
+inference plus ``toDF`` as the reference did (S7).  ``fmt="parquet"`` (or
+"orc", "json") reads the same columns by name from a self-describing format.
 """
 
 from __future__ import annotations
@@ -27,8 +28,12 @@ def _names(schema: str) -> list[str]:
     return [part.strip().split(" ")[0] for part in schema.split(",")]
 
 
-def _read(spark: SparkSession, path: str | Sequence[str], schema: str, infer: bool) -> DataFrame:
+def _read(spark: SparkSession, path: str | Sequence[str], schema: str, infer: bool, fmt: str = "csv") -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
+    if fmt != "csv":
+        # columnar and self-describing formats: columns are taken by name, and
+        # only the ones the job keeps are read (the scan prunes the rest)
+        return spark.read.format(fmt).load(paths).select(*_names(schema))
     reader = spark.read.option("header", False)
     if infer:
         df = reader.option("inferSchema", True).csv(paths)
@@ -64,24 +69,24 @@ def clean_notification_clicks(df: DataFrame) -> DataFrame:
 
 # -- readers ------------------------------------------------------------------
 
-def read_plays(spark: SparkSession, path, infer: bool = False) -> DataFrame:
+def read_plays(spark: SparkSession, path, infer: bool = False, fmt: str = "csv") -> DataFrame:
     """Click log (UserId, TimeStamp, SongId, Date) -> (UserId, SongId)."""
-    return clean_plays(_read(spark, path, PLAYS, infer))
+    return clean_plays(_read(spark, path, PLAYS, infer, fmt))
 
 
-def read_song_artist(spark: SparkSession, path, infer: bool = False) -> DataFrame:
+def read_song_artist(spark: SparkSession, path, infer: bool = False, fmt: str = "csv") -> DataFrame:
     """Song metadata (SongId, ArtistId) -> (ArtistId, SongId)."""
-    return clean_song_artist(_read(spark, path, SONG_ARTIST, infer))
+    return clean_song_artist(_read(spark, path, SONG_ARTIST, infer, fmt))
 
 
-def read_notification_artist(spark: SparkSession, path, infer: bool = False) -> DataFrame:
+def read_notification_artist(spark: SparkSession, path, infer: bool = False, fmt: str = "csv") -> DataFrame:
     """S3: notification -> artist."""
-    return clean_notification_artist(_read(spark, path, NOTIFICATION_ARTIST, infer))
+    return clean_notification_artist(_read(spark, path, NOTIFICATION_ARTIST, infer, fmt))
 
 
-def read_notification_clicks(spark: SparkSession, path, infer: bool = False) -> DataFrame:
+def read_notification_clicks(spark: SparkSession, path, infer: bool = False, fmt: str = "csv") -> DataFrame:
     """Notification clicks (NotificationId, UserId, Date) -> (NotificationId, UserId)."""
-    return clean_notification_clicks(_read(spark, path, NOTIFICATION_CLICKS, infer))
+    return clean_notification_clicks(_read(spark, path, NOTIFICATION_CLICKS, infer, fmt))
 
 
 __all__ = [

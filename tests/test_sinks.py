@@ -29,3 +29,11 @@ def test_cap_rows_is_opt_in_and_repeatable(spark):
     df = spark.createDataFrame([(i,) for i in range(100)], "n int").repartition(7)
     assert cap_rows(df, None).count() == 100
     assert [r.n for r in cap_rows(df, 3, ["n"]).collect()] == [0, 1, 2]
+
+
+def test_partitioned_sink_in_parquet(spark, tmp_path):
+    df = spark.createDataFrame([(1, 10, "u1"), (2, 20, "u3")], "NotificationId bigint, ArtistId bigint, UserId string")
+    out = write_partitioned_csv(df, str(tmp_path / "n"), fmt="parquet")
+    back = spark.read.parquet(out)
+    assert sorted(tuple(r) for r in back.select("NotificationId", "ArtistId", "UserId").collect()) == \
+        [(1, 10, "u1"), (2, 20, "u3")]

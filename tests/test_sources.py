@@ -68,3 +68,16 @@ def test_inferred_ids_merge_like_the_reference(spark, tmp_csv):
     df = read_plays(spark, tmp_csv("plays", ["007,1,s1,d", "7,1,s1,d"]), infer=True)
     assert sorted(r.UserId for r in df.collect()) == ["7", "7"]
     assert df.dtypes == [("UserId", "string"), ("SongId", "string")]
+
+
+def test_columnar_sources_by_name(spark, tmp_path):
+    from audience_engine.sources.tables import plays_from_tables, song_artist_from_tables
+    from .conftest import SF_SMALL
+    p = str(tmp_path / "plays.parquet")
+    plays_from_tables(spark, SF_SMALL).write.parquet(p)
+    df = read_plays(spark, p, fmt="parquet")
+    assert df.columns == ["UserId", "SongId"] and df.count() == 6000
+    m = str(tmp_path / "meta.orc")
+    song_artist_from_tables(spark, SF_SMALL).write.orc(m)
+    meta = read_song_artist(spark, m, fmt="orc")
+    assert meta.dtypes == [("ArtistId", "bigint"), ("SongId", "string")] and meta.count() == 200
