@@ -141,6 +141,7 @@ _TAILS = {
     "q_index_users_stringindexer": "SELECT UserId, UserIndex FROM users",
     "q_activity": "SELECT UserId, SongId, UserIndex, SongIndex, hits FROM activity",
     "q_csv_plays": "SELECT UserId, SongId FROM plays",
+    "q_parquet_plays": "SELECT UserId, SongId FROM plays",
     "q_csv_roundtrip_clean": "SELECT ArtistId, SongId FROM song_artist",
     "q_csv_notification_artist": "SELECT NotificationId, ArtistId FROM notification_artist",
     "q_csv_notification_clicks": "SELECT NotificationId, UserId FROM clicks",

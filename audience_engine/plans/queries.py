@@ -174,6 +174,13 @@ def q_csv_plays(spark, sf_dir):
     return read_plays(spark, path)
 
 
+def q_parquet_plays(spark, sf_dir):
+    """S1 with a columnar source: the click log as parquet, read by name."""
+    path = scratch_path(spark, "plays-parquet")
+    plays_from_tables(spark, sf_dir).write.parquet(path)
+    return read_plays(spark, path, fmt="parquet")
+
+
 def q_csv_notification_artist(spark, sf_dir):
     """Notification -> artist CSV; every event's raw JSON props is
     also written as a notification id, which is malformed and dropped."""

@@ -23,9 +23,12 @@ def cap_rows(df: DataFrame, max_rows: int | None, order_by: Sequence[str] | None
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True, max_rows: int | None = None,
-                     order_by: Sequence[str] | None = None, mode: str = "overwrite") -> str:
-    """K1/K3 + T6: one part file in the folder ``path``."""
-    cap_rows(df, max_rows, order_by).coalesce(1).write.mode(mode).option("header", header).csv(path)
+                     order_by: Sequence[str] | None = None, mode: str = "overwrite", fmt: str = "csv") -> str:
+    """K1/K3 + T6: one part file in the folder ``path`` (``fmt`` for another format)."""
+    writer = cap_rows(df, max_rows, order_by).coalesce(1).write.mode(mode).format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", header)
+    writer.save(path)
     return path
 
 
