@@ -171,6 +171,7 @@ _TAILS = {
     "q_ctr_exact": _ctr("ctr_exact"),
     "q_ctr_keep_zero": _ctr("ctr_keep_zero"),
     "q_top5": _top("ctr_reference", "notificationClicks"),
+    "q_job_on_customer_groups": _top("ctr_reference", "notificationClicks"),
     "q_top5_by_ctr": _TOP_BY_CTR,
     "q_sink_partitioned": (
         "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),

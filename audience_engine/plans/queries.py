@@ -56,7 +56,7 @@ from ..sources.tables import (
     plays_from_tables,
     read_table,
 )
-from .pipeline import cluster_listeners, run
+from .pipeline import ClusteredListeners, analyse, cluster_listeners, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = PipelineConfig()
@@ -394,6 +394,15 @@ def q_sink_single(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def q_job_on_customer_groups(spark, sf_dir):
+    """C2-C6 exactly as the job runs them (``analyse``), on the data-derived
+    clusters instead of K-means, so the composite has a SQL twin."""
+    s = _Slice(spark, sf_dir)
+    listeners = ClusteredListeners(activity=s.activity, users=s.users, user_cluster=s.user_cluster,
+                                   als=None, kmeans=None)
+    return analyse(listeners, s.inputs, CFG).top
+
+
 def q_full_pipeline(spark, sf_dir):
     """The whole job with K-means clusters - top notifications."""
     return run(inputs_from_tables(spark, sf_dir), CFG).top
