@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +18,13 @@ from ..functions.vectors import squared_distance
 from ..session import cut_lineage
 
 
+def layout_points(vectors: DataFrame, id_col: str = "id") -> DataFrame:
+    """Points hash-partitioned by id (one partition per core) and sorted in
+    each partition: a fixed layout, so k-means|| sampling is repeatable."""
+    parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
+    return vectors.repartition(parts, id_col).sortWithinPartitions(id_col)
+
+
 def fit_kmeans(vectors: DataFrame, k: int = 275, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
                features_col: str = "features", id_col: str | None = "id") -> KMeansModel:
     """M9 fit: spark.ml K-means (k-means|| initialisation).  k above the
@@ -29,8 +37,7 @@ def fit_kmeans(vectors: DataFrame, k: int = 275, seed: int = 1, max_iter: int =
     and sorted inside each partition first, so the same points and seed give
     the same centres."""
     if id_col and id_col in vectors.columns:
-        parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
-        vectors = vectors.repartition(parts, id_col).sortWithinPartitions(id_col)
+        vectors = layout_points(vectors, id_col)
     km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features_col, predictionCol="prediction")
     return km.fit(vectors)
 
@@ -152,10 +159,12 @@ def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: flo
     them instead of recomputing whatever produced them (e.g. ALS)."""
     spark = vectors.sparkSession
     vectors = cut_lineage(vectors, "k-search-vectors")
+    laid_out = layout_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)  # once for every k
     rows = []
     for k in ks:
-        model = fit_kmeans(vectors, k=k, seed=seed, max_iter=max_iter, tol=tol)
+        model = fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None)
         rows.append((int(k), model_silhouette(model, vectors), float(model.summary.trainingCost)))
+    laid_out.unpersist()
     scored, chosen = choose_k(rows)
     schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"
     return KChoice(metrics=spark.createDataFrame(scored, schema), k=chosen)
