@@ -20,6 +20,7 @@ from .clustering import (
     cluster_sizes,
     cluster_users,
     fit_kmeans,
+    layout_points,
     mean_centres,
     model_silhouette,
     select_k,
@@ -44,7 +45,7 @@ __all__ = [
     "attach_clusters", "broadcast_if_small", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
     "notified_users", "top_artist_per_cluster", "user_clusters",
     "KChoice", "assign_clusters", "centres_frame", "choose_k", "cluster_sizes", "cluster_users", "fit_kmeans",
-    "mean_centres", "model_silhouette", "select_k", "silhouette", "squared_errors", "wssse",
+    "layout_points", "mean_centres", "model_silhouette", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
     "salted_join",
