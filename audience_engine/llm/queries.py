@@ -6,11 +6,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import pii, secrets
 from .common import table
 from .exact_dedup import exact_dedup
+from .langid import identify
 from .sharding import shard_documents
+from .toxicity import score_toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +42,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_langid": op2_langid,
     "op5_sharding": op5_sharding,
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
