@@ -12,6 +12,7 @@ from . import pii, secrets
 from .common import table
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .packing import pack
 from .sharding import shard_documents
 from .toxicity import score_toxicity
 
@@ -29,6 +30,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_langid": op2_langid,
     "op5_sharding": op5_sharding,
+    "op7_packing": op7_packing,
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
     "op10_exact_dedup": op10_exact_dedup,
