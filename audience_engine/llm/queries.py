@@ -12,6 +12,7 @@ from . import pii, secrets
 from .common import table
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .near_dedup import near_duplicates
 from .packing import pack
 from .sharding import shard_documents
 from .toxicity import score_toxicity
@@ -30,6 +31,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_langid": op2_langid,
     "op5_sharding": op5_sharding,
+    "op6_near_dedup": op6_near_dedup,
     "op7_packing": op7_packing,
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
