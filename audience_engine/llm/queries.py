@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import pii, secrets
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .langid import identify
 from .near_dedup import near_duplicates
@@ -27,6 +28,10 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=5, percent=80)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -54,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_langid": op2_langid,
+    "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_near_dedup": op6_near_dedup,
     "op7_packing": op7_packing,
