@@ -13,6 +13,7 @@ from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .lm_score import score_documents
 from .near_dedup import near_duplicates
 from .packing import pack
 from .sharding import shard_documents
@@ -28,6 +29,10 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=5, percent=80)
 
@@ -59,6 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_langid": op2_langid,
+    "op3_lm_score": op3_lm_score,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_near_dedup": op6_near_dedup,

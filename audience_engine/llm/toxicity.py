@@ -125,7 +125,7 @@ def _lexicon(sample: DataFrame) -> tuple[dict[str, float], float]:
                     for f in _features(w):
                         tokens[y][f] += k
             keys = list(tokens[0].keys() | tokens[1].keys())
-            yield pd.DataFrame({"token": keys, **{f"{n}{y}": [c[y][k] for k in keys] for n, c in (("t", tokens), ("d", docs)) for y in (0, 1)}})
+            yield pd.DataFrame({"token": pd.Series(keys, dtype=object), **{f"{n}{y}": [c[y][k] for k in keys] for n, c in (("t", tokens), ("d", docs)) for y in (0, 1)}})
             yield pd.DataFrame({"token": [""], "t0": [sum(words[0].values())], "t1": [sum(words[1].values())],
                                 "d0": [int((b["toxic"] == 0).sum())], "d1": [int((b["toxic"] != 0).sum())]})
 
