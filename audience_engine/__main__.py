@@ -10,8 +10,8 @@ a source folder and the four input names under it.
 
 Inputs are headerless CSV files, folders or globs on any Hadoop file system.
 With ``--out`` the notified clicks (partitioned by notification) and the top
-notifications (one CSV with a header) are written there; the top is always
-shown on the console.
+notifications (one CSV with a header) are written there.  The fit's k, silhouette
+and WSSSE and the top notifications are always shown on the console.
 """
 
 from __future__ import annotations
@@ -82,7 +82,9 @@ def main(argv: list[str] | None = None) -> None:
                         notification_artist=read_notification_artist(spark, args.notification_artist, args.infer, fmt),
                         notification_clicks=read_notification_clicks(spark, args.notification_clicks, args.infer, fmt))
     result = run(inputs, cfg, sink_dir=args.out)
+    result.quality().show(truncate=False)  # k, silhouette, WSSSE of the fit
     result.top.orderBy("rowNumber").show(truncate=False)  # K5
+    result.release()
 
 
 if __name__ == "__main__":

@@ -12,10 +12,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Text with a decimal point: the old cast kept the whole part.  No exponents.
+_DECIMAL = r"^\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)\s*$"
+
+
 def parse_id(col: str | Column, to: str = "bigint") -> Column:
-    """Text or number -> ``to``; malformed, empty or decimal text -> null."""
+    """Text or number -> ``to``; decimal text is cut to its whole part, as a number
+    is; malformed or empty text -> null."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast(to)
+    text = c.cast("string")
+    decimal = F.when(text.rlike(_DECIMAL), text.try_cast("decimal(38,18)").try_cast(to))
+    return F.coalesce(c.try_cast(to), decimal)
 
 
 def id_as_string(col: str | Column) -> Column:

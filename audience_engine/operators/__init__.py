@@ -1,10 +1,10 @@
 """Relational and ML operators; every public function is DataFrame -> DataFrame
-(or a fitted spark.ml model), lazy, with no action inside unless it says so."""
+(or a fitted spark.ml model).  Fits, rankings (``rank_labels``, ``index_ids``,
+``build_activity``) and ``select_k`` run jobs; the rest is lazy."""
 
 from .activity import Activity, build_activity, index_ids, label_frequencies, play_counts, rank_labels
 from .audience import (
     attach_clusters,
-    broadcast_if_small,
     build_audience,
     cluster_artist_hits,
     cluster_artist_hits_from_clustered,
@@ -23,6 +23,7 @@ from .clustering import (
     layout_points,
     mean_centres,
     model_silhouette,
+    nearest_centre,
     select_k,
     silhouette,
     squared_errors,
@@ -42,10 +43,10 @@ from .factors import factor_vectors, fit_taste_factors, standardise, user_factor
 
 __all__ = [
     "Activity", "build_activity", "index_ids", "label_frequencies", "play_counts", "rank_labels",
-    "attach_clusters", "broadcast_if_small", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
+    "attach_clusters", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
     "notified_users", "top_artist_per_cluster", "user_clusters",
     "KChoice", "assign_clusters", "centres_frame", "choose_k", "cluster_sizes", "cluster_users", "fit_kmeans",
-    "layout_points", "mean_centres", "model_silhouette", "select_k", "silhouette", "squared_errors", "wssse",
+    "layout_points", "mean_centres", "model_silhouette", "nearest_centre", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
     "salted_join",

@@ -3,16 +3,14 @@
 ALS needs dense int ids, so users and songs get an index: their frequency rank
 (0 = most played; ties by ascending id), the labels ``StringIndexer`` gives.
 ``StringIndexer`` collects every label on the driver, which does not scale to
-hundreds of millions of users; the default "sort" method ranks ids with a
-distributed range sort instead and gives the same labels.
+hundreds of millions of users; here ids are ranked with a distributed range
+sort, which gives the same labels.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,17 +35,20 @@ def label_frequencies(df: DataFrame, col: str, weight: str | None = None) -> Dat
     return df.groupBy(col).agg(agg.alias(_N))
 
 
-def _sorted_positions(freqs: DataFrame, col: str) -> DataFrame:
-    """Range-sort (frequency desc, label asc) - a total order - and tag each
-    row with its partition and position there; persisted, so that the
-    offsets and the positions below come from one planned sort."""
-    return (freqs.orderBy(F.desc(_N), F.asc(col))
-            .select(col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+def rank_labels(freqs: DataFrame, col: str, index_col: str) -> DataFrame:
+    """(label, index): frequency rank of every label, without a single-task step.
 
+    1. range-partition and sort by (frequency desc, label asc) - a total order -
+       and write each row with its partition and its position there;
+    2. partition sizes -> running offsets (one row per partition, so the
+       broadcast is bounded by the partition count) -> rank = offset + position.
 
-def _ranks(tagged: DataFrame, col: str, index_col: str) -> DataFrame:
-    """rank = rows in earlier partitions + position in the partition."""
+    The offsets and the positions must come from the same partitioning: both
+    read the written table, which a lost executor rereads."""
+    tagged = cut_lineage(
+        freqs.orderBy(F.desc(_N), F.asc(col)).select(
+            col, F.spark_partition_id().alias(_PART), F.monotonically_increasing_id().alias(_MID)),
+        f"order-{index_col}")
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_size"))
                .select(_PART, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
@@ -59,43 +60,12 @@ def _ranks(tagged: DataFrame, col: str, index_col: str) -> DataFrame:
             .select(col, (F.col("_offset") + position).cast("int").alias(index_col)))
 
 
-def rank_labels(freqs: DataFrame, col: str, index_col: str, table: str | None = None) -> DataFrame:
-    """Frequency rank of every label, computed without a single-task step.
-
-    1. range-partition and sort by (frequency desc, label asc) - a total order;
-    2. tag each row with its partition and its position there, and persist;
-    3. partition sizes -> running offsets (one row per partition, so the
-       broadcast is bounded by the partition count) -> rank = offset + position.
-
-    The offsets and the positions must come from the same partitioning.  The
-    persisted frame is planned once, so its range bounds are fixed; a lost
-    block is recomputed through the same shuffle with the same bounds, and the
-    total order puts every row back at the same position.
-
-    With ``table`` the (label, index) result is written to the shared folder
-    and the persisted frame released, so later steps read files only."""
-    tagged = _sorted_positions(freqs, col)
-    ranks = _ranks(tagged, col, index_col)
-    if table is None:
-        return ranks
-    ranks = cut_lineage(ranks, table)
-    tagged.unpersist()
-    return ranks
-
-
-def index_ids(plays: DataFrame, col: str, index_col: str, method: str = "sort",
-              freqs: DataFrame | None = None) -> DataFrame:
+def index_ids(plays: DataFrame, col: str, index_col: str, freqs: DataFrame | None = None) -> DataFrame:
     """M1/M2: (label, index int) for every label of ``col`` in ``plays``.
 
     ``freqs`` may carry precomputed (label, _n) frequencies (e.g. summed from
     play counts) so that the raw log is not scanned again."""
-    if method == "sort":
-        return rank_labels(freqs if freqs is not None else label_frequencies(plays, col), col, index_col)
-    if method == "stringindexer":
-        model = StringIndexer(inputCol=col, outputCol=index_col, stringOrderType="frequencyDesc").fit(plays)
-        labels = plays.select(col).distinct()
-        return model.transform(labels).select(col, F.col(index_col).cast("int").alias(index_col))
-    raise ValueError(f"unknown index method {method!r}")
+    return rank_labels(freqs if freqs is not None else label_frequencies(plays, col), col, index_col)
 
 
 @dataclass(frozen=True)
@@ -105,37 +75,17 @@ class Activity:
     songs: DataFrame     # SongId, SongIndex
 
 
-def build_activity(plays: DataFrame, method: str = "sort", checkpoint: bool = True) -> Activity:
+def build_activity(plays: DataFrame) -> Activity:
     """M1-M3 + A1: index users and songs, count plays per (user, song).
 
-    The counts are taken once; both indexes are ranked from them (the sum of
-    hits per label is its play count, the frequency ``StringIndexer`` uses),
-    so the raw log is read once.  The user index and the activity are written
-    to the shared folder: ALS, the popularity counts and the audience all
-    start from those files."""
-    pairs = play_counts(plays).persist(StorageLevel.MEMORY_AND_DISK)
-    if method == "stringindexer":
-        model = StringIndexer(inputCols=["UserId", "SongId"], outputCols=["UserIndex", "SongIndex"],
-                              stringOrderType="frequencyDesc").fit(plays)
-        indexed = model.transform(pairs)
-        activity = indexed.select("UserId", "SongId", F.col("UserIndex").cast("int").alias("UserIndex"),
-                                  F.col("SongIndex").cast("int").alias("SongIndex"), "hits")
-        if checkpoint:
-            activity = cut_lineage(activity, "activity")
-        users = activity.select("UserId", "UserIndex").distinct()
-        songs = activity.select("SongId", "SongIndex").distinct()
-    else:
-        # the user index is read again later (the audience), so it is written;
-        # the song index only feeds the activity table and is released after it
-        users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex",
-                            table="users" if checkpoint else None)
-        song_tags = _sorted_positions(label_frequencies(pairs, "SongId", "hits"), "SongId")
-        songs = _ranks(song_tags, "SongId", "SongIndex")
-        activity = (pairs.join(users, "UserId").join(songs, "SongId")
-                    .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
-        if checkpoint:
-            activity = cut_lineage(activity, "activity")
-            songs = activity.select("SongId", "SongIndex").distinct()
-            song_tags.unpersist()
-    pairs.unpersist()
-    return Activity(activity=activity, users=users, songs=songs)
+    The counts are taken once and written to the shared folder; both indexes
+    are ranked from them (the sum of hits per label is its play count, the
+    frequency ``StringIndexer`` uses), so the raw log is read once.  The activity
+    is written too: ALS, the popularity counts and the audience all start from
+    files, and nothing stays in executor memory."""
+    pairs = cut_lineage(play_counts(plays), "pairs")
+    users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex")
+    songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex")
+    activity = (pairs.join(users, "UserId").join(songs, "SongId")
+                .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
+    return Activity(activity=cut_lineage(activity, "activity"), users=users, songs=songs)

@@ -1,8 +1,7 @@
 """From clusters to audiences (J1-J4, A2, W1, W2; composites C2-C4).
 
 Sizes that bound the plans below: ``user_cluster`` has one row per user (grows
-with the data; broadcast only on request and after a row-count check);
-``cluster_artist`` has one row per cluster, at most k rows (a parameter), so
+with the data, so it is never broadcast by a hint); ``cluster_artist`` has one row per cluster, at most k rows (a parameter), so
 it is always safe to broadcast.
 """
 
@@ -14,27 +13,13 @@ from pyspark.sql import functions as F
 from .joins import salted_join
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows
-    (a bounded job: it stops reading after ``max_rows + 1`` rows); otherwise
-    the frame is returned as is and the join shuffles."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def attach_clusters(activity: DataFrame, user_cluster: DataFrame, broadcast: bool = False,
-                    broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def attach_clusters(activity: DataFrame, user_cluster: DataFrame) -> DataFrame:
     """Activity rows with their user's cluster.
 
     The reference forced a broadcast of the per-user table; that table grows
-    with the user count, so here the broadcast is a switch guarded by a row
-    count check, and by default AQE picks the strategy from runtime sizes
-    (and splits a skewed user's partition)."""
-    clusters = user_cluster.select("UserIndex", "cluster")
-    if broadcast:
-        clusters = broadcast_if_small(clusters, broadcast_max_rows)
-    return activity.join(clusters, "UserIndex").select(
+    with the user count, so AQE picks the strategy from runtime sizes in
+    bytes and splits a skewed user's partition."""
+    return activity.join(user_cluster.select("UserIndex", "cluster"), "UserIndex").select(
         "UserIndex", "UserId", "SongId", "SongIndex", "hits", "cluster")
 
 

@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
@@ -18,26 +18,26 @@ from ..functions.vectors import squared_distance
 from ..session import cut_lineage
 
 
-def layout_points(vectors: DataFrame, id_col: str = "id") -> DataFrame:
-    """Points hash-partitioned by id (one partition per core) and sorted in
-    each partition: a fixed layout, so k-means|| sampling is repeatable."""
-    parts = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
-    return vectors.repartition(parts, id_col).sortWithinPartitions(id_col)
+def layout_points(vectors: DataFrame, id_col: str = "id", partitions: int = 8) -> DataFrame:
+    """Points hash-partitioned by id into a fixed number of partitions and
+    sorted in each: a layout that depends on the points alone, so k-means||
+    sampling gives the same centres on any cluster."""
+    return vectors.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
 def fit_kmeans(vectors: DataFrame, k: int = 275, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
-               features_col: str = "features", id_col: str | None = "id") -> KMeansModel:
+               features_col: str = "features", id_col: str | None = "id", partitions: int = 8) -> KMeansModel:
     """M9 fit: spark.ml K-means (k-means|| initialisation).  k above the
     number of distinct points yields fewer centres, never an error.
 
     k-means|| samples each partition with a seed derived from the partition
     index, so a fit depends on which rows sit in which partition and in what
     order - and a table read back from files has no fixed order.  With an
-    ``id_col`` the points are hash-partitioned by id (one partition per core)
-    and sorted inside each partition first, so the same points and seed give
-    the same centres."""
+    ``id_col`` the points are hash-partitioned by id into ``partitions`` and
+    sorted inside each first, so the same points, seed and ``partitions`` give
+    the same centres, whatever the number of cores."""
     if id_col and id_col in vectors.columns:
-        vectors = layout_points(vectors, id_col)
+        vectors = layout_points(vectors, id_col, partitions)
     km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol=features_col, predictionCol="prediction")
     return km.fit(vectors)
 
@@ -63,11 +63,11 @@ def silhouette(predictions: DataFrame, features_col: str = "features", predictio
     return ev.evaluate(predictions)
 
 
-def model_silhouette(model: KMeansModel, vectors: DataFrame) -> float:
-    """Silhouette of a fitted model's assignment; 0 when the fit found a
-    single centre (the evaluator needs two clusters)."""
+def model_silhouette(model: KMeansModel, vectors: DataFrame) -> float | None:
+    """Silhouette of a fitted model's assignment; None (undefined) when the
+    fit found a single centre: the evaluator needs two clusters."""
     if len(model.clusterCenters()) < 2:
-        return 0.0
+        return None
     return float(silhouette(assign_clusters(model, vectors)))
 
 
@@ -111,6 +111,17 @@ def wssse(assigned: DataFrame, centres: DataFrame, features_col: str = "features
     return squared_errors(assigned, centres, features_col, prediction_col).agg(F.sum("sq_error").alias("wssse"))
 
 
+def nearest_centre(point: Column, centres: list[tuple[int, list[float]]]) -> Column:
+    """The label of the centre with the least squared distance to an array
+    column; ties go to the lower label.  The k centres are constants of the
+    expression: no join."""
+    def constant(c: list[float]) -> Column:  # one literal per centre; repr keeps every bit
+        return F.split(F.lit(",".join(repr(float(x)) for x in c)), ",").cast("array<double>")
+
+    apart = [F.struct(squared_distance(point, constant(c)).alias("d"), F.lit(int(label)).alias("label")) for label, c in centres]
+    return F.array_min(F.array(*apart))["label"]
+
+
 def mean_centres(assigned: DataFrame, features_col: str = "features", prediction_col: str = "cluster") -> DataFrame:
     """(cluster, centre array<double>): the mean point of each labelled
     cluster, for the WSSSE of a fixed labelling.  One aggregation (map-side
@@ -131,18 +142,20 @@ class KChoice:
     k: int
 
 
-def choose_k(rows: list[tuple[int, float, float]]) -> tuple[list[tuple], int]:
+def choose_k(rows: list[tuple[int, float | None, float]]) -> tuple[list[tuple], int]:
     """M12's rule on (k, silhouette, wssse) rows in sweep order.
 
     The first k is chosen; a later k is chosen when its relative change of
     silhouette (against the previous k's) exceeds that of the last chosen k
-    and its WSSSE is below the last chosen one's.  The first k's change is 0;
-    a previous silhouette of 0 gives a change of 0 rather than an infinity."""
+    and its WSSSE is below the last chosen one's.  The first k's change is 0.
+    A change against an undefined silhouette or one of 0 is undefined (None)
+    and never chosen."""
     out, chosen_k = [], None
     prev_sil, best_change, best_wssse = None, None, None
     for k, sil, cost in rows:
-        change = 0.0 if prev_sil in (None, 0.0) else (sil - prev_sil) / prev_sil
-        pick = chosen_k is None or (change > best_change and cost < best_wssse)
+        first = chosen_k is None
+        change = 0.0 if first else None if sil is None or not prev_sil else (sil - prev_sil) / prev_sil
+        pick = first or (change is not None and change > best_change and cost < best_wssse)
         if pick:
             chosen_k, best_change, best_wssse = k, change, cost
         out.append((k, sil, cost, change, pick))
@@ -150,7 +163,8 @@ def choose_k(rows: list[tuple[int, float, float]]) -> tuple[list[tuple], int]:
     return out, chosen_k
 
 
-def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: float = 1e-4) -> KChoice:
+def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
+             partitions: int = 8) -> KChoice:
     """Fit K-means for each k of the sweep, score it, apply the rule.
 
     The loop is over parameters (a handful of k values), not data: each fit
@@ -159,11 +173,11 @@ def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: flo
     them instead of recomputing whatever produced them (e.g. ALS)."""
     spark = vectors.sparkSession
     vectors = cut_lineage(vectors, "k-search-vectors")
-    laid_out = layout_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)  # once for every k
+    laid_out = layout_points(vectors, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)  # once for every k
     rows = []
     for k in ks:
         model = fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None)
-        rows.append((int(k), model_silhouette(model, vectors), float(model.summary.trainingCost)))
+        rows.append((int(k), model_silhouette(model, laid_out), float(model.summary.trainingCost)))
     laid_out.unpersist()
     scored, chosen = choose_k(rows)
     schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"

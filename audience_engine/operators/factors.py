@@ -8,22 +8,21 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import array_columns
 from ..session import checkpoint_root
 
 
 def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg: float = 0.01,
-                      alpha: float = 1.0, seed: int = 1, blocks: int | None = None,
+                      alpha: float = 1.0, seed: int = 1, blocks: int = 10,
                       user_col: str = "UserIndex", item_col: str = "SongIndex",
                       rating_col: str = "hits", checkpoint_interval: int = 4) -> ALSModel:
     """M4: implicit-feedback ALS on (user, song, hits).
 
     Always pass a seed: PySpark's default seed is a hash of the class name,
     which changes between Python processes.  ALS blocks its input by id and
-    shuffles once per half-iteration; each block is one task, so the block
-    count equals the cluster's parallelism: one wave of tasks per
-    half-iteration (spark.ml's fixed 10 leaves a large cluster idle and takes
-    two waves on 8 cores).  ``blocks`` overrides it.
+    draws each block's first factors by block number, so the factors depend on
+    ``blocks``: a fixed number (10, spark.ml's default) that gives the same
+    factors on any cluster.  A block is one task per half-iteration; raise the
+    number with the data.
 
     The factor RDDs are checkpointed to the shared checkpoint folder every
     ``checkpoint_interval`` iterations (spark.ml's default of 10 never fires
@@ -31,8 +30,6 @@ def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg
     through every earlier iteration.  Checkpointing does not change the
     factors."""
     checkpoint_root(activity.sparkSession)  # ALS skips checkpoints without a dir
-    if not blocks:
-        blocks = max(1, activity.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol=user_col, itemCol=item_col, ratingCol=rating_col,
               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=checkpoint_interval)
@@ -44,19 +41,17 @@ def user_factors(model: ALSModel) -> DataFrame:
     return model.userFactors
 
 
-def factor_vectors(factors: DataFrame, rank: int, include_id: bool = True,
+def factor_vectors(factors: DataFrame, include_id: bool = True,
                    id_col: str = "id", array_col: str = "features") -> DataFrame:
-    """M6/M7 + P7: (id, features vector).
+    """M6/M7 + P7: (id, features vector) from the whole array.
 
     The reference assembles every column left after splitting the factor
-    array - the id first, then ``feature_col_1..rank`` - so the id is a
-    clustering feature; ``include_id=False`` clusters on the factors alone."""
-    if not include_id:
-        return factors.select(id_col, array_to_vector(array_col).alias("features"))
-    cols = factors.select(id_col, *array_columns(array_col, rank))
-    names = [id_col] + [f"feature_col_{i + 1}" for i in range(rank)]
-    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(cols)
-    return assembled.select(id_col, "features")
+    array - the id first, then the factors - so the id is a clustering
+    feature; ``include_id=False`` clusters on the factors alone."""
+    values = F.col(array_col).cast("array<double>")
+    if include_id:
+        values = F.concat(F.array(F.col(id_col).cast("double")), values)
+    return factors.select(id_col, array_to_vector(values).alias("features"))
 
 
 def vectorize_columns(df: DataFrame, exclude: tuple[str, ...] = (), out_col: str = "features") -> DataFrame:

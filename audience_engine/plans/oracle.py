@@ -138,17 +138,26 @@ _TAILS = {
     "q_play_counts": "SELECT UserId, SongId, hits FROM pairs",
     "q_index_users": "SELECT UserId, UserIndex FROM users",
     "q_index_songs": "SELECT SongId, SongIndex FROM songs",
-    "q_index_users_stringindexer": "SELECT UserId, UserIndex FROM users",
     "q_activity": "SELECT UserId, SongId, UserIndex, SongIndex, hits FROM activity",
     "q_csv_plays": "SELECT UserId, SongId FROM plays",
     "q_parquet_plays": "SELECT UserId, SongId FROM plays",
-    "q_csv_roundtrip_clean": "SELECT ArtistId, SongId FROM song_artist",
+    # a price of 1,000 or more is written with a comma and stays malformed
+    "q_csv_roundtrip_clean": (
+        "SELECT ArtistId, SongId FROM song_artist UNION ALL "
+        "SELECT CAST(floor(round(p_retailprice, 2)) AS BIGINT) AS ArtistId, CAST(p_partkey AS VARCHAR) AS SongId "
+        "FROM part WHERE round(p_retailprice, 2) < 1000"),
+    "q_csv_infer_plays": "SELECT UserId, SongId FROM plays",
+    "q_csv_infer_song_artist": (
+        "SELECT ArtistId, SongId FROM song_artist UNION ALL "
+        "SELECT CAST(floor(round(p_retailprice, 2)) AS BIGINT) AS ArtistId, CAST(p_partkey AS VARCHAR) AS SongId FROM part"),
+    "q_als_normal_equations": "SELECT UserIndex, true AS solved FROM users",
+    "q_kmeans_clusters_check": "SELECT UserIndex, true AS nearest FROM users",
+    "q_job_against_reference": "SELECT k AS NotificationId, CAST(0 AS BIGINT) AS differing FROM ks WHERE k IS NOT NULL",
+    "q_sink_audience": "SELECT DISTINCT UserId, cluster, ArtistId, artistCluster FROM audience_bag",
     "q_csv_notification_artist": "SELECT NotificationId, ArtistId FROM notification_artist",
     "q_csv_notification_clicks": "SELECT NotificationId, UserId FROM clicks",
     "q_cluster_sizes": "SELECT cluster, COUNT(*) AS count FROM user_cluster GROUP BY cluster",
     "q_clustered_activity": "SELECT UserIndex, UserId, SongId, SongIndex, hits, cluster FROM clustered_activity",
-    "q_clustered_activity_broadcast": (
-        "SELECT UserIndex, UserId, SongId, SongIndex, hits, cluster FROM clustered_activity"),
     "q_cluster_artist_hits": "SELECT cluster, ArtistId, artistHits FROM hits",
     "q_cluster_artist_hits_reference": "SELECT cluster, ArtistId, artistHits FROM hits",
     "q_cluster_artist_plays": (
@@ -214,6 +223,44 @@ FROM x JOIN centre c ON x.label = c.label AND x.d = c.d
 GROUP BY x.label
 """
 
+# The nearest label mean of each point by squared distance, ties to the lower label.
+_NEAREST = _POINTS + """,
+apart AS (
+    SELECT x.vec_id, c.label, SUM((x.v - c.m) * (x.v - c.m)) AS d2
+    FROM x JOIN centre c ON x.d = c.d GROUP BY x.vec_id, c.label
+)
+SELECT vec_id, CAST(label AS INTEGER) AS cluster
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, label) AS rn FROM apart) t
+WHERE rn = 1
+"""
+
+# The rule over k: a later k is chosen when its change of silhouette beats that of the
+# last chosen k and its WSSSE is below that one's.
+_CHOOSE_K = """
+WITH RECURSIVE m AS (
+    SELECT CAST(c_nationkey AS INTEGER) AS k, round(avg(CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END), 6) AS silhouette,
+           CAST(COUNT(*) AS DOUBLE) AS wssse
+    FROM customer GROUP BY c_nationkey
+),
+o AS (
+    SELECT *, row_number() OVER (ORDER BY k) AS i, lag(silhouette) OVER (ORDER BY k) AS before FROM m
+),
+r AS (
+    SELECT i, k, silhouette, wssse, CAST(0 AS DOUBLE) AS silhouette_change, true AS chosen,
+           CAST(0 AS DOUBLE) AS best_change, wssse AS best_wssse
+    FROM o WHERE i = 1
+    UNION ALL
+    SELECT o.i, o.k, o.silhouette, o.wssse, (o.silhouette - o.before) / nullif(o.before, 0),
+           coalesce((o.silhouette - o.before) / nullif(o.before, 0) > r.best_change AND o.wssse < r.best_wssse, false),
+           CASE WHEN coalesce((o.silhouette - o.before) / nullif(o.before, 0) > r.best_change AND o.wssse < r.best_wssse, false)
+                THEN (o.silhouette - o.before) / o.before ELSE r.best_change END,
+           CASE WHEN coalesce((o.silhouette - o.before) / nullif(o.before, 0) > r.best_change AND o.wssse < r.best_wssse, false)
+                THEN o.wssse ELSE r.best_wssse END
+    FROM r JOIN o ON o.i = r.i + 1
+)
+SELECT k, silhouette, wssse, round(silhouette_change, 6) AS silhouette_change, chosen FROM r
+"""
+
 # Silhouette with squared Euclidean distance, from per-cluster sums: the mean
 # squared distance of point p to cluster C is |p|^2 + sum_C|q|^2/n_C - 2 p.sum_C q/n_C;
 # a point's own cluster is averaged over n_C - 1 others; singletons score 0.
@@ -249,6 +296,12 @@ def oracle_sql() -> dict[str, str]:
     out = {name: _BASE + tail for name, tail in _TAILS.items()}
     out["q_factor_vectors_scaled"] = _scaled(True)
     out["q_factor_vectors_no_id"] = _scaled(False)
+    out["q_vectorize_columns"] = (
+        "SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim, "
+        "round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings")
+    out["q_kmeans_embeddings_check"] = "SELECT vec_id, true AS nearest FROM embeddings"
+    out["q_kmeans_assign_fixed_centres"] = _NEAREST
+    out["q_choose_k_on_nations"] = _CHOOSE_K
     out["q_wssse_fixed_labels"] = _WSSSE
     out["q_silhouette_fixed_labels"] = _SILHOUETTE
     return out

@@ -1,17 +1,17 @@
 """The whole job.
 
-Lineage is cut (a parquet table in the shared checkpoint folder) at the two
-points later steps read from: the indexed activity (input of ALS, of the
-popularity counts and of the audience) and the scaled user vectors (output
-of ALS, input of K-means and of the cluster assignment).  A lost executor
-then rereads those files instead of refitting ALS.
+Lineage is cut (a parquet table in the shared checkpoint folder) wherever
+later steps read more than once: the play counts and both index orders, the
+indexed activity, the user factors and scaled vectors (so nobody refits ALS),
+the cluster of each user, the top artists and the audience.  A lost executor
+rereads those files; nothing is left persisted, and ``JobResult.release``
+deletes them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
@@ -26,7 +26,7 @@ from ..operators.audience import (
     top_artist_per_cluster,
     user_clusters,
 )
-from ..operators.clustering import assign_clusters, fit_kmeans, model_silhouette
+from ..operators.clustering import assign_clusters, fit_kmeans, model_silhouette, select_k
 from ..operators.ctr import (
     click_counts,
     clicked_audience,
@@ -35,8 +35,8 @@ from ..operators.ctr import (
     top_notifications,
 )
 from ..operators.factors import factor_vectors, fit_taste_factors, standardise, user_factors
-from ..session import cut_lineage
-from ..sinks.csv import write_partitioned_csv, write_single_csv
+from ..session import cut_lineage, drop_tables, released_blocks, scratch_tables
+from ..sinks.csv import write_files, write_partitioned_csv, write_single_csv
 from ..sources.tables import Inputs
 
 
@@ -47,36 +47,45 @@ class ClusteredListeners:
     user_cluster: DataFrame  # UserIndex, features, cluster
     als: ALSModel
     kmeans: KMeansModel
+    k: int | None = None
     silhouette: float | None = None
     wssse: float | None = None
 
 
 def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> ClusteredListeners:
     """Click log -> indexed activity -> ALS factors -> scaled vectors ->
-    K-means clusters per user."""
-    act = build_activity(plays, method=cfg.index_method)
-    als = fit_taste_factors(act.activity, rank=cfg.rank, max_iter=cfg.max_iter, reg=cfg.reg, alpha=cfg.alpha,
-                            seed=cfg.als_seed, blocks=cfg.als_blocks)
-    vectors = standardise(factor_vectors(user_factors(als), rank=cfg.rank, include_id=cfg.include_id))
-    vectors = cut_lineage(vectors, "vectors")
-    km = fit_kmeans(vectors, k=cfg.k, seed=cfg.kmeans_seed, max_iter=cfg.kmeans_max_iter, tol=cfg.kmeans_tol)
-    uc = assign_clusters(km, vectors)  # a narrow map over the written vectors
-    sil = wss = None
-    if cfg.evaluate:
-        sil = model_silhouette(km, vectors)
-        wss = float(km.summary.trainingCost)
+    K-means clusters per user.  With ``search_k`` the k comes from the
+    reference's search (M12)."""
+    act = build_activity(plays)
+    # what spark.ml keeps persisted is released once the vectors and the labels are written
+    with released_blocks(plays.sparkSession):
+        als = fit_taste_factors(act.activity, rank=cfg.rank, max_iter=cfg.max_iter, reg=cfg.reg, alpha=cfg.alpha,
+                                seed=cfg.als_seed, blocks=cfg.als_blocks)
+        factors = cut_lineage(user_factors(als), "factors")
+        vectors = cut_lineage(standardise(factor_vectors(factors, include_id=cfg.include_id)), "vectors")
+        k = cfg.k
+        if cfg.search_k:
+            k = select_k(vectors, range(cfg.k_from, cfg.k_to + 1, cfg.k_step), seed=cfg.kmeans_seed,
+                         max_iter=cfg.kmeans_max_iter, tol=cfg.kmeans_tol, partitions=cfg.kmeans_partitions).k
+        km = fit_kmeans(vectors, k=k, seed=cfg.kmeans_seed, max_iter=cfg.kmeans_max_iter, tol=cfg.kmeans_tol,
+                        partitions=cfg.kmeans_partitions)
+        uc = cut_lineage(assign_clusters(km, vectors), "user-cluster")
+        sil = wss = None
+        if cfg.evaluate:
+            sil = model_silhouette(km, vectors)
+            wss = float(km.summary.trainingCost)
     return ClusteredListeners(activity=act.activity, users=act.users, user_cluster=uc, als=als, kmeans=km,
-                              silhouette=sil, wssse=wss)
+                              k=k, silhouette=sil, wssse=wss)
 
 
 def popular_artists(listeners: ClusteredListeners, song_artist: DataFrame,
                     cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """(cluster, ArtistId, artistCluster).
 
-    At most k rows, but each costs a pass over the whole activity; persisted
-    so that every later action (sinks, the top report) reuses them."""
+    At most k rows, but each costs a pass over the whole activity; written,
+    so that every later step reads those rows."""
     hits = cluster_artist_hits(listeners.activity, listeners.user_cluster, song_artist, weight=cfg.weight)
-    return top_artist_per_cluster(hits).persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(top_artist_per_cluster(hits), "cluster-artist")
 
 
 def audience_of(listeners: ClusteredListeners, cluster_artist: DataFrame,
@@ -86,8 +95,7 @@ def audience_of(listeners: ClusteredListeners, cluster_artist: DataFrame,
     if cfg.distinct_audience:
         return build_audience(user_clusters(listeners.users, listeners.user_cluster), cluster_artist,
                               unique_input=True)
-    bag = attach_clusters(listeners.activity, listeners.user_cluster, broadcast=cfg.broadcast_clusters)
-    return build_audience(bag, cluster_artist, distinct=False)
+    return build_audience(attach_clusters(listeners.activity, listeners.user_cluster), cluster_artist, distinct=False)
 
 
 @dataclass
@@ -98,16 +106,22 @@ class JobResult:
     notified_clicks: DataFrame
     ctr: DataFrame
     top: DataFrame
+    salts: int = 32
+    tables: list[str] = field(default_factory=list)
 
     def notified(self, notification_artist: DataFrame) -> DataFrame:
         """C4: the full notification list (large; built only on request)."""
-        return notified_users(notification_artist, self.audience)
+        return notified_users(notification_artist, self.audience, salts=self.salts)
+
+    def quality(self) -> DataFrame:
+        """The figures the reference prints after each fit: k, silhouette, WSSSE (one row)."""
+        row = (self.listeners.k, self.listeners.silhouette, self.listeners.wssse)
+        return self.top.sparkSession.createDataFrame([row], "k int, silhouette double, wssse double")
 
     def release(self) -> None:
-        """Drop the relations the job kept in executor memory (the top artists,
-        the audience and, with sinks, the clicked rows)."""
-        for df in (self.cluster_artist, self.audience, self.notified_clicks):
-            df.unpersist()
+        """Deletes the job's intermediate tables.  The frames above read them and
+        are of no use afterwards; what the sinks wrote stays."""
+        drop_tables(self.top.sparkSession, self.tables)
 
 
 def analyse(listeners: ClusteredListeners, inputs: Inputs, cfg: PipelineConfig = PipelineConfig(),
@@ -115,27 +129,34 @@ def analyse(listeners: ClusteredListeners, inputs: Inputs, cfg: PipelineConfig =
     """C2-C6 on fitted clusters: popular artist per cluster, audience, clicks,
     CTR and the top notifications.  With ``sink_dir`` the notified clicks (K2)
     and the top notifications (K3) are written as the reference's cluster
-    mode did."""
-    cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
-    # read by the click side and the target side: without this the two
-    # branches (pruned to different columns) would each rebuild it
-    audience = audience_of(listeners, cluster_artist, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience,
-                               dedupe_clicks=cfg.dedupe_clicks)
-    targets = target_counts(inputs.notification_artist, audience, audience_is_set=cfg.distinct_audience)
-    ctr = notification_ctr(click_counts(clicked), targets,
-                           fanout=cfg.fanout, keep_zero_click=cfg.keep_zero_click)
-    top = top_notifications(ctr, n=cfg.top_n, rank_by=cfg.rank_by)
-    if sink_dir:
-        # two actions read the clicked rows: keep them rather than join twice
-        clicked.persist(StorageLevel.MEMORY_AND_DISK)
-        base = sink_dir.rstrip("/")
-        write_partitioned_csv(clicked, f"{base}/notifications", max_rows=cfg.sink_max_rows)
-        write_single_csv(top, f"{base}/top5/CTR.csv", max_rows=cfg.sink_max_rows)
+    mode did, and with ``write_audience`` the audience (K1)."""
+    with scratch_tables() as tables:
+        cluster_artist = popular_artists(listeners, inputs.song_artist, cfg)
+        # read by the click side and the target side: without the table the two
+        # branches (pruned to different columns) would each rebuild it
+        audience = cut_lineage(audience_of(listeners, cluster_artist, cfg), "audience")
+        clicked = clicked_audience(inputs.notification_clicks, inputs.notification_artist, audience,
+                                   dedupe_clicks=cfg.dedupe_clicks, salts=cfg.salts)
+        if sink_dir:
+            clicked = cut_lineage(clicked, "clicked")  # read by the sink and by the counts
+        targets = target_counts(inputs.notification_artist, audience, audience_is_set=cfg.distinct_audience)
+        ctr = notification_ctr(click_counts(clicked), targets,
+                               fanout=cfg.fanout, keep_zero_click=cfg.keep_zero_click)
+        top = top_notifications(ctr, n=cfg.top_n, rank_by=cfg.rank_by)
+        if sink_dir:
+            top = cut_lineage(top, "top")  # the report's n rows: computed once, written and shown
+            base = sink_dir.rstrip("/")
+            write_partitioned_csv(clicked, f"{base}/notifications", salts=cfg.sink_salts)
+            write_single_csv(top, f"{base}/top5/CTR.csv")
+            if cfg.write_audience:
+                write_files(audience, f"{base}/audience", rows_per_file=cfg.audience_rows_per_file)
     return JobResult(listeners=listeners, cluster_artist=cluster_artist, audience=audience,
-                     notified_clicks=clicked, ctr=ctr, top=top)
+                     notified_clicks=clicked, ctr=ctr, top=top, salts=cfg.salts, tables=list(tables))
 
 
 def run(inputs: Inputs, cfg: PipelineConfig = PipelineConfig(), sink_dir: str | None = None) -> JobResult:
     """The whole job - C1 then C2-C6 (and the sinks)."""
-    return analyse(cluster_listeners(inputs.plays, cfg), inputs, cfg, sink_dir)
+    with scratch_tables() as tables:
+        result = analyse(cluster_listeners(inputs.plays, cfg), inputs, cfg, sink_dir)
+    result.tables = list(tables)
+    return result

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
+from functools import cached_property
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,11 @@ from ..operators.audience import (
 )
 from ..operators.clustering import (
     assign_clusters,
+    choose_k,
     cluster_sizes,
     fit_kmeans,
     mean_centres,
+    nearest_centre,
     select_k,
     silhouette,
     squared_errors,
@@ -45,9 +48,10 @@ from ..operators.ctr import (
     target_counts_from_notified,
     top_notifications,
 )
-from ..operators.factors import factor_vectors, fit_taste_factors, standardise, user_factors
-from ..session import scratch_path
-from ..sinks.csv import write_partitioned_csv, write_single_csv
+from ..functions.vectors import array_columns
+from ..operators.factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
+from ..session import cut_lineage, released_blocks, scratch_path
+from ..sinks.csv import write_files, write_partitioned_csv, write_single_csv
 from ..sources.csv import PLAYS, read_notification_artist, read_notification_clicks, read_plays, read_song_artist
 from ..sources.tables import (
     inputs_from_tables,
@@ -84,27 +88,44 @@ class _Slice:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.inputs = inputs_from_tables(spark, sf_dir)
-        act = build_activity(self.inputs.plays)
-        self.activity, self.users = act.activity, act.users
-        self.user_cluster = self.users.join(customer_groups(spark, sf_dir), "UserId").select("UserIndex", "cluster")
-        self._audience: DataFrame | None = None
+        self.groups = customer_groups(spark, sf_dir)
+
+    @cached_property
+    def _built(self):
+        return build_activity(self.inputs.plays)
+
+    @property
+    def activity(self) -> DataFrame:
+        return self._built.activity
+
+    @cached_property
+    def users(self) -> DataFrame:
+        """The user index alone, without the activity, if nothing has asked for that."""
+        return self._built.users if "_built" in self.__dict__ else index_ids(self.inputs.plays, "UserId", "UserIndex")
+
+    @cached_property
+    def user_cluster(self) -> DataFrame:
+        return self.users.join(self.groups, "UserId").select("UserIndex", "cluster")
 
     def hits(self, weight: str = "pairs") -> DataFrame:
-        return cluster_artist_hits(self.activity, self.user_cluster, self.inputs.song_artist, weight=weight)
+        activity = self.activity  # first, so that its user index is the one in use
+        return cluster_artist_hits(activity, self.user_cluster, self.inputs.song_artist, weight=weight)
 
     def cluster_artist(self) -> DataFrame:
         return top_artist_per_cluster(self.hits())
 
+    @cached_property
+    def _audience(self) -> DataFrame:
+        top = self.cluster_artist()
+        # read by several branches of one query: built once
+        return cut_lineage(build_audience(user_clusters(self.users, self.user_cluster), top, unique_input=True), "audience")
+
     def audience(self) -> DataFrame:
-        if self._audience is None:
-            # read by several branches of one query: built once
-            self._audience = build_audience(user_clusters(self.users, self.user_cluster), self.cluster_artist(),
-                                            unique_input=True).persist(StorageLevel.MEMORY_AND_DISK)
         return self._audience
 
     def audience_bag(self) -> DataFrame:
-        return build_audience(attach_clusters(self.activity, self.user_cluster), self.cluster_artist(),
-                              distinct=False)
+        activity = self.activity
+        return build_audience(attach_clusters(activity, self.user_cluster), self.cluster_artist(), distinct=False)
 
     def notified(self) -> DataFrame:
         return notified_users(self.inputs.notification_artist, self.audience())
@@ -120,12 +141,10 @@ class _Slice:
                                 fanout=fanout, keep_zero_click=keep_zero_click)
 
 
-def _embedding_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+def _embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, features array<float>) from the whole embedding - the shape of ALS
     user factors, with the embedding width as the rank."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    width = emb.select(F.max(F.size("embedding")).alias("w")).first().w
-    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features")), int(width)
+    return read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
 
 
 def _long_vectors(vecs: DataFrame) -> DataFrame:
@@ -155,10 +174,6 @@ def q_index_songs(spark, sf_dir):
     return index_ids(plays, "SongId", "SongIndex")
 
 
-def q_index_users_stringindexer(spark, sf_dir):
-    return index_ids(inputs_from_tables(spark, sf_dir).plays, "UserId", "UserIndex", method="stringindexer")
-
-
 def q_activity(spark, sf_dir):
     return build_activity(inputs_from_tables(spark, sf_dir).plays).activity
 
@@ -207,8 +222,9 @@ def q_csv_notification_clicks(spark, sf_dir):
 
 
 def q_csv_roundtrip_clean(spark, sf_dir):
-    """Song metadata CSV with malformed rows - text ids,
-    decimal ids, missing ids - which are dropped on read."""
+    """Song metadata CSV with text ids, ids with a thousands comma and
+    missing ids, which are dropped on read, and decimal ids, which are cut to
+    their whole part."""
     part = read_table(spark, sf_dir, "part")
     song = F.col("p_partkey").cast("string").alias("SongId")
     good = part.select(song, F.regexp_extract("p_brand", r"(\d+)\s*$", 1).alias("ArtistId"))
@@ -220,24 +236,80 @@ def q_csv_roundtrip_clean(spark, sf_dir):
     return read_song_artist(spark, path)
 
 
-# -- ML (no SQL twin except where noted) --------------------------------------
+def q_csv_infer_plays(spark, sf_dir):
+    """The click log as headerless CSV, column types inferred."""
+    path = scratch_path(spark, "plays-infer")
+    raw = plays_from_tables(spark, sf_dir)
+    raw.select(*[F.col(c).cast("string") for c in raw.columns]).write.option("header", False).csv(path)
+    return read_plays(spark, path, infer=True)
 
-def q_als_user_factors(spark, sf_dir):
+
+def q_csv_infer_song_artist(spark, sf_dir):
+    """Song metadata with whole and decimal artist ids, inferred as a
+    number and cut to the whole part."""
+    part = read_table(spark, sf_dir, "part")
+    song = F.col("p_partkey").cast("string").alias("SongId")
+    good = part.select(song, F.regexp_extract("p_brand", r"(\d+)\s*$", 1).alias("ArtistId"))
+    decimal = part.select(song, F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("ArtistId"))
+    path = scratch_path(spark, "song-artist-infer")
+    good.unionByName(decimal).write.option("header", False).csv(path)
+    return read_song_artist(spark, path, infer=True)
+
+
+# -- ML ------------------------------------------------------------------------
+# Fits have no SQL twin; each has a query that checks it in Spark, with a twin.
+
+def _als(spark, sf_dir):
+    """The activity, and the written user and item factors of the job's ALS fit."""
     act = build_activity(inputs_from_tables(spark, sf_dir).plays).activity
-    model = fit_taste_factors(act, rank=CFG.rank, max_iter=CFG.max_iter, reg=CFG.reg, alpha=CFG.alpha,
-                              seed=CFG.als_seed)
-    return user_factors(model)
+    with released_blocks(spark):
+        model = fit_taste_factors(act, rank=CFG.rank, max_iter=CFG.max_iter, reg=CFG.reg, alpha=CFG.alpha,
+                                  seed=CFG.als_seed, blocks=CFG.als_blocks)
+        return act, cut_lineage(user_factors(model), "factors"), cut_lineage(model.itemFactors, "item-factors")
+
+
+def q_als_user_factors(spark, sf_dir):
+    return _als(spark, sf_dir)[1]
+
+
+def q_als_normal_equations(spark, sf_dir):
+    """M4, M5: per user, whether the factors x solve the implicit normal equations
+    (Y'Y + reg n I + sum alpha hits y y') x = sum (1 + alpha hits) y, up to a thousandth
+    of the right-hand side's largest entry (factors are single precision)."""
+    act, users, items = _als(spark, sf_dir)
+    r = range(CFG.rank)
+    x = users.select(F.col("id").alias("UserIndex"), *array_columns("features", CFG.rank, "x"))
+    y = items.select(F.col("id").alias("SongIndex"), *array_columns("features", CFG.rank, "y"))
+    square = items.select(*array_columns("features", CFG.rank, "y")).agg(
+        *[F.sum(F.col(f"y{i + 1}").cast("double") * F.col(f"y{j + 1}")).alias(f"g{i}_{j}") for i in r for j in r]).first()
+    each = act.select("UserIndex", "SongIndex", "hits").join(y, "SongIndex").join(x, "UserIndex")
+    dot = sum((F.col(f"x{i + 1}").cast("double") * F.col(f"y{i + 1}") for i in r), F.lit(0.0))
+    sums = each.groupBy("UserIndex", *[f"x{i + 1}" for i in r]).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(CFG.alpha * F.col("hits") * dot * F.col(f"y{i + 1}")).alias(f"a{i}") for i in r],
+        *[F.sum((1 + CFG.alpha * F.col("hits")) * F.col(f"y{i + 1}").cast("double")).alias(f"b{i}") for i in r])
+    off = [sum((F.lit(float(square[f"g{i}_{j}"])) * F.col(f"x{j + 1}") for j in r), F.lit(0.0))
+           + CFG.reg * F.col("n") * F.col(f"x{i + 1}") + F.col(f"a{i}") - F.col(f"b{i}") for i in r]
+    scale = F.greatest(*[F.abs(F.col(f"b{i}")) for i in r])
+    return sums.select("UserIndex", (F.greatest(*[F.abs(o) for o in off]) <= 1e-3 * scale).alias("solved"))
 
 
 def q_factor_vectors_scaled(spark, sf_dir):
     """M6-M8, P7 on the embeddings: id + every value, standardised (long form)."""
-    raw, width = _embedding_vectors(spark, sf_dir)
-    return _long_vectors(standardise(factor_vectors(raw, rank=width, include_id=True)))
+    return _long_vectors(standardise(factor_vectors(_embedding_vectors(spark, sf_dir), include_id=True)))
 
 
 def q_factor_vectors_no_id(spark, sf_dir):
-    raw, width = _embedding_vectors(spark, sf_dir)
-    return _long_vectors(standardise(factor_vectors(raw, rank=width, include_id=False)))
+    return _long_vectors(standardise(factor_vectors(_embedding_vectors(spark, sf_dir), include_id=False)))
+
+
+def q_vectorize_columns(spark, sf_dir):
+    """Every embedding value as a column of its own, then all columns but
+    the id assembled into one vector (long form)."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    width = int(emb.select(F.max(F.size("embedding")).alias("w")).first().w or 0)
+    wide = emb.select(F.col("vec_id").alias("id"), *array_columns("embedding", width))
+    return _long_vectors(vectorize_columns(wide, exclude=("id",)).select("id", "features"))
 
 
 def q_kmeans_clusters(spark, sf_dir):
@@ -247,9 +319,41 @@ def q_kmeans_clusters(spark, sf_dir):
 
 def q_kmeans_embeddings(spark, sf_dir):
     """M9 on the embeddings with k = 10 labels: (vec_id, cluster)."""
+    return _embedding_clusters(spark, sf_dir)[1]
+
+
+def _embedding_clusters(spark, sf_dir):
     pts = _embedding_labelled(spark, sf_dir).select(F.col("vec_id").alias("id"), "features")
-    model = fit_kmeans(pts, k=10, seed=CFG.kmeans_seed)
-    return assign_clusters(model, pts).select(F.col("UserIndex").alias("vec_id"), "cluster")
+    with released_blocks(spark):
+        model = fit_kmeans(pts, k=10, seed=CFG.kmeans_seed, partitions=CFG.kmeans_partitions)
+    return model, assign_clusters(model, pts).select(F.col("UserIndex").alias("vec_id"), "cluster")
+
+
+def _centres(model) -> list[tuple[int, list[float]]]:
+    return [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+
+
+def q_kmeans_embeddings_check(spark, sf_dir):
+    """M9: every embedding is labelled once, with the nearest of the fitted centres."""
+    model, labelled = _embedding_clusters(spark, sf_dir)
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return emb.join(labelled, "vec_id").select(
+        "vec_id", (F.col("cluster") == nearest_centre(F.col("embedding"), _centres(model))).alias("nearest"))
+
+
+def q_kmeans_clusters_check(spark, sf_dir):
+    """Every user is labelled once, with the nearest of the job's centres."""
+    listeners = cluster_listeners(inputs_from_tables(spark, sf_dir).plays, CFG)
+    x = vector_to_array("features")
+    return listeners.user_cluster.select(
+        "UserIndex", (F.col("cluster") == nearest_centre(x, _centres(listeners.kmeans))).alias("nearest"))
+
+
+def q_kmeans_assign_fixed_centres(spark, sf_dir):
+    """M9's assignment with given centres, the label means: (vec_id, cluster), ties to the lower label."""
+    pts = _embedding_labelled(spark, sf_dir)
+    centres = sorted((r["cluster"], list(r["centre"])) for r in mean_centres(pts).collect())
+    return read_table(spark, sf_dir, "embeddings").select("vec_id", nearest_centre(F.col("embedding"), centres).alias("cluster"))
 
 
 def q_wssse_fixed_labels(spark, sf_dir):
@@ -267,12 +371,20 @@ def q_silhouette_fixed_labels(spark, sf_dir):
 
 
 def q_select_k(spark, sf_dir):
-    inputs = inputs_from_tables(spark, sf_dir)
-    act = build_activity(inputs.plays).activity
-    model = fit_taste_factors(act, rank=CFG.rank, max_iter=CFG.max_iter, reg=CFG.reg, alpha=CFG.alpha,
-                              seed=CFG.als_seed)
-    vecs = standardise(factor_vectors(user_factors(model), rank=CFG.rank, include_id=CFG.include_id))
-    return select_k(vecs, K_SWEEP, seed=CFG.kmeans_seed).metrics
+    vecs = standardise(factor_vectors(_als(spark, sf_dir)[1], include_id=CFG.include_id))
+    with released_blocks(spark):
+        return select_k(vecs, K_SWEEP, seed=CFG.kmeans_seed, partitions=CFG.kmeans_partitions).metrics
+
+
+def q_choose_k_on_nations(spark, sf_dir):
+    """M12's selection rule on metrics taken from the tables: per nation, the share of
+    its customers in debt stands for the silhouette and their count for the WSSSE."""
+    rows = read_table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("int").alias("k")).agg(
+        F.round(F.avg(F.when(F.col("c_acctbal") < 0, 1.0).otherwise(0.0)), 6).alias("silhouette"),
+        F.count(F.lit(1)).cast("double").alias("wssse")).collect()
+    scored, _ = choose_k(sorted((r["k"], r["silhouette"], r["wssse"]) for r in rows))
+    schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"
+    return spark.createDataFrame(scored, schema).withColumn("silhouette_change", F.round("silhouette_change", 6))
 
 
 # -- relational slice on data-derived clusters ---------------------------------
@@ -286,13 +398,6 @@ def q_clustered_activity(spark, sf_dir):
     return attach_clusters(s.activity, s.user_cluster)
 
 
-def q_clustered_activity_broadcast(spark, sf_dir):
-    """J1 with the reference's broadcast of the per-user clusters, taken only
-    after the row-count check passes (else a shuffle join)."""
-    s = _Slice(spark, sf_dir)
-    return attach_clusters(s.activity, s.user_cluster, broadcast=True)
-
-
 def q_cluster_artist_hits(spark, sf_dir):
     return _Slice(spark, sf_dir).hits()
 
@@ -380,12 +485,20 @@ def q_top5_by_ctr(spark, sf_dir):
 def q_sink_partitioned(spark, sf_dir):
     """K2: notified clicks partitioned by notification, read back."""
     path = scratch_path(spark, "notifications")
-    write_partitioned_csv(_Slice(spark, sf_dir).clicked(), path)
+    write_partitioned_csv(_Slice(spark, sf_dir).clicked(), path, salts=CFG.sink_salts)
     return (spark.read.schema("ArtistId bigint, UserId string, cluster int, artistCluster int, NotificationId bigint")
             .csv(path)
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))
 
 
+def q_sink_audience(spark, sf_dir):
+    """K1: the audience in files of a bounded number of rows, read back."""
+    path = scratch_path(spark, "audience-csv")
+    write_files(_Slice(spark, sf_dir).audience(), path, rows_per_file=CFG.audience_rows_per_file)
+    return (spark.read.option("header", True)
+            .schema("UserId string, cluster int, ArtistId bigint, artistCluster int").csv(path))
+
+
 def q_sink_single(spark, sf_dir):
     """K3 + T6: top notifications as one CSV file with a header, read back."""
     path = scratch_path(spark, "top5")
@@ -398,11 +511,31 @@ def q_job_on_customer_groups(spark, sf_dir):
     """C2-C6 exactly as the job runs them (``analyse``), on the data-derived
     clusters instead of K-means, so the composite has a SQL twin."""
     s = _Slice(spark, sf_dir)
-    listeners = ClusteredListeners(activity=s.activity, users=s.users, user_cluster=s.user_cluster,
+    activity = s.activity
+    listeners = ClusteredListeners(activity=activity, users=s.users, user_cluster=s.user_cluster,
                                    als=None, kmeans=None)
     return analyse(listeners, s.inputs, CFG).top
 
 
+def q_job_against_reference(spark, sf_dir):
+    """C1, C2-C7 on the fitted clusters: per notification, how many of its CTR rows differ
+    between the job and the reference's formulation (bag audience, notified relation)."""
+    inputs = inputs_from_tables(spark, sf_dir)
+    job = run(inputs, CFG)
+    listeners = job.listeners
+    clustered = attach_clusters(listeners.activity, listeners.user_cluster)
+    top = top_artist_per_cluster(cluster_artist_hits_from_clustered(clustered, inputs.song_artist))
+    notified = cut_lineage(notified_users(inputs.notification_artist, build_audience(clustered, top, distinct=False)), "notified")
+    clicked = notified_clicks(notified, inputs.notification_clicks, dedupe_clicks=False)
+    plain = notification_ctr(click_counts(clicked), target_counts_from_notified(notified))
+    columns = ["notificationClicks", "notificationTotalCounts", "CTR"]
+    both = (job.ctr.select("NotificationId", F.struct(*columns).alias("a"))
+            .join(plain.select("NotificationId", F.struct(*columns).alias("b")), "NotificationId", "full"))
+    off = both.where(~F.col("a").eqNullSafe(F.col("b"))).groupBy("NotificationId").agg(F.count(F.lit(1)).alias("differing"))
+    every = inputs.notification_artist.select("NotificationId").distinct()
+    return every.join(off, "NotificationId", "left").select("NotificationId", F.coalesce("differing", F.lit(0)).cast("bigint").alias("differing"))
+
+
 def q_full_pipeline(spark, sf_dir):
     """The whole job with K-means clusters - top notifications."""
     return run(inputs_from_tables(spark, sf_dir), CFG).top

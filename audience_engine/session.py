@@ -3,8 +3,9 @@ checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +38,9 @@ def cluster_conf(total_cores: int, shuffle_bytes: int = 100 * 2**40) -> dict[str
     Shuffle partitions start at ~3 per core and at least one per 1 GiB of the
     largest expected shuffle (``shuffle_bytes``, default 100 TiB), so that no
     reduce task spills heavily; AQE then coalesces small ones to
-    ``advisoryPartitionSizeInBytes`` and splits skewed join partitions."""
+    ``advisoryPartitionSizeInBytes`` and splits skewed join partitions.  A shuffle
+    has map tasks x partitions blocks: pass the largest shuffle of the job at
+    hand, not the size of the input."""
     partitions = max(3 * total_cores, shuffle_bytes // 2**30)
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -57,38 +60,74 @@ def cluster_conf(total_cores: int, shuffle_bytes: int = 100 * 2**40) -> dict[str
     }
 
 
+def _setting(spark: SparkSession, key: str) -> str | None:
+    return spark.sparkContext.getConf().get(key, None) or spark.conf.get(key, None)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Taken from the session (the context's checkpoint dir, else
-    ``spark.checkpoint.dir``).  Only a local-mode session without either gets a
-    fresh folder of its own; on a cluster a machine-local folder would not
-    survive the loss of that machine, so we refuse instead.
+    Taken from the session: the context's checkpoint dir, else
+    ``spark.checkpoint.dir``, else a folder under ``spark.sql.warehouse.dir``.
+    The warehouse is shared on a cluster; where a cluster session names neither,
+    its default would be a folder of the driver's machine, so we refuse.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover - conf not readable
-            configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="audience-engine-ckpt-")
-    sc.setCheckpointDir(own)
-    return sc.getCheckpointDir() or own
+    root = _setting(spark, "spark.checkpoint.dir")
+    if not root:
+        if not sc.master.startswith("local") and not sc.getConf().get("spark.sql.warehouse.dir", None):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
+
+
+# The tables written inside the innermost ``scratch_tables`` block first.
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """Collects the paths of the intermediate tables written inside the block,
+    for ``drop_tables``."""
+    _WRITTEN.append([])
+    try:
+        yield _WRITTEN[-1]
+    finally:
+        _WRITTEN.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes intermediate tables.  Frames that read them are of no use afterwards."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    paths.clear()
+
+
+@contextmanager
+def released_blocks(spark: SparkSession) -> Iterator[None]:
+    """Releases what the block leaves persisted (spark.ml keeps factors and
+    training points), so a long session does not fill executor storage."""
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keys())
+    try:
+        yield
+    finally:
+        for key, rdd in dict(spark.sparkContext._jsc.getPersistentRDDs()).items():
+            if key not in before:
+                rdd.unpersist(False)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    for written in _WRITTEN:
+        written.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -102,4 +141,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-__all__ = ["local_session", "cluster_conf", "checkpoint_root", "scratch_path", "cut_lineage"]
+__all__ = ["local_session", "cluster_conf", "checkpoint_root", "scratch_path", "cut_lineage", "scratch_tables",
+           "drop_tables", "released_blocks"]

@@ -1,5 +1,5 @@
-"""Sinks (K1-K5, T4, T6)."""
+"""Sinks (K1-K3, T6)."""
 
-from .csv import cap_rows, write_partitioned_csv, write_single_csv
+from .csv import write_files, write_partitioned_csv, write_single_csv
 
-__all__ = ["cap_rows", "write_single_csv", "write_partitioned_csv"]
+__all__ = ["write_files", "write_partitioned_csv", "write_single_csv"]

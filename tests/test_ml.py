@@ -29,21 +29,16 @@ def activity(spark):
 
 
 def test_sort_indexer_equals_stringindexer(spark):
+    from pyspark.ml.feature import StringIndexer
     plays = inputs_from_tables(spark, SF_SMALL).plays
     for col, out in (("UserId", "UserIndex"), ("SongId", "SongIndex")):
         a = {r[0]: r[1] for r in index_ids(plays, col, out).collect()}
-        b = {r[0]: r[1] for r in index_ids(plays, col, out, method="stringindexer").collect()}
+        model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc").fit(plays)
+        b = {r[0]: int(r[1]) for r in model.transform(plays.select(col).distinct()).select(col, out).collect()}
         assert a == b
         assert sorted(a.values()) == list(range(len(a)))
 
 
-def test_stringindexer_pipeline_gives_same_activity(spark):
-    plays = inputs_from_tables(spark, SF_SMALL).plays
-    a = sorted(tuple(r) for r in build_activity(plays).activity.collect())
-    b = sorted(tuple(r) for r in build_activity(plays, method="stringindexer").activity.collect())
-    assert a == b
-
-
 def test_als_user_factors_solve_normal_equations(spark, activity):
     model = fit_taste_factors(activity, seed=1)
     X = {r.id: np.array(r.features, dtype=float) for r in model.userFactors.collect()}
@@ -71,18 +66,25 @@ def test_als_is_repeatable_with_a_seed(spark, activity):
     assert a == b
 
 
+def test_vectors_take_the_whole_array(spark):
+    f = spark.createDataFrame([(3, [1.0, 2.0]), (4, [5.0, 6.0])], "id int, features array<float>")
+    for with_id, want in ((True, [[3.0, 1.0, 2.0], [4.0, 5.0, 6.0]]), (False, [[1.0, 2.0], [5.0, 6.0]])):
+        got = factor_vectors(f, include_id=with_id).select("id", vector_to_array("features").alias("a")).orderBy("id").collect()
+        assert [r.a for r in got] == want
+
+
 def test_vectors_include_id_first(spark):
     f = spark.createDataFrame([(3, [1.0, 2.0, 3.0, 4.0])], "id int, features array<float>")
-    v = factor_vectors(f, rank=4).select(vector_to_array("features").alias("a")).first().a
+    v = factor_vectors(f).select(vector_to_array("features").alias("a")).first().a
     assert v == [3.0, 1.0, 2.0, 3.0, 4.0]
-    v2 = factor_vectors(f, rank=4, include_id=False).select(vector_to_array("features").alias("a")).first().a
+    v2 = factor_vectors(f, include_id=False).select(vector_to_array("features").alias("a")).first().a
     assert v2 == [1.0, 2.0, 3.0, 4.0]
 
 
 def test_standardise_is_mean_and_sample_sd(spark):
     rows = [(i, [float(i), float(i * i), 1.0 + i % 3, -float(i)]) for i in range(1, 30)]
     f = spark.createDataFrame(rows, "id int, features array<float>")
-    out = {r.id: r.a for r in standardise(factor_vectors(f, rank=4))
+    out = {r.id: r.a for r in standardise(factor_vectors(f))
            .select("id", vector_to_array("features").alias("a")).collect()}
     M = np.array([[float(i)] + list(map(float, x)) for i, x in rows])
     Z = (M - M.mean(axis=0)) / M.std(axis=0, ddof=1)
@@ -144,7 +146,8 @@ def test_choose_k_rule():
     assert [r[4] for r in scored] == [True, True, False, True, False]
     assert k == 262
     scored0, k0 = choose_k([(10, 0.0, 5.0), (11, 0.2, 4.0)])
-    assert scored0[1][3] == 0.0 and k0 == 10
+    assert scored0[1][3] is None and not scored0[1][4] and k0 == 10  # undefined, told apart from no change
+    assert [r[3] for r in choose_k([(1, None, 9.0), (2, 0.5, 8.0), (3, 0.5, 7.0)])[0]] == [0.0, None, 0.0]
 
 
 def test_select_k_runs_the_sweep(spark, embedded):
@@ -156,13 +159,13 @@ def test_select_k_runs_the_sweep(spark, embedded):
     assert choice.k in (2, 3, 4)
 
 
-def test_single_centre_scores_zero(spark):
+def test_single_centre_has_no_silhouette(spark):
     from audience_engine.operators import model_silhouette
     pts = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(5)], "id int, a array<double>") \
         .select("id", array_to_vector("a").alias("features"))
     model = fit_kmeans(pts, k=3, seed=1)
     assert len(model.clusterCenters()) == 1
-    assert model_silhouette(model, pts) == 0.0
+    assert model_silhouette(model, pts) is None
 
 
 def test_vectorize_columns_takes_every_column_in_order(spark):

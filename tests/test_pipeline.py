@@ -3,7 +3,7 @@
 import pytest
 
 from audience_engine.config import PipelineConfig
-from audience_engine.plans.pipeline import analyse, cluster_listeners
+from audience_engine.plans.pipeline import analyse, cluster_listeners, run
 from audience_engine.sources import inputs_from_tables
 
 from .conftest import SF_SMALL
@@ -73,25 +73,59 @@ def test_refit_gives_the_same_clusters(spark, fitted):
     assert a == b
 
 
-def test_release_drops_cached_relations(spark, fitted):
-    inputs, listeners = fitted
-    res = analyse(listeners, inputs, PipelineConfig())
-    res.top.collect()
-    assert res.audience.storageLevel.useMemory
+def test_release_deletes_the_jobs_tables(spark):
+    import os
+    inputs = inputs_from_tables(spark, SF_SMALL)
+    before = set(spark.sparkContext._jsc.getPersistentRDDs().keys())
+    res = run(inputs, PipelineConfig(k=10))
+    assert res.top.count() <= 5 and res.quality().first().k == 10
+    tables = [t.removeprefix("file:") for t in res.tables]
+    assert tables and all(os.path.isdir(t) for t in tables)
     res.release()
-    assert not res.audience.storageLevel.useMemory and not res.cluster_artist.storageLevel.useMemory
+    assert not any(os.path.exists(t) for t in tables)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keys()) <= before  # nothing left persisted
 
 
-def test_sink_cap_is_opt_in_and_ordered(spark, fitted, tmp_path):
+def test_audience_output(spark, fitted, tmp_path):
     inputs, listeners = fitted
-    whole = analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False))
-    n = whole.notified_clicks.count()
-    capped_dir = str(tmp_path / "capped")
-    analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False, sink_max_rows=2),
-            sink_dir=capped_dir)
-    back = spark.read.schema("ArtistId bigint, UserId string, cluster int, artistCluster int, NotificationId bigint") \
-        .csv(capped_dir + "/notifications")
-    assert back.count() == min(2, n)
-    whole_dir = str(tmp_path / "whole")
-    analyse(listeners, inputs, PipelineConfig(dedupe_clicks=False, distinct_audience=False), sink_dir=whole_dir)
-    assert spark.read.csv(whole_dir + "/notifications").count() == n
+    out = str(tmp_path / "out")
+    res = analyse(listeners, inputs, PipelineConfig(write_audience=True, audience_rows_per_file=20), sink_dir=out)
+    back = spark.read.option("header", True).schema(res.audience.schema).csv(out + "/audience")
+    assert rows(back) == rows(res.audience)
+
+
+def test_k_search_in_the_job(spark):
+    inputs = inputs_from_tables(spark, SF_SMALL)
+    listeners = cluster_listeners(inputs.plays, PipelineConfig(search_k=True, k_from=3, k_to=7, k_step=2))
+    assert listeners.k in (3, 5, 7)
+    assert len(listeners.kmeans.clusterCenters()) <= listeners.k
+
+
+JOB = """
+import json, sys
+sys.path.insert(0, {root!r})
+from audience_engine.config import PipelineConfig
+from audience_engine.plans.pipeline import run
+from audience_engine.session import local_session
+from audience_engine.sources import inputs_from_tables
+spark = local_session({cores}, shuffle_partitions={parts}, driver_memory="2g")
+res = run(inputs_from_tables(spark, {sf!r}), PipelineConfig(k=20))
+factors = sorted((r.id, [round(v, 4) for v in r.features]) for r in res.listeners.als.userFactors.collect())
+labels = sorted(tuple(r) for r in res.listeners.user_cluster.select("UserIndex", "cluster").collect())
+print("RESULT" + json.dumps([factors, labels, sorted(map(list, res.top.collect()))]))
+"""
+
+
+def test_results_do_not_depend_on_the_machine(tmp_path):
+    """The same factors, labels and top 5 on 2 and 4 cores, and with other shuffle partitions."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    got = []
+    for cores, parts in ((2, 8), (4, 8), (4, 5)):
+        code = JOB.format(root=root, cores=cores, parts=parts, sf=SF_SMALL)
+        done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+        assert "RESULT" in done.stdout, done.stderr[-2000:]
+        got.append(done.stdout.split("RESULT")[1].strip())
+    assert got[0] == got[1] == got[2]

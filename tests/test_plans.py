@@ -73,21 +73,17 @@ def test_explicit_broadcasts_are_bounded(spark):
     assert "artistCluster" in bx
 
 
-def test_broadcast_only_after_a_size_check(spark):
+def test_user_clusters_are_never_broadcast_by_a_hint(spark):
     from audience_engine.operators import attach_clusters
     act = spark.createDataFrame([("u", "s", 0, 0, 1)],
                                 "UserId string, SongId string, UserIndex int, SongIndex int, hits bigint")
     uc = spark.range(50).selectExpr("cast(id as int) as UserIndex", "cast(id % 3 as int) as cluster")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = plan(attach_clusters(act, uc, broadcast=True, broadcast_max_rows=100))
-        large = plan(attach_clusters(act, uc, broadcast=True, broadcast_max_rows=10))
-        default = plan(attach_clusters(act, uc))
+        p = plan(attach_clusters(act, uc))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
-    assert "BroadcastHashJoin" not in default
+    assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
 
 
 def test_notification_list_join_is_salted(spark):

@@ -20,6 +20,8 @@ def test_checkpoint_root_comes_from_the_session(spark):
     root = checkpoint_root(spark)
     assert root == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/tables/x-")
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        assert root.startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
 
 
 def test_cut_lineage_reads_back_a_table(spark):
@@ -46,13 +48,20 @@ def test_cli_on_csv_inputs(spark, tmp_path, capsys):
         df.select(*[F.col(c).cast("string") for c in df.columns]).write.csv(p)
         paths[name] = p
     out = str(tmp_path / "out")
+    tables = checkpoint_root(spark).removeprefix("file:") + "/tables"
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    persisted = set(spark.sparkContext._jsc.getPersistentRDDs().keys())
     main(["--plays", paths["plays"], "--song-artist", paths["song-artist"],
           "--notification-artist", paths["notification-artist"],
           "--notification-clicks", paths["notification-clicks"], "--out", out, "--k", "10"])
     assert os.path.isdir(os.path.join(out, "notifications"))
     top = spark.read.option("header", True).csv(os.path.join(out, "top5", "CTR.csv"))
     assert 0 < top.count() <= 5
-    assert "rowNumber" in capsys.readouterr().out
+    shown = capsys.readouterr().out
+    assert "rowNumber" in shown and "silhouette" in shown and "wssse" in shown
+    # the job leaves neither tables nor persisted frames behind
+    assert set(os.listdir(tables)) <= before
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keys()) <= persisted
 
 
 def test_cli_local_mode_arguments(spark, tmp_path, capsys):

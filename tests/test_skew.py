@@ -88,3 +88,43 @@ def test_hot_user_and_song_give_whole_right_results(spark, skewed):
     assert got_aud == exp_aud
     assert "isFinalPlan=true" in final_plan
     assert "skew=true" in final_plan  # AQE split the hot partitions
+
+
+def _skew_split(df) -> bool:
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "isFinalPlan=true" in plan and "skew=true" in plan
+
+
+def test_index_joins_and_cluster_join_split_a_hot_key(spark, skewed):
+    """pairs x users, and J1: the hot user's partition is split."""
+    from audience_engine.operators import attach_clusters, index_ids, play_counts
+    plays, _, _ = skewed
+    with conf(spark, SKEW_CONF):
+        pairs = play_counts(plays)
+        users = index_ids(plays, "UserId", "UserIndex")
+        assert _skew_split(pairs.join(users, "UserId"))
+        # one user with a third of all (user, song) rows
+        act = spark.range(6000).selectExpr(
+            "cast(if(id % 3 = 0, 0, id % 500) as string) as UserId", "cast(id as string) as SongId",
+            "cast(if(id % 3 = 0, 0, id % 500) as int) as UserIndex", "cast(id as int) as SongIndex", "1L as hits")
+        uc = spark.range(500).selectExpr("cast(id as int) as UserIndex", "cast(id % 7 as int) as cluster")
+        joined = attach_clusters(act, uc)
+        assert _skew_split(joined) and joined.count() == 6000
+
+
+def test_hot_notification_gives_right_clicks(spark):
+    """A third of all clicks on one notification: the salted join is whole and spreads it."""
+    from audience_engine.operators import clicked_audience
+    clicks = [(1 if i % 3 == 0 else 2 + i % 7, f"u{i % 400}") for i in range(3000)]
+    na = [(n, 10 + n % 3) for n in range(1, 10)]
+    aud = [(f"u{i}", i % 3, 10 + i % 3, i % 3) for i in range(400)]
+    frames = (spark.createDataFrame(clicks, "NotificationId bigint, UserId string"),
+              spark.createDataFrame(na, "NotificationId bigint, ArtistId bigint"),
+              spark.createDataFrame(aud, "UserId string, cluster int, ArtistId bigint, artistCluster int"))
+    with conf(spark, SKEW_CONF):
+        for salts in (1, 8):
+            got = sorted(tuple(r) for r in clicked_audience(*frames, salts=salts).collect())
+            artist = dict(na)
+            want = sorted({(n, artist[n], u, c, x) for n, u in clicks for v, c, a, x in aud if u == v and artist[n] == a})
+            assert got == want

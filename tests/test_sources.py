@@ -20,11 +20,16 @@ def test_spaces_and_leading_zeros(spark, tmp_csv):
     assert rows == [("S5", 60), ("S6", 7)]
 
 
-def test_decimal_id_dropped_unless_inferred(spark, tmp_csv):
-    path = tmp_csv("meta", ["S7,12.7"])
-    assert read_song_artist(spark, path).count() == 0
-    inferred = read_song_artist(spark, path, infer=True).collect()
-    assert [(r.SongId, r.ArtistId) for r in inferred] == [("S7", 12)]
+def test_decimal_ids_keep_their_whole_part(spark, tmp_csv):
+    """As the old cast did, whether the column is read as text or inferred."""
+    path = tmp_csv("meta", ["S7,12.7", "S8,4"])
+    for infer in (False, True):
+        assert sorted((r.SongId, r.ArtistId) for r in read_song_artist(spark, path, infer=infer).collect()) == [("S7", 12), ("S8", 4)]
+
+
+def test_text_that_only_looks_like_a_number_is_dropped(spark, tmp_csv):
+    path = tmp_csv("meta", ["S1,1e3", 'S2,"1,234.50"', "S3,.", "S4,12.x", "S5,-3.9", "S6, 8. "])
+    assert sorted((r.SongId, r.ArtistId) for r in read_song_artist(spark, path).collect()) == [("S5", -3), ("S6", 8)]
 
 
 def test_column_order_and_types(spark, tmp_csv):
