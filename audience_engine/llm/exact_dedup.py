@@ -37,8 +37,8 @@ def _numbered(keys: DataFrame, by: list[str], name: str) -> DataFrame:
     return cut_lineage(ranked.withColumn("name", F.monotonically_increasing_id()), name)
 
 
-def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by)
+def _repeated(rows: DataFrame, by: list[str], rows_each: str = "1") -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum(F.expr(rows_each)).alias("n")).where("n > 1").select(*by)
 
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
@@ -72,7 +72,7 @@ def named_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"))
         pair = cut_lineage(pair, f"pairs-{level}")
-        names = _numbered(_repeated(pair, ["a", "b"]), ["a", "b"], f"pair-names-{level}")
+        names = _numbered(_repeated(pair, ["a", "b"], "copies"), ["a", "b"], f"pair-names-{level}")
         named = cut_lineage(_whole(pair.join(names, ["a", "b"]).drop("a", "b")), f"named-{level}")
         longest = -(-longest // 2)
     return named.select("doc_id", "h", "copies", "name")

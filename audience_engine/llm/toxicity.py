@@ -139,7 +139,9 @@ def _lexicon(sample: DataFrame) -> tuple[dict[str, float], float]:
 
     def odds(y1, n1, y0, n0, weight):
         prior = weight * (y1 + y0) / F.lit(float(n1 + n0))
-        return F.log((y1 + prior) / (n1 + weight - y1 - prior)) - F.log((y0 + prior) / (n0 + weight - y0 - prior)), 1 / (y1 + prior) + 1 / (y0 + prior)
+        # one more of each, for tokens that every document has
+        rest1, rest0 = n1 + weight + 1 - y1 - prior, n0 + weight + 1 - y0 - prior
+        return F.log((y1 + prior) / rest1) - F.log((y0 + prior) / rest0), 1 / (y1 + prior) + 1 / (y0 + prior)
 
     by_doc, variance = odds(F.col("d1").cast("double"), d1, F.col("d0").cast("double"), d0, PRIOR_DOCS)
     by_token, _ = odds(F.col("t1").cast("double"), t1, F.col("t0").cast("double"), t0, PRIOR_TOKENS)
@@ -199,9 +201,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def evidence(best: np.ndarray, n: np.ndarray, model: dict) -> np.ndarray:
-    """Minus the log p-value of the best segment, at most 50."""
+    """Minus the log p-value of the best segment, at most 50; 0 without any segment."""
     e = model["k"] * np.maximum(n, 1) * np.exp(-model["lam"] * best)
-    return np.minimum(-np.log(np.maximum(-np.expm1(-e), 1e-30)), 50.0)
+    return np.where(best > 0, np.minimum(-np.log(np.maximum(-np.expm1(-e), 1e-30)), 50.0), 0.0)
 
 
 PASSAGE = "array<struct<start:int,end:int,score:double,e_value:double>>"

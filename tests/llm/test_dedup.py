@@ -1,0 +1,151 @@
+"""Exact dedup, near-dedup and components against brute force, with edge cases."""
+
+import collections
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from audience_engine.llm import near_dedup, queries
+from audience_engine.llm.components import components
+from audience_engine.llm.exact_dedup import drop_exact_copies, exact_dedup
+
+SF = "/root/testdata/sf0.001"
+
+
+def frame(spark, rows):
+    """documents with columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, "a", 1, "b") for i, t in rows], "doc_id long, text string, name string, h int, rep string")
+
+
+def exact_brute(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    out = []
+    for i, t in rows:
+        own = groups[t or ""]
+        keep = max((x for x in own if x is not None), default=None)
+        out.append((i, keep, len(own), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+EDGES = [(1, None), (2, ""), (3, "a"), (4, "a"), (5, "aaaaaaaab"), (6, "aaaaaaaaa"), (7, "aaaaaaaab"), (8, "é" * 40), (9, "é" * 40), (10, "é" * 39),
+         (11, "x" * 5000), (12, "x" * 5000), (13, "x" * 4999 + "y"), (14, "a "), (15, "abcdefgh" * 2), (16, "abcdefgh"), (17, "abcdefgh" * 2), (18, "b"), (18, "b")]
+
+
+@pytest.mark.parametrize("block", [8, 4096])
+def test_exact_edges(spark, block):
+    rows = EDGES + [(100 + i, "the same text " * 3) for i in range(60)]
+    got = sorted((tuple(r) for r in exact_dedup(frame(spark, rows), block).collect()), key=str)
+    assert got == exact_brute(rows)
+
+
+def test_exact_empty_and_kept(spark):
+    assert exact_dedup(frame(spark, EDGES).where("doc_id < 0")).count() == 0
+    kept = drop_exact_copies(frame(spark, EDGES))
+    assert kept.columns == ["doc_id", "text", "name", "h", "rep"]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _, _, k, _ in exact_brute(EDGES) if k)
+
+
+# -- near-duplicates ----------------------------------------------------------------
+
+def near_brute(rows, k, percent=80):
+    sets = {i: near_dedup.shingle_set(t or "", k) for i, t in rows}
+    ids = sorted(sets)
+    parent = {i: i for i in ids}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for x, a in enumerate(ids):
+        for b in ids[x + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                u, v = find(a), find(b)
+                parent[max(u, v)] = min(u, v)
+    return sorted((i, len(sets[i]), find(i), find(i) == i) for i in ids)
+
+
+def collected(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_near_edges(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, None), (2, ""), (3, " \n "), (4, "One two"), (5, "one  TWO"), (6, "one"), (7, "É é"), (8, "é é"), (9, base), (10, base.upper()),
+            (11, base + " tail"), (12, " ".join(f"v{i}" for i in range(3000))), (13, " ".join(f"v{i}" for i in range(3001))), (14, "a b c"), (15, "a b c d")]
+    for k in (4, 5):
+        assert collected(near_dedup.near_duplicates(frame(spark, rows), k)) == near_brute(rows, k)
+    assert near_dedup.near_duplicates(frame(spark, rows).where("doc_id < 0")).count() == 0
+    kept = near_dedup.drop_near_copies(frame(spark, rows), k=4)
+    assert kept.columns == ["doc_id", "text", "name", "h", "rep"] and kept.count() == sum(r[3] for r in near_brute(rows, 4))
+
+
+def test_chains_and_families_keep_every_link(spark):
+    """Families whose least document links to a part of them only: the rest is found block by block."""
+    draw = random.Random(5)
+    rows, i = [], 0
+    for family in range(6):
+        words = [f"f{family}w{j}" for j in range(120)]
+        for _ in range(25):
+            rows.append((i, " ".join(words)))
+            i += 1
+            words = list(words)
+            for _ in range(draw.choice([1, 2, 4])):
+                words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
+    draw.shuffle(rows)
+    old = near_dedup.BLOCK
+    near_dedup.BLOCK = 7  # several blocks per bucket
+    try:
+        got = collected(near_dedup.near_duplicates(frame(spark, rows), 5))
+    finally:
+        near_dedup.BLOCK = old
+    want = near_brute(rows, 5)
+    assert got == want
+    assert 6 < sum(r[3] for r in want) < 150
+
+
+def test_near_query_on_a_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert collected(queries.QUERIES["op6_near_dedup"](spark, SF)) == near_brute(rows, 4)
+
+
+def test_sketches_merge_and_estimate():
+    mul = near_dedup._multipliers(near_dedup.REGISTERS)
+    rng = np.random.default_rng(1)
+    errors = []
+    for j in (0.2, 0.5, 0.8, 0.9):
+        for _ in range(20):
+            shared, each = int(1000 * j), int(1000 * (1 - j) / 2)
+            h = rng.integers(0, 1 << 63, size=shared + 2 * each, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            a, b = h[:shared + each], np.concatenate([h[:shared], h[shared + each:]])
+            ra, rb = near_dedup.sketch(a, mul), near_dedup.sketch(b, mul)
+            assert (np.maximum(ra, rb) == near_dedup.sketch(h, mul)).all()
+            est = near_dedup.estimate(np.array([(ra > rb).sum()]), np.array([(ra < rb).sum()]), np.array([float(len(a))]), np.array([float(len(b))]))
+            errors.append(est[0] - shared / len(h))
+    assert abs(np.mean(errors)) < 0.02 and np.max(np.abs(errors)) < 5 * (0.25 / 128) ** 0.5
+
+
+def test_components(spark):
+    draw = random.Random(3)
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 200)] + [(draw.randrange(300, 500), draw.randrange(300, 500)) for _ in range(150)]
+    near = collections.defaultdict(set)
+    for a, b in links:
+        near[a].add(b)
+        near[b].add(a)
+    want = {}
+    for s in sorted(near):
+        todo = [s]
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = s
+                todo += near[x]
+    want = {k: v for k, v in want.items() if any(k != x for x in near[k])}
+    got = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
