@@ -32,7 +32,7 @@ CENTROIDS = 4
 SAMPLE = 1500
 ROUNDS = 12
 #: A text is rejected if its cosine is below this share of the lowest cosine in the language's sample.
-REJECT_AT = 0.5
+REJECT_AT = 0.3
 #: Softness of the score.
 TEMPERATURE = 0.05
 #: Characters handled at once.
