@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +30,6 @@ def remainder(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n)
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-cases A-Z and nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def literal_array(values: list, kind: str = "bigint") -> Column:
     """A constant array column.  One string literal cast to an array: Catalyst folds it
     into a constant, and a lookup by index is then O(1) whatever the length."""
@@ -47,20 +39,10 @@ def literal_array(values: list, kind: str = "bigint") -> Column:
     return F.split(F.lit(text), ",").cast(f"array<{kind}>")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` less the rows whose doc_id is in the one-column frame ``dropped``."""
     gone = dropped.select(F.col(dropped.columns[0]).alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
-def in_partitions(docs: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInPandas`` over (doc_id, text)."""
-    return docs.mapInPandas(run, schema)
-
-
-__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "ascii_lower", "literal_array", "union_all",
-           "without", "in_partitions", "cut_lineage"]
+__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "without", "cut_lineage"]
