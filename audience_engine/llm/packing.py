@@ -13,8 +13,8 @@
 The plan has at most ``PATTERNS`` fitted patterns and one run per length of residual ones; it
 depends on the histogram only and travels in the task closure.
 
-Tokenising caches the ids of each run of non-blank characters: the tokenizer never joins
-characters over white space, so this gives the ids of the whole text.
+Tokenising remembers the ids of words and of what stands between them, which the tokenizer
+never joins, so this gives the ids of the whole text.
 
 Defined cases: null text counts as empty and is one piece with the end id only; rows that repeat
 a doc_id are separate documents; null ids are kept; other columns are ignored; an empty table
@@ -26,7 +26,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -44,9 +46,13 @@ ROUNDS = 150
 GRID = 16
 #: Pieces of one length in a cell, at least; and cells besides one per length, at most.
 CELL_ROWS, CELLS = 20_000, 20_000
-#: Runs of characters whose ids a task remembers.
-KNOWN = 400_000
+#: Words and other parts of texts whose ids a task remembers.
+KNOWN = 600_000
 RUN = re.compile(r"[^\x20\x09-\x0D]+")
+# Lower-case Latin-1 letters, and what the tokenizer's own split says about them.
+_LETTERS = "a-zªµºß-öø-ÿ"
+PARTS = re.compile(rf"[{_LETTERS}]+|[^\x20\x09-\x0D{_LETTERS}]+")
+QUOTED = re.compile(rf"[^\x20\x09-\x0D']*'[^\x20\x09-\x0D]*|[{_LETTERS}]+|[^\x20\x09-\x0D{_LETTERS}]+")
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -59,31 +65,60 @@ def tokenizer_json(path: str | None = None) -> str:
 
 
 class _Ids:
-    """Ids of texts as little-endian 32-bit bytes."""
+    """Ids of texts as little-endian 32-bit bytes.
+
+    The tokenizer lower-cases, and parts letters from everything else and at white space, but
+    for its rules on apostrophes.  So a Latin-1 text is split into words and what stands between
+    them, with runs that hold an apostrophe left whole; any other text, and one that may hold a
+    special token, is split at ASCII white space only.  Each part is encoded once and remembered;
+    words are encoded many at a time, parted by a full stop, whose id no word contains."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stop = self.tokenizer.encode(".", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
-    def learn(self, runs: set[str]) -> None:
-        new = list(runs)
-        for run, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[run] = np.array(got.ids, dtype="<u4").tobytes()
+    def split(self, text: str) -> list[str]:
+        if any(x in text for x in self.special):
+            return RUN.findall(text)
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return RUN.findall(text)
+        return (QUOTED if "'" in text else PARTS).findall(text.lower())
+
+    def plainly(self, parts: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        self.known.update((p, array("I", x.ids).tobytes()) for p, x in zip(parts, found, strict=True))
+
+    def learn(self, parts: set[str]) -> None:
+        new = [p for p in parts if p.isalpha()] if len(self.stop) == 1 else []
+        self.plainly(list(parts.difference(new)))
+        for at in range(0, len(new), 512):
+            own = new[at:at + 512]
+            joined = self.tokenizer.encode_batch_fast([" . ".join(own)], add_special_tokens=False)[0].ids
+            ids = np.array(joined, dtype="<u4")
+            raw, ends = ids.tobytes(), (4 * np.append(np.flatnonzero(ids == self.stop[0]), len(ids))).tolist()
+            first = 0
+            for w, e in zip(own, ends, strict=True):
+                self.known[w] = raw[first:e]
+                first = e + 4
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 64):
-            part = [RUN.findall(t) for t in texts[at:at + 64]]
-            missing = {r for runs in part for r in runs if r not in self.known}
+        for at in range(0, len(texts), 1000):
+            split = [self.split(t) for t in texts[at:at + 1000]]
+            here = set(chain.from_iterable(split))
+            missing = here.difference(self.known)
             if len(self.known) + len(missing) > KNOWN:
-                self.known = {}
-                missing = {r for runs in part for r in runs}
+                self.known, missing = {}, here
             self.learn(missing)
-            known = self.known
-            for runs in part:
-                yield b"".join([known[r] for r in runs])
+            for parts in split:
+                yield b"".join(map(self.known.__getitem__, parts))
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
