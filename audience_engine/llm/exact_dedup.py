@@ -22,18 +22,23 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, documents, without
 
 #: Bytes of a first-level block.
 BLOCK_BYTES = 4096
+#: Leading bytes of a block by which blocks are dealt to sorted ranges.
+PREFIX_BYTES = 48
 
 
-def _numbered(keys: DataFrame, by: list[str], name: str) -> DataFrame:
-    """The distinct keys with a number that follows their sort order, as a written table."""
-    ranked = keys.repartitionByRange(*[F.col(c) for c in by]).sortWithinPartitions(*by)
+def _numbered(keys: DataFrame, by: list[str], dealt_by: list[Column], name: str) -> DataFrame:
+    """The distinct keys with a number that follows their sort order, as a written table.
+
+    ``dealt_by`` is what the range partitioning samples: a short prefix of the sort order, so
+    that the sample on the driver does not hold whole blocks."""
+    ranked = keys.repartitionByRange(*dealt_by).sortWithinPartitions(*by)
     return cut_lineage(ranked.withColumn("name", F.monotonically_increasing_id()), name)
 
 
@@ -59,7 +64,7 @@ def _whole(named: DataFrame) -> DataFrame:
 def named_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, h, copies, name) of the documents whose text occurs more than once."""
     blocks = _blocks(documents(docs), block_bytes)
-    names = _numbered(_repeated(blocks, ["block"]), ["block"], "block-names")
+    names = _numbered(_repeated(blocks, ["block"]), ["block"], [F.substring("block", 1, PREFIX_BYTES)], "block-names")
     named = blocks.join(names, "block").groupBy("doc_id", "h", "pos").agg(
         F.max("left").alias("left"), F.max("name").alias("name"), F.count(F.lit(1)).alias("copies"))
     named = cut_lineage(_whole(cut_lineage(named, "block-named")), "named-0")
@@ -72,7 +77,7 @@ def named_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"))
         pair = cut_lineage(pair, f"pairs-{level}")
-        names = _numbered(_repeated(pair, ["a", "b"], "copies"), ["a", "b"], f"pair-names-{level}")
+        names = _numbered(_repeated(pair, ["a", "b"], "copies"), ["a", "b"], [F.col("a"), F.col("b")], f"pair-names-{level}")
         named = cut_lineage(_whole(pair.join(names, ["a", "b"]).drop("a", "b")), f"named-{level}")
         longest = -(-longest // 2)
     return named.select("doc_id", "h", "copies", "name")
