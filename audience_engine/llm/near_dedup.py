@@ -9,12 +9,14 @@ agree often.
    doc_id goes on.
 2. Registers are banded; classes that agree in a band are candidates.  With 32 bands of 4, a
    pair at similarity 0.8 is missed with a chance below 1e-7.
-3. In each bucket all classes are compared with the bucket's least one (a star, so the pairs
-   grow with the rows).  Pairs are estimated jointly by likelihood from their registers and
+3. In each bucket all classes are compared with the one that meets most others, the likely
+   middle of a family (a star, so the pairs grow with the rows).  Pairs are estimated jointly by likelihood from their registers and
    sizes, and those that can reach the threshold are verified on the full shingle sets.
-4. Buckets that still hold several components are compared in full, in square blocks of at
-   most ``BLOCK`` classes, so no task holds a large bucket; only pairs of different components
-   that pass the estimate are emitted, each in one band only, and verified.
+4. Buckets whose other classes still lie in several components are searched for pairs across
+   components.  Where these are few for the rows of the bucket, they are met directly; a bucket with
+   more is split by a second band, and what then still has many is compared in square blocks of
+   at most ``BLOCK`` classes, so no task holds a large bucket.  All go through estimate and
+   verification.
 5. Components come from the verified links.
 
 So a link is lost only if no band agrees or the estimate is five standard errors off.
@@ -48,7 +50,9 @@ REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 32_000
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 5.0
-#: Classes on a side of a block of a mixed bucket.
+#: Pairs across components, for each row of a bucket, up to which they are met directly.
+FEW = 16
+#: Classes on a side of a block of a bucket with more.
 BLOCK = 256
 KNOWN = 500_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -105,26 +109,32 @@ def sketch(hashes: np.ndarray, mul: np.ndarray) -> np.ndarray:
         return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, TOP).astype(np.int16)
 
 
-def estimate(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int = REGISTERS) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity of pairs from how many registers of a are greater or
-    smaller than those of b, given both set sizes.  The likelihood is concave: ternary search."""
+def _log_likelihood(j: np.ndarray, greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int) -> np.ndarray:
+    """Of the similarity j, from how many registers of a are greater or smaller than those of b, given both
+    set sizes: a register of a is greater with the chance -log_base(1 - x (base - 1) / base), x = u - v j."""
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
+    scale = np.log(BASE)
+    up = np.maximum(-np.log1p(-np.maximum(u - v * j, 0) * (BASE - 1) / BASE) / scale, 1e-12)
+    down = np.maximum(-np.log1p(-np.maximum(v - u * j, 0) * (BASE - 1) / BASE) / scale, 1e-12)
+    return greater * np.log(up) + smaller * np.log(down) + (m - greater - smaller) * np.log(np.maximum(1 - up - down, 1e-12))
 
-    def p(x: np.ndarray) -> np.ndarray:
-        return np.maximum(-np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE), 1e-12)
-
-    def fit(j: np.ndarray) -> np.ndarray:
-        up, down = p(np.maximum(u - v * j, 0)), p(np.maximum(v - u * j, 0))
-        return greater * np.log(up) + smaller * np.log(down) + (m - greater - smaller) * np.log(np.maximum(1 - up - down, 1e-12))
 
-    low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
+def estimate(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int = REGISTERS) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity of pairs.  The likelihood is concave: ternary search."""
+    low, high = np.zeros(len(n_a)), np.minimum(n_a / n_b, n_b / n_a)
     for _ in range(40):
         a, b = low + (high - low) / 3, high - (high - low) / 3
-        worse = fit(a) < fit(b)
+        worse = _log_likelihood(a, greater, smaller, n_a, n_b, m) < _log_likelihood(b, greater, smaller, n_a, n_b, m)
         low, high = np.where(worse, a, low), np.where(worse, high, b)
     return (low + high) / 2
 
 
+def can_reach(t: float, greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int = REGISTERS) -> np.ndarray:
+    """Whether ``estimate`` is at least t, without the search: the concave likelihood still rises at t."""
+    return _log_likelihood(np.full(len(n_a), t + 1e-4), greater, smaller, n_a, n_b, m) >= _log_likelihood(
+        np.full(len(n_a), t - 1e-4), greater, smaller, n_a, n_b, m)
+
+
 def _floor(percent: int) -> float:
     t = percent / 100
     return t - MARGIN * (t * (1 - t) / REGISTERS) ** 0.5
@@ -147,69 +157,90 @@ def _sketched(docs: DataFrame, k: int) -> DataFrame:
     return documents(docs).mapInPandas(run, f"doc_id {kind}, n long, digest binary, regs array<short>")
 
 
-def _verified(pairs: DataFrame, held: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose estimate allows it and whose full sets confirm it."""
-    one = held.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"), F.col("text").alias("ta"))
-    two = held.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"), F.col("text").alias("tb"))
-    rows = pairs.join(two, "b").join(one, "a").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose registers and sizes allow the threshold."""
+    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
+    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
+    rows = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, own = None, set()
         for b in batches:
-            keep = np.zeros(len(b), dtype=bool)
             if len(b):
                 ra, rb = np.stack(b["ra"].to_numpy()), np.stack(b["rb"].to_numpy())
-                j = estimate((ra > rb).sum(axis=1), (ra < rb).sum(axis=1), b["na"].to_numpy(dtype=float), b["nb"].to_numpy(dtype=float))
-                for i in np.flatnonzero(j >= _floor(percent)):
-                    if last != b["a"].iat[i]:
-                        last, own = b["a"].iat[i], shingle_set(b["ta"].iat[i], k)
-                    other = shingle_set(b["tb"].iat[i], k)
-                    both = len(own & other)
-                    keep[i] = 100 * both >= percent * (len(own) + len(other) - both)
-            yield b.loc[keep, ["a", "b"]]
+                ok = can_reach(_floor(percent), (ra > rb).sum(axis=1), (ra < rb).sum(axis=1), b["na"].to_numpy(dtype=float), b["nb"].to_numpy(dtype=float))
+                yield b.loc[ok, ["a", "b"]]
 
     kind = dict(pairs.dtypes)["a"]
     return rows.mapInPandas(run, f"a {kind}, b {kind}")
 
 
-def _mixed_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that a mixed bucket holds and the estimate allows.
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that their full shingle sets confirm.  Rows come sorted by a, whose set is kept."""
+    one = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
 
-    rows: bucket, band, size of the bucket, rep, component, n, regs."""
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", own)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, own = None, set()
+        for b in batches:
+            keep = np.zeros(len(b), dtype=bool)
+            for i, (x, ta, tb) in enumerate(zip(b["a"], b["ta"], b["tb"], strict=True)):
+                if last is None or last != x:
+                    last, own = x, shingle_set(ta, k)
+                other = shingle_set(tb, k)
+                both = len(own & other)
+                keep[i] = 100 * both >= percent * (len(own) + len(other) - both)
+            yield b.loc[keep, ["a", "b"]]
+
+    kind = dict(pairs.dtypes)["a"]
+    return pairs.join(two, "b").join(one, "a").mapInPandas(run, f"a {kind}, b {kind}")
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, with the largest one (``main``) and whether the pairs
+    across components are few: at most ``FEW`` for each row."""
+    by = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
+    of = by.groupBy("bucket").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.max(F.struct("c", "component")).alias("top"))
+    of = of.where(F.col("m") * F.col("m") > F.col("sq")).select(
+        "bucket", F.col("top.component").alias("main"), F.col("m").alias("size"),
+        (F.col("m") * F.col("m") - F.col("sq") <= 2 * FEW * F.col("m")).alias("few"))
+    return rows.join(of, "bucket")
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components in buckets where they are few: what is outside the largest component meets the bucket."""
+    few = rows.where("few")
+    one = few.where("component != main").select("bucket", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
+    two = few.select("bucket", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
+    met = one.join(two, "bucket").where((F.col("cx") != F.col("cy")) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _in_blocks(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components in buckets where they are many: square blocks of at most ``BLOCK`` classes a
+    side, of which only pairs that the estimate allows come out."""
+    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    dealt = dealt.select("bucket", "i", "j", "own", "rep", "component").join(classes.select("rep", "n", "regs"), "rep")
     kind = dict(rows.dtypes)["rep"]
 
     def run(b: pd.DataFrame) -> pd.DataFrame:
-        i, j, band = b["i"].iat[0], b["j"].iat[0], int(b["band"].iat[0])
+        i, j = b["i"].iat[0], b["j"].iat[0]
         b = b.sort_values("rep")
-        left = b[b["own"] == i] if i != j else b
-        right = b[b["own"] == j] if i != j else b
+        left, right = (b[b["own"] == i], b[b["own"] == j]) if i != j else (b, b)
         out = []
         if len(left) and len(right):
             regs, n, comp, rep = np.stack(right["regs"].to_numpy()), right["n"].to_numpy(dtype=float), right["component"].to_numpy(), right["rep"].to_numpy()
-            for r, x, c, d in zip(left["regs"], left["n"], left["component"], left["rep"], strict=True):
-                x = float(x)
-                ok = (comp != c) & (np.minimum(n, x) * 100 >= np.maximum(n, x) * percent)
-                if i == j:
-                    ok &= rep > d
-                if not ok.any():
-                    continue
-                at = np.flatnonzero(ok)
-                r = np.asarray(r)
-                same = (regs[at] == r).reshape(len(at), -1, BAND).all(axis=2)
-                at = at[same.argmax(axis=1) == band]  # a pair belongs to the first band that it shares
-                if not len(at):
-                    continue
-                est = estimate((r > regs[at]).sum(axis=1), (r < regs[at]).sum(axis=1), np.full(len(at), x), n[at])
-                out += [(min(d, rep[q]), max(d, rep[q])) for q in at[est >= _floor(percent)]]
+            for r, x, c, d in zip(left["regs"], left["n"].astype(float), left["component"], left["rep"], strict=True):
+                at = np.flatnonzero((comp != c) & (np.minimum(n, x) * 100 >= np.maximum(n, x) * percent) & ((rep > d) | (i != j)))
+                if len(at):
+                    r = np.asarray(r)
+                    ok = can_reach(_floor(percent), (r > regs[at]).sum(axis=1), (r < regs[at]).sum(axis=1), np.full(len(at), x), n[at])
+                    out += [(min(d, rep[q]), max(d, rep[q])) for q in at[ok]]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    grouped = dealt.select("bucket", "i", "j", "band", "own", "rep", "component", "n", "regs").groupBy("bucket", "i", "j")
-    return grouped.applyInPandas(run, f"a {kind}, b {kind}")
+    return dealt.groupBy("bucket", "i", "j").applyInPandas(run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -219,18 +250,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         F.min("doc_id").alias("rep"), F.first("regs").alias("regs")), "classes")
     keys = F.array(*[F.xxhash64(F.lit(i), F.slice("regs", i * BAND + 1, BAND)) for i in range(REGISTERS // BAND)])
     banded = classes.select("rep", F.posexplode(keys).alias("band", "bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    inside = cut_lineage(banded.join(shared, "bucket"), "buckets")
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    sized = cut_lineage(banded.join(shared, "bucket"), "sizes")
+    # a bucket's leader is the class that meets most others in all its buckets: the middle of a family
+    meets = sized.groupBy("rep").agg(F.sum("c").alias("meets"))
+    leaders = sized.join(meets, "rep").groupBy("bucket").agg(F.max(F.struct("meets", "rep")).alias("top")).select("bucket", F.col("top.rep").alias("leader"))
+    inside = cut_lineage(sized.join(leaders, "bucket"), "buckets")
     involved = inside.select("rep").distinct()
     texts = documents(docs).join(involved.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
-    held = cut_lineage(texts.withColumnRenamed("doc_id", "rep").join(classes.select("rep", "n", "regs").join(involved, "rep"), "rep"), "candidates")
-    star = inside.where("leader < rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = cut_lineage(_verified(star, held, k, percent), "star-links")
+    texts = cut_lineage(texts.withColumnRenamed("doc_id", "rep"), "candidates")
+    # the star of each bucket
+    star = inside.where("leader != rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    likely = cut_lineage(_likely(star, classes, percent), "star-pairs")
+    links = cut_lineage(_verified(likely, texts, k, percent), "star-links")
     first = cut_lineage(components(links), "star-components")
-    placed = inside.join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
-    rows = placed.join(mixed, "bucket").join(classes.select("rep", "n", "regs"), "rep")
-    more = _verified(cut_lineage(_mixed_pairs(rows, percent).distinct(), "mixed-pairs"), held, k, percent)
+    # what is left: pairs without the leader, across components
+    placed = inside.where("leader != rep").select("bucket", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left")
+    placed = placed.join(classes.select("rep", "n"), "rep").withColumn("component", F.coalesce("component", "rep"))
+    mixed = cut_lineage(_measured(placed), "mixed")
+    # a bucket with many such pairs is split by a second band; a pair in it at the threshold shares one of
+    # the other bands with a chance of all but 1e-7
+    finer = mixed.where("not few").select("bucket", "rep", "component", "n").join(banded.select("rep", F.col("bucket").alias("second")), "rep")
+    finer = finer.where("second != bucket").withColumn("bucket", F.xxhash64("bucket", "second")).drop("second")
+    finer = cut_lineage(_measured(finer), "mixed-finer")
+    across = _across(mixed, percent).unionByName(_across(finer, percent)).distinct()
+    likely = _likely(across, classes, percent).unionByName(_in_blocks(finer.where("not few"), classes, percent)).distinct()
+    more = _verified(cut_lineage(likely, "mixed-pairs"), texts, k, percent)
     final = cut_lineage(components(links.unionByName(cut_lineage(more, "mixed-links"))), "components")
     by_class = classes.select("n", "digest", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("n").alias("_n"), F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("_component"))

@@ -85,8 +85,10 @@ def test_near_edges(spark):
     assert kept.columns == ["doc_id", "text", "name", "h", "rep"] and kept.count() == sum(r[3] for r in near_brute(rows, 4))
 
 
-def test_chains_and_families_keep_every_link(spark):
-    """Families whose least document links to a part of them only: the rest is found block by block."""
+@pytest.mark.parametrize("few", [16, 0])
+def test_chains_and_families_keep_every_link(spark, monkeypatch, few):
+    """Families whose least document links to a part of them only: the rest is met directly, or
+    (with no pair counting as few) by second bands and blocks."""
     draw = random.Random(5)
     rows, i = [], 0
     for family in range(6):
@@ -98,12 +100,9 @@ def test_chains_and_families_keep_every_link(spark):
             for _ in range(draw.choice([1, 2, 4])):
                 words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
     draw.shuffle(rows)
-    old = near_dedup.BLOCK
-    near_dedup.BLOCK = 7  # several blocks per bucket
-    try:
-        got = collected(near_dedup.near_duplicates(frame(spark, rows), 5))
-    finally:
-        near_dedup.BLOCK = old
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)  # several blocks per bucket
+    got = collected(near_dedup.near_duplicates(frame(spark, rows), 5))
     want = near_brute(rows, 5)
     assert got == want
     assert 6 < sum(r[3] for r in want) < 150
@@ -127,6 +126,9 @@ def test_sketches_merge_and_estimate():
             assert (np.maximum(ra, rb) == near_dedup.sketch(h, mul)).all()
             est = near_dedup.estimate(np.array([(ra > rb).sum()]), np.array([(ra < rb).sum()]), np.array([float(len(a))]), np.array([float(len(b))]))
             errors.append(est[0] - shared / len(h))
+            for t in (0.3, 0.62, 0.7):
+                sure = abs(est[0] - t) > 1e-3
+                assert not sure or (est[0] >= t) == near_dedup.can_reach(t, np.array([(ra > rb).sum()]), np.array([(ra < rb).sum()]), np.array([float(len(a))]), np.array([float(len(b))]))[0]
     assert abs(np.mean(errors)) < 0.02 and np.max(np.abs(errors)) < 5 * (0.25 / 128) ** 0.5
 
 
