@@ -163,6 +163,20 @@ def test_scores_against_brute_force(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_model_learns_from_every_learning_document(spark, monkeypatch):
+    rows = [(i, f"one two three {i % 7}", None) for i in range(200)] + [(None, "four", None), (3, None, None)]
+    seen, averaged = [], lm_score._averaged
+
+    def watched(part, vocabulary, start):
+        seen.extend((r.doc_id, r.text) for r in part.collect())
+        return averaged(part, vocabulary, start)
+
+    monkeypatch.setattr(lm_score, "_averaged", watched)
+    _, p, _ = lm_score.train(frame(spark, rows))
+    assert p is not None
+    assert sorted(seen, key=str) == sorted(((i, t or "") for i, t, _ in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2), key=str)
+
+
 def check_base(rows, got):
     tokens = {i: re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [b""] for i, t in rows}
     count = collections.Counter()
