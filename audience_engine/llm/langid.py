@@ -5,7 +5,9 @@ Inverse document frequencies come from all learning rows.  Each language gets se
 centroids: spherical k-means over a bounded sample of its rows (``SAMPLE`` rows, drawn by a
 hash of the id; the bound is the one parameter that limits learning).  A text goes to the
 language of the centroid with the largest cosine; it is rejected if that cosine is far below
-what the language's own sample has.
+what the language's own sample has at that length.  Cosines rise with the number of different
+n-grams, also those of unknown scripts, so each language has a floor per power of two of that
+number: a low quantile over its sample's texts and their beginnings of 4 to 4,096 characters.
 
 Memory: texts are handled in slices of a bounded number of characters; the model is
 ``languages * CENTROIDS * BUCKETS`` floats and is carried in the task closure.
@@ -31,8 +33,11 @@ CENTROIDS = 4
 #: Learning rows per language for the centroids, and k-means rounds.
 SAMPLE = 1500
 ROUNDS = 12
-#: A text is rejected if its cosine is below this share of the lowest cosine in the language's sample.
-REJECT_AT = 0.3
+#: A text is rejected if its cosine is below this share of the floor: the quantile of the sample's cosines at its length.
+REJECT_AT, QUANTILE = 0.5, 0.01
+#: Lengths of the beginnings, classes of length, and texts that a class needs for a floor of its own.
+BEGINNINGS = [1 << e for e in range(2, 13)]
+CLASSES, LEAST = BUCKETS.bit_length(), 20
 #: Softness of the score.
 TEMPERATURE = 0.05
 #: Characters handled at once.
@@ -170,8 +175,28 @@ def _spherical_kmeans(v: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def _length_class(v: np.ndarray) -> np.ndarray:
+    """The power of two of each vector's number of different n-grams."""
+    return np.log2(np.maximum((v > 0).sum(axis=1), 1)).astype(int)
+
+
+def _floors(texts: list[str], idf: np.ndarray, centres: np.ndarray) -> list[float]:
+    """The low quantile of the cosines in each class of length; it never falls with the length."""
+    cosines, classes = [], []
+    for size in [None, *BEGINNINGS]:
+        for _, _, v, has in vectors([t[:size] for t in texts if size is None or len(t) > size], idf):
+            cosines.append((v[has] @ centres.T).max(axis=1))
+            classes.append(_length_class(v[has]))
+    cosine, of = np.concatenate(cosines), np.concatenate(classes)
+    n = np.bincount(of, minlength=CLASSES)
+    sure = np.flatnonzero(n >= min(LEAST, n.max()))
+    low = np.array([np.quantile(cosine[of == c], QUANTILE) for c in sure])
+    low = np.minimum.accumulate(low[::-1])[::-1]
+    return low[np.maximum(np.searchsorted(sure, np.arange(CLASSES), "right") - 1, 0)].tolist()
+
+
 def train(docs: DataFrame) -> dict:
-    """idf, the centroids with their languages, and the cosine below which a language rejects."""
+    """idf, the centroids with their languages, and the floors of each language's cosines."""
     learning = _learning(docs)
     df, n = _frequencies(learning)
     if n == 0:
@@ -190,14 +215,15 @@ def train(docs: DataFrame) -> dict:
         if not len(v):
             return pd.DataFrame({"lang": [], "centre": [], "floor": []})
         centres = _spherical_kmeans(v, CENTROIDS)
-        floor = float((v @ centres.T).max(axis=1).min())
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [c.astype(np.float32).tolist() for c in centres], "floor": floor})
+        del v, parts
+        floor = _floors(texts, idf, centres)
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centre": [c.astype(np.float32).tolist() for c in centres], "floor": [floor] * len(centres)})
 
-    found = sorted(sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>, floor double").collect(), key=lambda r: (r["lang"], r["centre"]))
+    found = sorted(sample.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>, floor array<double>").collect(), key=lambda r: (r["lang"], r["centre"]))
     langs = sorted({r["lang"] for r in found})
     return {"idf": idf, "langs": langs, "of": np.array([langs.index(r["lang"]) for r in found], dtype=int),
             "centres": np.array([r["centre"] for r in found], dtype=np.float32).reshape(len(found), BUCKETS),
-            "floor": [min(r["floor"] for r in found if r["lang"] == x) for x in langs]}
+            "floor": np.array([next(r["floor"] for r in found if r["lang"] == x) for x in langs])}
 
 
 def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
@@ -215,11 +241,12 @@ def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
                     best = np.stack([by_centre[:, of == i].max(axis=1) for i in range(len(langs))], axis=1)
                     soft = np.exp((best - best.max(axis=1, keepdims=True)) / TEMPERATURE)
                     top = best.argmax(axis=1)
+                    low = best.max(axis=1) < REJECT_AT * model["floor"][top, _length_class(v)]
                     for j in np.flatnonzero(has):
                         i = first + j
                         pred[i], cosine[i] = langs[top[j]], best[j, top[j]]
                         score[i] = soft[j, top[j]] / soft[j].sum()
-                        bad[i] = cosine[i] < REJECT_AT * model["floor"][top[j]]
+                        bad[i] = low[j]
                 out = pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": pred, "score": score, "cosine": cosine, "rejected": bad})
             yield out
 

@@ -94,6 +94,20 @@ def test_language_edges(spark):
     assert langid.identify(frame(spark, rows).where("doc_id < 0")).count() == 0
 
 
+def test_language_rejects_by_length(spark):
+    """Long foreign or random texts go, as short ones do; short clean texts stay, and repeated ones."""
+    docs = spark.read.parquet(f"{SF2}/documents.parquet")
+    model, draw = langid.train(docs), random.Random(8)
+    letters = {"greek": "αβγδεζηθικλμνξοπρστυφχψω", "cyrillic": "абвгдежзийклмнопрстуфхцчшщыьэюя", "han": "".join(chr(0x4E00 + i) for i in range(3000)), "latin": "abcdefghijklmnopqrstuvwxyz"}
+    foreign = [(i, " ".join("".join(draw.choice(a) for _ in range(draw.randint(2, 9))) for _ in range(n)), None)
+               for i, (a, n) in enumerate((a, n) for a in letters.values() for n in (10, 50, 300, 2000) for _ in range(5))]
+    rows = sorted((r.doc_id, r.text) for r in docs.where("text is not null and doc_id % 5 = 0").collect())
+    clean = [(1000 + j, t, None) for j, t in enumerate([t[:n] for _, t in rows for n in (20, 60, 200)] + ["Das " * 500, "the " * 5000]) if any(c.isalpha() for c in t)]
+    got = {r.doc_id: r.rejected for r in langid.identify(frame(spark, foreign + clean), model).collect()}
+    assert [t[:40] for i, t, _ in foreign if not got[i]] == []
+    assert sum(got[i] for i, _, _ in clean) <= 0.002 * len(clean) and not got[clean[-1][0]] and not got[clean[-2][0]]
+
+
 def test_gram_counts_do_not_depend_on_slices():
     texts = ["The garden, of it", "x", "", "über-all " * 50, "zz"]
     old = langid.SLICE
