@@ -9,12 +9,15 @@ weighted Jaccard similarity (sum of least over sum of greatest counts) of ``perc
    item gives the window's start, the item's length its size.  Shared shingles are found by a
    bit table of the benchmark's shingle hashes (a Bloom filter of at most ``2^MOST_BITS``
    bits, so its size is bounded whatever the benchmark) inside the scan, without exploding
-   texts, and then by an exact join of what is left.
+   texts, and then by an exact join of what is left.  A window with fewer shingles in the bit
+   table than the similarity needs goes at once.
 2. Fingerprints: 64-bit SimHash of each window and item.
 3. Multi-index: the fingerprint has ``BLOCKS`` blocks; of two fingerprints within
    ``BLOCKS * (NEAR + 1) - 1`` bits at least one block differs in at most ``NEAR`` bits.  Items
    are entered under every block value that near, so an equality join finds all pairs within
    the radius; a pair counts in the first such block only.
+   Pairs beyond the radius come from an exact join: a similar window has ``percent`` of the item's
+   shingles, so it has one of any larger rest of them; the item's rarest are taken.
 4. Verification: exact similarity of the multisets of 64-bit shingle hashes.
 
 Defined cases: null text counts as empty and has no shingle; fewer words than a shingle: the
@@ -90,6 +93,14 @@ def _fingerprints(sets: DataFrame, keys: list[str]) -> DataFrame:
     return votes.select(*keys, fp.alias("fp"))
 
 
+def _rare_parts(items: DataFrame, percent: int) -> DataFrame:
+    """(item_id, h): of each item so many elements, the rarest in the benchmark first, that a similar window has one of them."""
+    each = items.select("item_id", F.size("w").alias("m"), F.explode("w").alias("h"))
+    each = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "h")
+    order = each.groupBy("item_id").agg(F.max("m").alias("m"), F.sort_array(F.collect_list(F.struct("n", "h"))).alias("order"))
+    return order.select("item_id", F.explode(F.slice("order", F.lit(1), F.expr(f"m - (m * {percent} + 99) div 100 + 1").cast("int"))).alias("e")).select("item_id", F.col("e.h").alias("h"))
+
+
 def _block(fp: Column, b: int) -> Column:
     return F.shiftrightunsigned(fp, b * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int")
 
@@ -120,10 +131,12 @@ def contaminated(docs: DataFrame, bench: DataFrame, k: int = 5, percent: int = 8
     windows = found.join(places, "h").select("row", (F.col("pos") - F.col("ipos")).alias("start"), "m").distinct()
     first = F.greatest(F.col("start"), F.lit(0))
     cut = F.slice("s", first + 1, F.col("start") + F.col("m") - first)
-    windows = cut_lineage(windows.join(seeds.select("row", "doc_id", "s"), "row").select("row", "doc_id", "start", "m", _weighted(cut).alias("w")), "windows")
+    windows = windows.join(seeds.select("row", "doc_id", "s"), "row").select("row", "doc_id", "start", "m", cut.alias("cut"))
+    windows = windows.where(F.size(F.filter("cut", seen)) * 100 >= F.col("m") * percent)
+    windows = cut_lineage(windows.select("row", "doc_id", "start", "m", _weighted(F.col("cut")).alias("w")), "windows")
     # 2-3. fingerprints and the multi-index
     of_items = _fingerprints(items, ["item_id"])
-    of_windows = _fingerprints(windows, ["row", "start", "m"])
+    of_windows = cut_lineage(_fingerprints(windows, ["row", "start", "m"]), "fingerprints")
     near = literal_array(_nearby(), "int")
     entries = of_items.select("item_id", F.col("fp").alias("ifp"), F.posexplode(F.array(*[_block(F.col("fp"), b) for b in range(BLOCKS)])).alias("b", "v"))
     entries = entries.select("item_id", "ifp", "b", F.explode(F.transform(near, lambda x: F.col("v").bitwiseXOR(x))).alias("key"))
@@ -133,7 +146,10 @@ def contaminated(docs: DataFrame, bench: DataFrame, k: int = 5, percent: int = 8
     for b in reversed(range(BLOCKS)):
         first_near = F.when(F.bit_count(_block(apart, b)) <= NEAR, F.lit(b)).otherwise(first_near)
     pairs = lookups.join(entries, ["b", "key"]).where((F.bit_count(apart) <= RADIUS) & (F.col("b") == first_near))
-    pairs = pairs.select("row", "start", "m", "item_id")
+    shared = windows.select("row", "start", "m", F.explode("w").alias("h")).join(_rare_parts(items, percent), "h")
+    shared = shared.select("row", "start", "m", "item_id").distinct()
+    beyond = shared.join(of_windows, ["row", "start", "m"]).join(of_items.select("item_id", F.col("fp").alias("ifp")), "item_id").where(F.bit_count(apart) > RADIUS)
+    pairs = pairs.select("row", "start", "m", "item_id").unionByName(beyond.select("row", "start", "m", "item_id"))
     # 4. verification
     sets = pairs.join(windows, ["row", "start", "m"]).join(items.select("item_id", F.col("w").alias("iw")), "item_id")
     both = F.size(F.array_intersect("w", "iw"))

@@ -184,3 +184,18 @@ def test_leak_edges(spark):
     assert kept.columns == frm.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if not any(i == d for d, _ in want))
     assert decontaminate.contaminated(frm, bench.where("item_id < 0")).count() == 0
     assert decontaminate.contaminated(frm.where("doc_id < 0"), bench).count() == 0
+
+
+def test_no_near_copy_is_lost_beyond_the_radius(spark):
+    """One changed word of 50 is similarity 0.804: some fingerprints are further apart than the multi-index sees."""
+    n, items, docs = 1000, [], []
+    for i in range(n):
+        words = [f"i{i}w{j}" for j in range(50)]
+        items.append((i, " ".join(words)))
+        words[10 + i % 30] = "other"
+        docs.append((i, f"before {i} " + " ".join(words) + " after"))
+    docs += [(n + i, " ".join(f"i{i}w{j}" if j % 9 else "other" for j in range(50))) for i in range(50)]  # shares shingles only
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(frame(spark, docs), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(n)]
+    assert all(abs(r.similarity - 41 / 51) < 1e-9 for r in got)
