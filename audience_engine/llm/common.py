@@ -39,10 +39,22 @@ def literal_array(values: list, kind: str = "bigint") -> Column:
     return F.split(F.lit(text), ",").cast(f"array<{kind}>")
 
 
+def text_key(docs: DataFrame) -> Column:
+    """The hash that stands for a row's text where ids are null or repeated."""
+    return F.sha2(whole_text(docs).cast("binary"), 256)
+
+
+def by_text(docs: DataFrame) -> DataFrame:
+    """``documents`` with the text's key in place of the id, for decisions that depend on the text alone."""
+    return docs.select(text_key(docs).alias("doc_id"), whole_text(docs).alias("text"))
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in the one-column frame ``dropped``."""
-    gone = dropped.select(F.col(dropped.columns[0]).alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """``docs`` less the rows that agree with a row of ``dropped`` in all its columns, of doc_id and text_sha256."""
+    own = {"doc_id": docs["doc_id"], "text_sha256": text_key(docs)}
+    gone = dropped.select(*[F.col(c).alias(f"_gone_{c}") for c in dropped.columns]).distinct()
+    same = [own[c].eqNullSafe(gone[f"_gone_{c}"]) for c in dropped.columns]
+    return docs.join(gone, same, "left_anti")
 
 
-__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "without", "cut_lineage"]
+__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "text_key", "by_text", "without", "cut_lineage"]

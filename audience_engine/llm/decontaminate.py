@@ -33,7 +33,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK, cut_lineage, documents, literal_array, without
+from .common import WORD_BREAK, by_text, cut_lineage, documents, literal_array, without
 from .spans import let
 
 #: Bits of the bit table: at least, at most, and per shingle of the benchmark.
@@ -161,8 +161,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, k: int = 5, percent: int = 8
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with all its columns, less the contaminated documents."""
-    return without(docs, contaminated(docs, bench, k, percent).select("doc_id"))
+    """``docs`` with all its columns, less the rows whose text is contaminated."""
+    return without(docs, contaminated(by_text(docs), bench, k, percent).select(F.col("doc_id").alias("text_sha256")))
 
 
 __all__ = ["contaminated", "drop_contaminated", "RADIUS"]

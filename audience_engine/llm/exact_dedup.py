@@ -106,7 +106,7 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with all its columns, less the rows that an equal text with a larger doc_id replaces."""
-    return without(docs, exact_dedup(docs, block_bytes).where("not kept").select("doc_id"))
+    return without(docs, exact_dedup(docs, block_bytes).where("not kept").select("doc_id", "text_sha256"))
 
 
 __all__ = ["exact_dedup", "drop_exact_copies", "named_documents", "BLOCK_BYTES"]
