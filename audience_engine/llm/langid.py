@@ -188,11 +188,13 @@ def _floors(texts: list[str], idf: np.ndarray, centres: np.ndarray) -> list[floa
             cosines.append((v[has] @ centres.T).max(axis=1))
             classes.append(_length_class(v[has]))
     cosine, of = np.concatenate(cosines), np.concatenate(classes)
-    n = np.bincount(of, minlength=CLASSES)
-    sure = np.flatnonzero(n >= min(LEAST, n.max()))
-    low = np.array([np.quantile(cosine[of == c], QUANTILE) for c in sure])
-    low = np.minimum.accumulate(low[::-1])[::-1]
-    return low[np.maximum(np.searchsorted(sure, np.arange(CLASSES), "right") - 1, 0)].tolist()
+    low = np.zeros(CLASSES)
+    for c in range(CLASSES):
+        # a class with few texts takes those of shorter classes; without any, nothing is rejected
+        at = next((d for d in range(c, 0, -1) if ((of >= d) & (of <= c)).sum() >= LEAST), 0)
+        own = cosine[(of >= at) & (of <= c)]
+        low[c] = np.quantile(own, QUANTILE) if len(own) else 0.0
+    return np.minimum.accumulate(low[::-1])[::-1].tolist()
 
 
 def train(docs: DataFrame) -> dict:

@@ -105,6 +105,13 @@ def test_language_rejects_by_length(spark):
     clean = [(1000 + j, t, None) for j, t in enumerate([t[:n] for _, t in rows for n in (20, 60, 200)] + ["Das " * 500, "the " * 5000]) if any(c.isalpha() for c in t)]
     got = {r.doc_id: r.rejected for r in langid.identify(frame(spark, foreign + clean), model).collect()}
     assert [t[:40] for i, t, _ in foreign if not got[i]] == []
+    # one learning row of a language is its own centroid: its short beginnings still belong to it
+    idf = model["idf"]
+    text = max((t for _, t in rows), key=len)
+    (_, _, whole, _), = langid.vectors([text], idf)
+    floor = langid._floors([text], idf, whole)
+    short = [(v, langid._length_class(v)) for _, _, v, _ in langid.vectors([text[:n] for n in (16, 40, 100)], idf)]
+    assert all((v @ whole.T)[j, 0] >= langid.REJECT_AT * floor[c[j]] for v, c in short for j in range(len(v)))
     assert sum(got[i] for i, _, _ in clean) <= 0.002 * len(clean) and not got[clean[-1][0]] and not got[clean[-2][0]]
 
 
