@@ -39,6 +39,13 @@ def literal_array(values: list, kind: str = "bigint") -> Column:
     return F.split(F.lit(text), ",").cast(f"array<{kind}>")
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z lower-cased, every other letter as it is."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def text_key(docs: DataFrame) -> Column:
     """The hash that stands for a row's text where ids are null or repeated."""
     return F.sha2(whole_text(docs).cast("binary"), 256)
@@ -57,4 +64,4 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, same, "left_anti")
 
 
-__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "text_key", "by_text", "without", "cut_lineage"]
+__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "lower_ascii", "text_key", "by_text", "without", "cut_lineage"]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, secrets
+from . import line_dedup, periodic, pii, secrets
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
@@ -17,6 +17,7 @@ from .lm_score import score_documents
 from .near_dedup import near_duplicates
 from .packing import pack
 from .sharding import shard_documents
+from .spelling import group_spellings
 from .toxicity import score_toxicity
 
 
@@ -61,6 +62,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(table(spark, sf_dir, "documents"), plant_tails=True))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_langid": op2_langid,
@@ -72,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -80,4 +96,14 @@ ORACLE_SQL: dict[str, str] = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op13_line_dedup": """
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+             l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+             k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+             c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+             m AS (SELECT k.*, c.key IS NOT NULL AS gone FROM k LEFT JOIN c ON k.key = c.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
 }
