@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--infer", action="store_true", help="infer CSV column types as the reference did")
     p.add_argument("--input-format", default="csv", help="csv (headerless, by position) or parquet/orc/json (by name)")
     p.add_argument("--out", help="output folder for the sinks")
+    p.add_argument("--resume", help="shared folder for the job's stages: started again after a lost driver, the job goes on there")
     for f in fields(PipelineConfig):
         flag = "--" + f.name.replace("_", "-")
         if f.type in ("bool", bool):
@@ -81,7 +82,8 @@ def main(argv: list[str] | None = None) -> None:
                         song_artist=read_song_artist(spark, args.song_artist, args.infer, fmt),
                         notification_artist=read_notification_artist(spark, args.notification_artist, args.infer, fmt),
                         notification_clicks=read_notification_clicks(spark, args.notification_clicks, args.infer, fmt))
-    result = run(inputs, cfg, sink_dir=args.out)
+    print(f"als_blocks {cfg.als_blocks}, kmeans_partitions {cfg.kmeans_partitions}, song_buckets {cfg.song_buckets}")
+    result = run(inputs, cfg, sink_dir=args.out, resume_dir=args.resume)
     result.quality().show(truncate=False)  # k, silhouette, WSSSE of the fit
     result.top.orderBy("rowNumber").show(truncate=False)  # K5
     result.release()

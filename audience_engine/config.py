@@ -66,12 +66,14 @@ class PipelineConfig:
     rank_by: str = "clicks"
     top_n: int = 5
 
-    # salts of the joins on few distinct keys (J4, J5): a notification or artist
-    # that holds a third of the rows spreads over so many tasks; raise it with
-    # the data
-    salts: int = 32
-    # tasks, and so files, that write one notification of the partitioned sink
-    sink_salts: int = 8
+    # rows of one key (a song, an artist, a notification) that one task may hold: a hotter key is
+    # salted by its exact count, one salt for so many rows
+    rows_per_task: int = 1_000_000
+    # rows of one notification in a file of the partitioned sink (K2)
+    rows_per_file: int = 1_000_000
+    # buckets of the activity by song: one task each in the popularity count, so about
+    # (user, song) rows / rows_per_task
+    song_buckets: int = 8
     # silhouette and WSSSE after the fit, as the reference prints every time
     evaluate: bool = True
     # write the audience too (K1), in files of at most this many rows

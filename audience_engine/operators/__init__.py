@@ -1,6 +1,6 @@
 """Relational and ML operators; every public function is DataFrame -> DataFrame
 (or a fitted spark.ml model).  Fits, rankings (``rank_labels``, ``index_ids``,
-``build_activity``) and ``select_k`` run jobs; the rest is lazy."""
+``build_activity``), ``clicked_audience`` and ``select_k`` run jobs; the rest is lazy."""
 
 from .activity import Activity, build_activity, index_ids, label_frequencies, play_counts, rank_labels
 from .audience import (
@@ -20,10 +20,12 @@ from .clustering import (
     cluster_sizes,
     cluster_users,
     fit_kmeans,
+    label_models,
     layout_points,
     mean_centres,
     model_silhouette,
     nearest_centre,
+    score_models,
     select_k,
     silhouette,
     squared_errors,
@@ -38,7 +40,7 @@ from .ctr import (
     target_counts_from_notified,
     top_notifications,
 )
-from .joins import salted_join
+from .joins import bloom_filter, bloom_semi_join, bloom_words, repeated, salt_table, salted_join, with_salt
 from .factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
 
 __all__ = [
@@ -46,9 +48,9 @@ __all__ = [
     "attach_clusters", "build_audience", "cluster_artist_hits", "cluster_artist_hits_from_clustered",
     "notified_users", "top_artist_per_cluster", "user_clusters",
     "KChoice", "assign_clusters", "centres_frame", "choose_k", "cluster_sizes", "cluster_users", "fit_kmeans",
-    "layout_points", "mean_centres", "model_silhouette", "nearest_centre", "select_k", "silhouette", "squared_errors", "wssse",
+    "label_models", "layout_points", "mean_centres", "model_silhouette", "nearest_centre", "score_models", "select_k", "silhouette", "squared_errors", "wssse",
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
-    "salted_join",
+    "bloom_filter", "bloom_semi_join", "bloom_words", "repeated", "salt_table", "salted_join", "with_salt",
     "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",
 ]

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, cut_lineage_bucketed
+from .joins import ROWS_PER_TASK, SALT, repeated, salt_table, with_salt
 
 _N = "_n"        # frequency of a label
 _PART = "_part"  # range partition of a label
@@ -70,22 +71,32 @@ def index_ids(plays: DataFrame, col: str, index_col: str, freqs: DataFrame | Non
 
 @dataclass(frozen=True)
 class Activity:
-    activity: DataFrame  # UserId, SongId, UserIndex, SongIndex, hits
-    users: DataFrame     # UserId, UserIndex
-    songs: DataFrame     # SongId, SongIndex
+    activity: DataFrame   # UserId, SongId, UserIndex, SongIndex, hits
+    users: DataFrame      # UserId, UserIndex
+    songs: DataFrame      # SongId, SongIndex
+    by_song: DataFrame    # activity and _salt, bucketed by (SongId, _salt)
+    song_salts: DataFrame  # SongId, _salts of the hot songs
 
 
-def build_activity(plays: DataFrame) -> Activity:
+def build_activity(plays: DataFrame, song_buckets: int = 8, rows_per_task: int = ROWS_PER_TASK) -> Activity:
     """M1-M3 + A1: index users and songs, count plays per (user, song).
 
     The counts are taken once and written to the shared folder; both indexes
     are ranked from them (the sum of hits per label is its play count, the
     frequency ``StringIndexer`` uses), so the raw log is read once.  The activity
     is written too: ALS, the popularity counts and the audience all start from
-    files, and nothing stays in executor memory."""
+    files, and nothing stays in executor memory.
+
+    The activity's one shuffle by song, for the index join, is kept: the table is bucketed by
+    (SongId, salt), so the popularity count (J2) joins the song metadata without shuffling it again.
+    A song with more than ``rows_per_task`` listeners has a salt per so many, which
+    spreads it over buckets.  Choose ``song_buckets`` near rows / ``rows_per_task``: a bucket is one task."""
     pairs = cut_lineage(play_counts(plays), "pairs")
     users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex")
     songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex")
-    activity = (pairs.join(users, "UserId").join(songs, "SongId")
-                .select("UserId", "SongId", "UserIndex", "SongIndex", "hits"))
-    return Activity(activity=cut_lineage(activity, "activity"), users=users, songs=songs)
+    salts = cut_lineage(salt_table(pairs, ["SongId"], rows_per_task), "song-salts")
+    dealt = with_salt(pairs.join(users, "UserId"), salts, ["SongId"], "UserId").repartition(song_buckets, "SongId", SALT)
+    indexed = dealt.join(repeated(songs, salts, ["SongId"]), ["SongId", SALT])
+    columns = ["UserId", "SongId", "UserIndex", "SongIndex", "hits"]
+    by_song = cut_lineage_bucketed(indexed.select(*columns, SALT), "activity", song_buckets, ["SongId", SALT])
+    return Activity(activity=by_song.select(*columns), users=users, songs=songs, by_song=by_song, song_salts=salts)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import salted_join
+from .joins import ROWS_PER_TASK, SALT, repeated, salted_join
 
 
 def attach_clusters(activity: DataFrame, user_cluster: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def user_clusters(users: DataFrame, user_cluster: DataFrame) -> DataFrame:
 
 
 def cluster_artist_hits(activity: DataFrame, user_cluster: DataFrame, song_artist: DataFrame,
-                        weight: str = "pairs") -> DataFrame:
+                        weight: str = "pairs", song_salts: DataFrame | None = None, user_col: str = "UserIndex") -> DataFrame:
     """J2 + A2: (cluster, ArtistId, artistHits).
 
     ``weight="pairs"`` counts (user, song) rows as the reference does;
@@ -39,14 +39,20 @@ def cluster_artist_hits(activity: DataFrame, user_cluster: DataFrame, song_artis
 
     Pre-aggregation: activity is first joined to the song metadata and summed
     per (user, artist) - far fewer rows than (user, song) - before the per-user
-    cluster is attached, so the big table never shuffles on the user key."""
+    cluster is attached, so the big table never shuffles on the user key.
+
+    With ``song_salts`` the activity is ``Activity.by_song``, bucketed by (SongId, _salt): the metadata is
+    repeated for the salts of hot songs and only it is shuffled for the join.  ``user_col`` names
+    the user's key in ``activity`` and ``user_cluster``."""
     if weight not in ("pairs", "plays"):
         raise ValueError("weight must be 'pairs' or 'plays'")
     w = F.lit(1).cast("bigint") if weight == "pairs" else F.col("hits")
-    per_user = (activity.select("UserIndex", "SongId", w.alias("_w"))
-                .join(song_artist.select("SongId", "ArtistId"), "SongId")
-                .groupBy("UserIndex", "ArtistId").agg(F.sum("_w").alias("_w")))
-    return (per_user.join(user_cluster.select("UserIndex", "cluster"), "UserIndex")
+    songs, on = song_artist.select("SongId", "ArtistId"), ["SongId"]
+    if song_salts is not None:
+        songs, on = repeated(songs, song_salts, on), ["SongId", SALT]
+    per_user = (activity.select(user_col, *on, w.alias("_w")).join(songs, on)
+                .groupBy(user_col, "ArtistId").agg(F.sum("_w").alias("_w")))
+    return (per_user.join(user_cluster.select(user_col, "cluster"), user_col)
             .groupBy("cluster", "ArtistId").agg(F.sum("_w").alias("artistHits")))
 
 
@@ -91,14 +97,16 @@ def build_audience(clustered_users: DataFrame, cluster_artist: DataFrame, distin
             .select("UserId", "cluster", "ArtistId", "artistCluster"))
 
 
-def notified_users(notification_artist: DataFrame, audience: DataFrame, salts: int = 32) -> DataFrame:
+def notified_users(notification_artist: DataFrame, audience: DataFrame, salts: int | None = None,
+                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """J4 (C4): the notification list - every audience user of each
     notification's artist: (NotificationId, ArtistId, UserId, cluster, artistCluster).
 
     This is the job's largest relation (notifications x audience); the CTR
     path never materialises it.  The join key has at most k distinct values
     and one artist may own a third of all users, so the join is salted by
-    user (``salted_join``): every artist's audience spreads over ``salts`` tasks."""
+    user (``salted_join``): an artist's audience spreads over as many tasks as its exact size
+    asks for, ``rows_per_task`` users each (or over ``salts`` tasks, if given)."""
     na = notification_artist.select("NotificationId", "ArtistId")
-    return (salted_join(audience, na, ["ArtistId"], spread_by="UserId", salts=salts)
+    return (salted_join(audience, na, ["ArtistId"], spread_by="UserId", salts=salts, rows_per_task=rows_per_task)
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -140,6 +142,7 @@ def cluster_sizes(user_cluster: DataFrame) -> DataFrame:
 class KChoice:
     metrics: DataFrame  # k, silhouette, wssse, silhouette_change, chosen
     k: int
+    labels: DataFrame   # id, features, one column k<k> for each k: the written labels
 
 
 def choose_k(rows: list[tuple[int, float | None, float]]) -> tuple[list[tuple], int]:
@@ -163,22 +166,86 @@ def choose_k(rows: list[tuple[int, float | None, float]]) -> tuple[list[tuple],
     return out, chosen_k
 
 
+def label_models(vectors: DataFrame, models: dict[int, KMeansModel]) -> DataFrame:
+    """(id, features, k<k>...): the points with every model's label, in one pass."""
+    out = vectors.select("id", "features")
+    for k, model in models.items():
+        out = model.copy().setPredictionCol(f"k{k}").transform(out)
+    return out
+
+
+def score_models(labelled: DataFrame, models: dict[int, KMeansModel]) -> dict[int, tuple[float | None, float]]:
+    """{k: (silhouette, WSSSE)} of all models over ``label_models``' points, in two passes for the whole sweep
+    instead of two for every k.
+
+    1. Per (k, cluster): points, sum and squared norm, summed map-side; as many rows as the models have
+       centres.
+    2. Per point and model, its silhouette and its squared distance to its centre, from those sums (the
+       mean squared distance to a cluster follows from them); one row of sums per model and Arrow batch.
+
+    The silhouette is spark.ml's (squared Euclidean): a point alone in its cluster scores 0, and one
+    cluster alone has none (None)."""
+    width = len(next(iter(models.values())).clusterCenters()[0])
+    dims = [f"x{i}" for i in range(width)]
+    x = vector_to_array("features")
+    plain = labelled.select(*[x[i].alias(c) for i, c in enumerate(dims)], *[f"k{k}" for k in models])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("cluster")) for k in models]))
+    squares = sum((F.col(c) * F.col(c) for c in dims), F.lit(0.0))
+    sums = plain.select(*dims, squares.alias("sq"), each.alias("of")).groupBy("of.k", "of.cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("sq").alias("sq"), *[F.sum(c).alias(c) for c in dims]).collect()
+    tables = {}
+    for k, model in models.items():
+        centres = np.array(model.clusterCenters())
+        n, sq, total = np.zeros(len(centres)), np.zeros(len(centres)), np.zeros(centres.shape)
+        for r in sums:
+            if r["k"] == k:
+                n[r["cluster"]], sq[r["cluster"]], total[r["cluster"]] = r["n"], r["sq"], [r[c] for c in dims]
+        tables[k] = centres, n, sq, total
+
+    def run(batches):
+        for b in batches:
+            points = b[dims].to_numpy(dtype=float)
+            own_sq = (points * points).sum(axis=1)
+            rows = []
+            for k, (centres, n, sq, total) in tables.items():
+                label = b[f"k{k}"].to_numpy()
+                cost = ((points - centres[label]) ** 2).sum()
+                score = 0.0
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    for at in range(0, len(points), 1000):  # bounds the matrix of points and clusters
+                        p, l, i = points[at:at + 1000], label[at:at + 1000], np.arange(len(label[at:at + 1000]))
+                        far = own_sq[at:at + 1000, None] + sq / n - 2 * (p @ total.T) / n
+                        inside = far[i, l] * n[l] / (n[l] - 1)
+                        far[:, n == 0] = np.inf
+                        far[i, l] = np.inf
+                        other = far.min(axis=1)
+                        s = np.where(inside < other, 1 - inside / other, np.where(inside > other, other / inside - 1, 0.0))
+                        score += s[n[l] > 1].sum()
+                rows.append((k, len(points), score, cost))
+            yield pd.DataFrame(rows, columns=["k", "n", "score", "cost"])
+
+    scored = plain.mapInPandas(run, "k int, n long, score double, cost double")
+    got = scored.groupBy("k").agg(F.sum("n").alias("n"), F.sum("score").alias("score"), F.sum("cost").alias("cost")).collect()
+    alone = {k for k, (_, n, _, _) in tables.items() if (n > 0).sum() < 2}
+    return {r["k"]: (None if r["k"] in alone else r["score"] / r["n"], r["cost"]) for r in got}
+
+
 def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: float = 1e-4,
              partitions: int = 8) -> KChoice:
-    """Fit K-means for each k of the sweep, score it, apply the rule.
+    """Fit K-means for each k of the sweep, score all fits together, apply the rule.
 
-    The loop is over parameters (a handful of k values), not data: each fit
-    and evaluation is a distributed job over the vectors, which are written
+    The loop is over parameters (a handful of k values), not data: each fit is a
+    distributed job over the vectors, which are written
     to the shared folder first so that a lost executor mid-sweep rereads
-    them instead of recomputing whatever produced them (e.g. ALS)."""
+    them instead of recomputing whatever produced them (e.g. ALS).  The points are then labelled
+    by all models in one pass, and ``score_models`` reads those labels."""
     spark = vectors.sparkSession
     vectors = cut_lineage(vectors, "k-search-vectors")
     laid_out = layout_points(vectors, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)  # once for every k
-    rows = []
-    for k in ks:
-        model = fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None)
-        rows.append((int(k), model_silhouette(model, laid_out), float(model.summary.trainingCost)))
+    models = {int(k): fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None) for k in ks}
+    labels = cut_lineage(label_models(laid_out, models), "k-search-labels")
     laid_out.unpersist()
-    scored, chosen = choose_k(rows)
+    scores = score_models(labels, models)
+    scored, chosen = choose_k([(k, *scores[k]) for k in models])
     schema = "k int, silhouette double, wssse double, silhouette_change double, chosen boolean"
-    return KChoice(metrics=spark.createDataFrame(scored, schema), k=chosen)
+    return KChoice(metrics=spark.createDataFrame(scored, schema), k=chosen, labels=labels)

@@ -17,7 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import salted_join
+from ..session import cut_lineage
+from .joins import ROWS_PER_TASK, bloom_semi_join, bloom_words, salted_join
+
+#: Notification -> artist rows up to which they are broadcast (16 bytes each).
+SMALL_ROWS = 1_000_000
 
 _GROUP = ["NotificationId", "ArtistId", "artistCluster"]
 
@@ -33,14 +37,20 @@ def notified_clicks(notified: DataFrame, clicks: DataFrame, dedupe_clicks: bool
 
 
 def clicked_audience(clicks: DataFrame, notification_artist: DataFrame, audience: DataFrame,
-                     dedupe_clicks: bool = True, salts: int = 32) -> DataFrame:
+                     dedupe_clicks: bool = True, salts: int | None = None, rows_per_task: int = ROWS_PER_TASK,
+                     prefilter: bool = True) -> DataFrame:
     """J5 (C5) without the notified relation: the same rows as
     ``notified_clicks(notified_users(na, audience), clicks)``.
 
-    Repeated clicks collapse map-side first (a user clicking one notification
-    a million times shuffles one row per task); the join to the small
-    notification -> artist relation is salted by user, since one notification
-    may draw a third of all clicks; the last join is on (UserId, ArtistId)
+    Most clicks come from users outside the notification's audience.  The clicks get their
+    notification's artists first (broadcast up to ``SMALL_ROWS`` counted rows, else a join salted
+    by each notification's exact number of clicks), and a Bloom filter of the audience's (UserId, ArtistId),
+    with a stated bound on its size (``bloom_words``), drops them in the stage that reads
+    the clicks: only what passes is made distinct and shuffled to the exact join.  An audience
+    too large for the bound goes without the filter (as ``prefilter=False``); the rows are the same.
+
+    Repeated clicks collapse map-side (a user clicking one notification
+    a million times shuffles one row per task); the last join is on (UserId, ArtistId)
     against one audience row per user.
 
     ``dedupe_clicks=False`` keeps every repeat (of clicks and of notification
@@ -49,9 +59,19 @@ def clicked_audience(clicks: DataFrame, notification_artist: DataFrame, audience
     c = clicks.select("NotificationId", "UserId")
     na = notification_artist.select("NotificationId", "ArtistId")
     if dedupe_clicks:
-        c, na = c.distinct(), na.distinct()
-    return (salted_join(c, na, ["NotificationId"], spread_by="UserId", salts=salts)
-            .join(audience.select("UserId", "ArtistId", "cluster", "artistCluster"), ["UserId", "ArtistId"])
+        na = na.distinct()
+    na = cut_lineage(na, "notification-artist")  # its size is then known, and it is made once
+    if salts is None and na.count() <= SMALL_ROWS:
+        aimed = c.join(F.broadcast(na), "NotificationId")
+    else:
+        aimed = salted_join(c, na, ["NotificationId"], spread_by="UserId", salts=salts, rows_per_task=rows_per_task)
+    members = audience.select("UserId", "ArtistId", "cluster", "artistCluster")
+    words = bloom_words(members.count()) if prefilter else None
+    if words:
+        aimed = bloom_semi_join(aimed, members, ["UserId", "ArtistId"], words)
+    if dedupe_clicks:
+        aimed = aimed.distinct()
+    return (aimed.join(members, ["UserId", "ArtistId"])
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))
 
 

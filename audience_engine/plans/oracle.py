@@ -139,6 +139,9 @@ _TAILS = {
     "q_index_users": "SELECT UserId, UserIndex FROM users",
     "q_index_songs": "SELECT SongId, SongIndex FROM songs",
     "q_activity": "SELECT UserId, SongId, UserIndex, SongIndex, hits FROM activity",
+    "q_activity_by_song": (
+        "SELECT UserId, SongId, UserIndex, SongIndex, hits, "
+        "CAST(ceil(COUNT(*) OVER (PARTITION BY SongId) / 10.0) AS INTEGER) AS salts, true AS salt_in_range FROM activity"),
     "q_csv_plays": "SELECT UserId, SongId FROM plays",
     "q_parquet_plays": "SELECT UserId, SongId FROM plays",
     # a price of 1,000 or more is written with a comma and stays malformed
@@ -171,6 +174,18 @@ _TAILS = {
     "q_notified_clicks_bag": "SELECT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks",
     "q_notified_clicks_join": (
         "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),
+    "q_artist_salts": (
+        "SELECT ArtistId, CAST(ceil(COUNT(DISTINCT UserId) / 100.0) AS INTEGER) AS salts FROM audience_bag "
+        "GROUP BY ArtistId HAVING COUNT(DISTINCT UserId) > 100"),
+    "q_notified_salted": "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified",
+    "q_notified_clicks_salted": (
+        "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),
+    "q_clicks_past_the_filter": (
+        "SELECT a.NotificationId, COUNT(*) AS clicks, COUNT(b.UserId) AS inside, true AS filter_holds "
+        "FROM (SELECT DISTINCT c.NotificationId, c.UserId, na.ArtistId FROM clicks c "
+        "JOIN notification_artist na ON c.NotificationId = na.NotificationId) a "
+        "LEFT JOIN (SELECT DISTINCT UserId, ArtistId FROM audience_bag) b ON a.UserId = b.UserId AND a.ArtistId = b.ArtistId "
+        "GROUP BY a.NotificationId"),
     "q_click_counts": "SELECT NotificationId, ArtistId, artistCluster, clusterUserClicks FROM click_groups",
     "q_target_counts": "SELECT NotificationId, ArtistId, artistCluster, clusterUserCounts FROM target_groups",
     "q_target_counts_bag": "SELECT NotificationId, ArtistId, artistCluster, clusterUserCounts FROM target_groups",
@@ -181,6 +196,7 @@ _TAILS = {
     "q_ctr_keep_zero": _ctr("ctr_keep_zero"),
     "q_top5": _top("ctr_reference", "notificationClicks"),
     "q_job_on_customer_groups": _top("ctr_reference", "notificationClicks"),
+    "q_job_resumed": _top("ctr_reference", "notificationClicks"),
     "q_top5_by_ctr": _TOP_BY_CTR,
     "q_sink_partitioned": (
         "SELECT DISTINCT NotificationId, ArtistId, UserId, cluster, artistCluster FROM notified_clicks"),
@@ -301,6 +317,9 @@ def oracle_sql() -> dict[str, str]:
         "round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings")
     out["q_kmeans_embeddings_check"] = "SELECT vec_id, true AS nearest FROM embeddings"
     out["q_kmeans_assign_fixed_centres"] = _NEAREST
+    out["q_select_k_check"] = (
+        "SELECT k, true AS silhouette_equal, true AS wssse_equal FROM (VALUES (4), (8), (12)) t(k) "
+        "WHERE (SELECT COUNT(*) FROM embeddings) > 0")
     out["q_choose_k_on_nations"] = _CHOOSE_K
     out["q_wssse_fixed_labels"] = _WSSSE
     out["q_silhouette_fixed_labels"] = _SILHOUETTE

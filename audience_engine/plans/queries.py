@@ -30,14 +30,18 @@ from ..operators.audience import (
 )
 from ..operators.clustering import (
     assign_clusters,
+    centres_frame,
     choose_k,
     cluster_sizes,
     fit_kmeans,
+    label_models,
     mean_centres,
     nearest_centre,
+    score_models,
     select_k,
     silhouette,
     squared_errors,
+    wssse,
 )
 from ..operators.ctr import (
     click_counts,
@@ -49,8 +53,9 @@ from ..operators.ctr import (
     top_notifications,
 )
 from ..functions.vectors import array_columns
+from ..operators.joins import bloom_semi_join, bloom_words, salt_table, salted_join
 from ..operators.factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
-from ..session import cut_lineage, released_blocks, scratch_path
+from ..session import cut_lineage, drop_tables, released_blocks, resumable, scratch_path
 from ..sinks.csv import write_files, write_partitioned_csv, write_single_csv
 from ..sources.csv import PLAYS, read_notification_artist, read_notification_clicks, read_plays, read_song_artist
 from ..sources.tables import (
@@ -108,17 +113,26 @@ class _Slice:
         return self.users.join(self.groups, "UserId").select("UserIndex", "cluster")
 
     def hits(self, weight: str = "pairs") -> DataFrame:
-        activity = self.activity  # first, so that its user index is the one in use
-        return cluster_artist_hits(activity, self.user_cluster, self.inputs.song_artist, weight=weight)
+        """J2 as the job runs it: the activity bucketed by song."""
+        built = self._built  # first, so that its user index is the one in use
+        return cluster_artist_hits(built.by_song, self.user_cluster, self.inputs.song_artist, weight=weight, song_salts=built.song_salts)
 
     def cluster_artist(self) -> DataFrame:
-        return top_artist_per_cluster(self.hits())
+        """The top artists; from the play counts by user, where nothing else needs the indexed activity."""
+        if "_built" in self.__dict__:
+            return top_artist_per_cluster(self.hits())
+        counts = play_counts(self.inputs.plays)
+        return top_artist_per_cluster(cluster_artist_hits(counts, self.groups, self.inputs.song_artist, user_col="UserId"))
 
     @cached_property
     def _audience(self) -> DataFrame:
         top = self.cluster_artist()
+        if "_built" in self.__dict__:
+            members = user_clusters(self.users, self.user_cluster)
+        else:
+            members = self.inputs.plays.select("UserId").distinct().join(self.groups, "UserId")
         # read by several branches of one query: built once
-        return cut_lineage(build_audience(user_clusters(self.users, self.user_cluster), top, unique_input=True), "audience")
+        return cut_lineage(build_audience(members, top, unique_input=True), "audience")
 
     def audience(self) -> DataFrame:
         return self._audience
@@ -178,6 +192,15 @@ def q_activity(spark, sf_dir):
     return build_activity(inputs_from_tables(spark, sf_dir).plays).activity
 
 
+def q_activity_by_song(spark, sf_dir):
+    """The activity table bucketed by song, with few enough rows a task that most songs are salted: every row
+    lies in the bucket of its song and of a salt below the song's number."""
+    built = build_activity(inputs_from_tables(spark, sf_dir).plays, song_buckets=16, rows_per_task=10)
+    salted = built.by_song.join(built.song_salts, "SongId", "left")
+    return salted.select("UserId", "SongId", "UserIndex", "SongIndex", "hits", F.coalesce("_salts", F.lit(1)).alias("salts"),
+                         (F.col("_salt") < F.coalesce("_salts", F.lit(1))).alias("salt_in_range"))
+
+
 def q_csv_plays(spark, sf_dir):
     """The click log written as headerless CSV, read back."""
     path = scratch_path(spark, "plays-csv")
@@ -376,6 +399,25 @@ def q_select_k(spark, sf_dir):
         return select_k(vecs, K_SWEEP, seed=CFG.kmeans_seed, partitions=CFG.kmeans_partitions).metrics
 
 
+def q_select_k_check(spark, sf_dir):
+    """Per k of a sweep over the embeddings, whether silhouette and WSSSE of the joint scoring equal
+    spark.ml's silhouette and the squared errors recomputed from the written labels."""
+    points = _embedding_labelled(spark, sf_dir).select(F.col("vec_id").alias("id"), "features")
+    with released_blocks(spark):
+        models = {k: fit_kmeans(points, k=k, seed=CFG.kmeans_seed, partitions=CFG.kmeans_partitions) for k in (4, 8, 12)}
+        labels = cut_lineage(label_models(points, models), "sweep-labels")
+        scores = score_models(labels, models)
+    out = None
+    for k, model in models.items():
+        sil, cost = scores[k]
+        same = abs(silhouette(labels, prediction_col=f"k{k}") - sil) <= 1e-9 if len(model.clusterCenters()) > 1 else sil is None
+        errors = wssse(labels, centres_frame(spark, model), prediction_col=f"k{k}")
+        row = errors.select(F.lit(k).alias("k"), F.lit(same).alias("silhouette_equal"),
+                            (F.abs(F.col("wssse") - cost) <= 1e-9 * F.col("wssse")).alias("wssse_equal"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def q_choose_k_on_nations(spark, sf_dir):
     """M12's selection rule on metrics taken from the tables: per nation, the share of
     its customers in debt stands for the silhouette and their count for the WSSSE."""
@@ -435,7 +477,7 @@ def q_notified_clicks_bag(spark, sf_dir):
     """J5 with the reference's bag audience and repeated clicks kept: the
     reference's notified-clicks rows, duplicates included."""
     s = _Slice(spark, sf_dir)
-    return clicked_audience(s.inputs.notification_clicks, s.inputs.notification_artist, s.audience_bag(),
+    return clicked_audience(s.inputs.notification_clicks, s.inputs.notification_artist, cut_lineage(s.audience_bag(), "audience-bag"),
                             dedupe_clicks=False)
 
 
@@ -444,6 +486,43 @@ def q_notified_clicks_join(spark, sf_dir):
     return notified_clicks(s.notified(), s.inputs.notification_clicks)
 
 
+def q_artist_salts(spark, sf_dir):
+    """J4's salts: per artist with more than 100 users in its audience, one for each 100."""
+    return salt_table(_Slice(spark, sf_dir).audience(), ["ArtistId"], rows_per_task=100).withColumnRenamed("_salts", "salts")
+
+
+def q_notified_salted(spark, sf_dir):
+    """J4 where most artists are hot: 100 users a task."""
+    s = _Slice(spark, sf_dir)
+    return notified_users(s.inputs.notification_artist, s.audience(), rows_per_task=100)
+
+
+def q_notified_clicks_salted(spark, sf_dir):
+    """J5 by the other way, for notifications too many to broadcast and an audience too large for the filter."""
+    s = _Slice(spark, sf_dir)
+    c = s.inputs.notification_clicks.select("NotificationId", "UserId").distinct()
+    aimed = salted_join(c, s.inputs.notification_artist.distinct(), ["NotificationId"], spread_by="UserId", rows_per_task=100)
+    return aimed.join(s.audience(), ["UserId", "ArtistId"]).select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster")
+
+
+def q_clicks_past_the_filter(spark, sf_dir):
+    """J5's Bloom filter: per notification its clicks, those by users of its audience, and whether the filter
+    let all of those through and fewer than all clicks overall."""
+    s = _Slice(spark, sf_dir)
+    keys, on = ["UserId", "ArtistId"], ["NotificationId", "UserId", "ArtistId"]
+    members = s.audience().select(*keys)
+    na = s.inputs.notification_artist.distinct()
+    aimed = cut_lineage(s.inputs.notification_clicks.select("NotificationId", "UserId").distinct().join(na, "NotificationId"), "aimed")
+    passed = cut_lineage(bloom_semi_join(aimed, members, keys, bloom_words(members.count())), "passed")
+    lost = aimed.join(members, keys, "left_semi").join(passed, on, "left_anti").groupBy("NotificationId").agg(F.count(F.lit(1)).alias("lost"))
+    inside = aimed.join(members, keys, "left_semi").groupBy("NotificationId").agg(F.count(F.lit(1)).alias("inside"))
+    fewer = 2 * passed.count() < aimed.count()
+    every = aimed.groupBy("NotificationId").agg(F.count(F.lit(1)).alias("clicks"))
+    return every.join(inside, "NotificationId", "left").join(lost, "NotificationId", "left").select(
+        "NotificationId", "clicks", F.coalesce("inside", F.lit(0)).alias("inside"),
+        (F.col("lost").isNull() & F.lit(fewer)).alias("filter_holds"))
+
+
 def q_click_counts(spark, sf_dir):
     return click_counts(_Slice(spark, sf_dir).clicked())
 
@@ -485,7 +564,7 @@ def q_top5_by_ctr(spark, sf_dir):
 def q_sink_partitioned(spark, sf_dir):
     """K2: notified clicks partitioned by notification, read back."""
     path = scratch_path(spark, "notifications")
-    write_partitioned_csv(_Slice(spark, sf_dir).clicked(), path, salts=CFG.sink_salts)
+    write_partitioned_csv(cut_lineage(_Slice(spark, sf_dir).clicked(), "clicked"), path, rows_per_file=CFG.rows_per_file)
     return (spark.read.schema("ArtistId bigint, UserId string, cluster int, artistCluster int, NotificationId bigint")
             .csv(path)
             .select("NotificationId", "ArtistId", "UserId", "cluster", "artistCluster"))
@@ -512,11 +591,25 @@ def q_job_on_customer_groups(spark, sf_dir):
     clusters instead of K-means, so the composite has a SQL twin."""
     s = _Slice(spark, sf_dir)
     activity = s.activity
+    built = s._built
     listeners = ClusteredListeners(activity=activity, users=s.users, user_cluster=s.user_cluster,
-                                   als=None, kmeans=None)
+                                   als=None, kmeans=None, by_song=built.by_song, song_salts=built.song_salts)
     return analyse(listeners, s.inputs, CFG).top
 
 
+def q_job_resumed(spark, sf_dir):
+    """C7's recovery: C2-C6 run once with their tables as named stages; the last ones are then deleted
+    (as a killed driver leaves them unwritten) and the job is run again on the rest."""
+    s = _Slice(spark, sf_dir)
+    folder = scratch_path(spark, "resumable")
+    listeners = ClusteredListeners(activity=s.activity, users=s.users, user_cluster=s.user_cluster, als=None, kmeans=None)
+    with resumable(folder):
+        cut_lineage(analyse(listeners, s.inputs, CFG).top, "result")
+    drop_tables(spark, [f"{folder}/audience", f"{folder}/result"])
+    with resumable(folder):
+        return cut_lineage(analyse(listeners, s.inputs, CFG).top, "result")
+
+
 def q_job_against_reference(spark, sf_dir):
     """C1, C2-C7 on the fitted clusters: per notification, how many of its CTR rows differ
     between the job and the reference's formulation (bag audience, notified relation)."""

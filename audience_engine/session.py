@@ -3,8 +3,11 @@ checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
+import hashlib
+import time
 import uuid
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,24 +125,119 @@ def released_blocks(spark: SparkSession) -> Iterator[None]:
                 rdd.unpersist(False)
 
 
+# The folder of the innermost ``resumable`` block, and how often each name was used in it.
+_STAGES: list[tuple[str, Counter]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    path = f"{checkpoint_root(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder for a written table; inside ``resumable``,
+    the stage's path, the same in every run."""
+    if _STAGES:
+        folder, used = _STAGES[-1]
+        used[name] += 1
+        path = f"{folder}/{name}" if used[name] == 1 else f"{folder}/{name}-{used[name]}"
+    else:
+        path = f"{checkpoint_root(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     for written in _WRITTEN:
         written.append(path)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    """Whether a stage's table was written to its end (Spark's committer then leaves _SUCCESS)."""
+    if not _STAGES:
+        return False
+    fs, where = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(where)
+
+
+def stage(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``build`` returns, written to the shared folder and read back.  Inside
+    ``resumable``, a table that an earlier run finished is only read, and ``build`` is not called;
+    what an earlier run left unfinished is replaced."""
+    path = scratch_path(spark, name)
+    if not _finished(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read
     it back (never a local checkpoint).  A lost executor then rereads the
     files instead of recomputing the lineage, so values that depend on
     partition order stay fixed, and later plans see the table's real size."""
+    return stage(df.sparkSession, name, lambda: df)
+
+
+def cut_lineage_bucketed(df: DataFrame, name: str, buckets: int, by: list[str]) -> DataFrame:
+    """``cut_lineage`` as a table bucketed by ``by``: later joins on these columns read it without
+    a shuffle.  ``df`` should come partitioned the same way (``repartition(buckets, *by)``), so that
+    each bucket is one file.  The catalog entry is only needed to tell Spark the buckets, and is dropped."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    table = f"bucketed_{uuid.uuid4().hex}"
+    if not _finished(spark, path):
+        df.write.mode("overwrite").bucketBy(buckets, *by).option("path", path).saveAsTable(table)
+    else:
+        schema = spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({', '.join(by)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    read = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
+    return read
+
+
+def job_folder(spark: SparkSession, root: str, inputs: Iterable[DataFrame], settings: object) -> str:
+    """The stage folder of a job: ``root`` and a digest of the settings and of the input files (paths,
+    lengths, times of change).  Another input or setting gives another folder, so no
+    run reads stages of different data.  Inputs must be files: rows in memory have no such identity."""
+    digest = hashlib.sha256(repr(settings).encode())
+    for df in inputs:
+        files = sorted(df.inputFiles())
+        if not files:
+            raise ValueError("a resumable job needs inputs that are read from files")
+        for path in files:
+            fs, where = _file_system(spark, path)
+            status = fs.getFileStatus(where)
+            digest.update(f"{path} {status.getLen()} {status.getModificationTime()}\n".encode())
+        digest.update(df.schema.json().encode())
+    return f"{root.rstrip('/')}/job-{digest.hexdigest()[:32]}"
+
+
+@contextmanager
+def resumable(folder: str) -> Iterator[None]:
+    """Inside the block, stage tables lie in ``folder`` under their own names, and those that an
+    earlier run finished are read instead of made again."""
+    _STAGES.append((folder.rstrip("/"), Counter()))
+    try:
+        yield
+    finally:
+        _STAGES.pop()
+
+
+def in_resumable() -> bool:
+    return bool(_STAGES)
+
+
+def drop_stale_jobs(spark: SparkSession, root: str, older_than_seconds: float) -> list[str]:
+    """Deletes the stage folders under ``root`` in which nothing was written for that long, such as
+    those of a killed run whose input or settings have changed since; returns their paths."""
+    fs, where = _file_system(spark, root)
+    dropped = []
+    for job in fs.listStatus(where) if fs.exists(where) else []:
+        if job.getPath().getName().startswith("job-"):
+            stages = list(fs.listStatus(job.getPath()))
+            last = max([job.getModificationTime(), *(s.getModificationTime() for s in stages)])
+            if time.time() - last / 1000 >= older_than_seconds:
+                fs.delete(job.getPath(), True)
+                dropped.append(job.getPath().toString())
+    return dropped
 
 
-__all__ = ["local_session", "cluster_conf", "checkpoint_root", "scratch_path", "cut_lineage", "scratch_tables",
-           "drop_tables", "released_blocks"]
+__all__ = ["local_session", "cluster_conf", "checkpoint_root", "scratch_path", "cut_lineage", "cut_lineage_bucketed", "stage",
+           "scratch_tables", "drop_tables", "released_blocks", "resumable", "in_resumable", "job_folder", "drop_stale_jobs"]

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import ROWS_PER_TASK, SALT, salt_table, with_salt
+
 
 def write_files(df: DataFrame, path: str, rows_per_file: int = 1_000_000, header: bool = True,
                 mode: str = "overwrite", fmt: str = "csv") -> str:
@@ -32,16 +34,21 @@ def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str =
 
 
 def write_partitioned_csv(df: DataFrame, path: str, partition_col: str = "NotificationId", header: bool = False,
-                          spread_by: str = "UserId", salts: int = 8, mode: str = "overwrite", fmt: str = "csv") -> str:
+                          spread_by: str = "UserId", salts: int | None = None, mode: str = "overwrite", fmt: str = "csv",
+                          rows_per_file: int = ROWS_PER_TASK) -> str:
     """K2: one folder per value of ``partition_col``.  The reference asked for
     ``headers`` (not an option) and so wrote no header; ``header`` defaults to
     that.  ``fmt`` writes another format (e.g. "parquet") with the same layout.
 
-    Rows are first dealt by (value, salt of ``spread_by``): a value gets at most
-    ``salts`` files instead of one per task, and a value that holds a third of
-    the rows still spreads over ``salts`` tasks."""
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
-    writer = df.repartition(F.col(partition_col), salt).write.mode(mode).partitionBy(partition_col).format(fmt)
+    Rows are first dealt by (value, salt of ``spread_by``).  The salts follow each value's exact count,
+    one per ``rows_per_file`` rows: a value that holds a third of the rows is written by so many tasks as it
+    needs, and one with ten rows by one task, to one file.  The count reads ``df`` once more, so pass a
+    written table.  ``salts`` gives every value that number instead."""
+    if salts is None:
+        dealt = with_salt(df, salt_table(df, [partition_col], rows_per_file), [partition_col], spread_by)
+    else:
+        dealt = df.withColumn(SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    writer = dealt.repartition(partition_col, SALT).select(*df.columns).write.mode(mode).partitionBy(partition_col).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.save(path)
