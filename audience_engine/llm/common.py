@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audience_engine.session import cut_lineage
+from audience_engine.session import cut_lineage, drop_tables
 
 #: Words of the word-based operators: runs of anything but ASCII white space.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -64,4 +64,9 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, same, "left_anti")
 
 
-__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "lower_ascii", "text_key", "by_text", "without", "cut_lineage"]
+def drop_table(df: DataFrame) -> None:
+    """Deletes the written table that ``df`` reads; ``df`` is of no use afterwards."""
+    drop_tables(df.sparkSession, sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
+
+
+__all__ = ["WORD_BREAK", "table", "whole_text", "documents", "remainder", "literal_array", "lower_ascii", "text_key", "by_text", "without", "cut_lineage", "drop_table"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, drop_table
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -28,8 +28,8 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in ``links`` (columns a, b): the least id that can be reached.
 
     Large-star and small-star rounds in turn; their number grows with the logarithm of the
-    component size.  Every round is written to the shared folder, and a star's hub is a join
-    key that AQE can split."""
+    component size.  Every round is written to the shared folder (the one before is then deleted), and a
+    star's hub is a join key that AQE can split."""
     edges = cut_lineage(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
 
     def mark(e: DataFrame):
@@ -37,7 +37,9 @@ def components(links: DataFrame) -> DataFrame:
 
     seen = mark(edges)
     while seen[0]:
+        before = edges
         edges = cut_lineage(_star(_star(edges, True), False), "stars")
+        drop_table(before)
         now = mark(edges)
         if now == seen:
             break

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -88,7 +89,7 @@ def test_near_edges(spark):
 @pytest.mark.parametrize("few", [16, 0])
 def test_chains_and_families_keep_every_link(spark, monkeypatch, few):
     """Families whose least document links to a part of them only: the rest is met directly, or
-    (with no pair counting as few) by second bands and blocks."""
+    (with no pair counting as few) by differences from the centre and in blocks."""
     draw = random.Random(5)
     rows, i = [], 0
     for family in range(6):
@@ -101,6 +102,7 @@ def test_chains_and_families_keep_every_link(spark, monkeypatch, few):
                 words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
     draw.shuffle(rows)
     monkeypatch.setattr(near_dedup, "FEW", few)
+    monkeypatch.setattr(near_dedup, "FEW_ALIKE", 4 * few)
     monkeypatch.setattr(near_dedup, "BLOCK", 7)  # several blocks per bucket
     got = collected(near_dedup.near_duplicates(frame(spark, rows), 5))
     want = near_brute(rows, 5)
@@ -108,6 +110,59 @@ def test_chains_and_families_keep_every_link(spark, monkeypatch, few):
     assert 6 < sum(r[3] for r in want) < 150
 
 
+@pytest.mark.parametrize("shape,n", [("edited", 1000), ("cut", 300)])
+def test_a_large_family_around_the_threshold(spark, monkeypatch, shape, n):
+    """Near copies whose pairs lie on both sides of the threshold, most not linked to any one of them: every
+    component is found, and the searching joins make rows in proportion, not by pairs."""
+    draw = random.Random(9)
+    base = [f"w{j}" for j in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        if shape == "edited":
+            for _ in range(draw.choice([1, 2, 3, 4, 5, 6])):
+                words[draw.randrange(150)] = f"x{draw.randrange(40)}" if draw.random() < 0.3 else f"x{draw.randrange(10**6)}"
+        else:  # cut at both ends: differences are missing shingles, which much of the family lacks alike
+            start = draw.randrange(60)
+            words = words[start:start + draw.randrange(20, 90)]
+        rows.append((i, " ".join(words)))
+    seen = []
+    across = near_dedup._across
+    monkeypatch.setattr(near_dedup, "_across", lambda r, p: seen.append(across(r, p).count()) or across(r, p))
+    got = collected(near_dedup.near_duplicates(frame(spark, rows), 5))
+    assert got == near_brute(rows, 5)
+    assert sum(seen) < 60 * len(rows)  # edited: of 499,500 pairs
+
+
+def test_rows_with_repeated_or_null_ids_are_judged_by_their_text(spark):
+    def text(name, tail=""):
+        return " ".join(f"{name}{j}" for j in range(60)) + tail
+    rows = [(7, text("a")), (7, text("b")), (9, text("a", " x")), (11, text("b", " y")), (12, text("c"))]
+    for order in (rows, rows[::-1]):
+        got = sorted(tuple(r) for r in near_dedup.near_duplicates(frame(spark, order), 5).collect())
+        assert got == [(7, 56, 7, True), (7, 56, 7, True), (9, 57, 7, False), (11, 57, 7, False), (12, 56, 12, True)]
+        kept = near_dedup.drop_near_copies(frame(spark, order))
+        assert sorted(r.text for r in kept.collect()) == sorted([text("a"), text("b"), text("c")])
+    # (5, ~a) replaces (7, a); the other text of id 7 stays
+    kept = near_dedup.drop_near_copies(frame(spark, [(5, text("a", " x")), (7, text("a")), (7, text("b"))]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(5, text("a", " x")), (7, text("b"))]
+    nulls = [(None, text("a")), (2**60 + 1, text("a", " x")), (None, text("d")), (None, text("d", " z")), (None, None), (None, ""), (3, text("e"))]
+    got = sorted((tuple(r) for r in near_dedup.near_duplicates(frame(spark, nulls), 5).collect()), key=str)
+    big = 2**60 + 1
+    assert got == sorted([(None, 56, big, False), (big, 57, big, True), (None, 56, None, True), (None, 57, None, True),
+                          (None, 0, None, True), (None, 0, None, True), (3, 56, 3, True)], key=str)
+    kept = near_dedup.drop_near_copies(frame(spark, nulls))
+    assert sorted((str(r.text) for r in kept.collect())) == sorted(map(str, [text("a", " x"), text("d"), text("d", " z"), None, "", text("e")]))
+
+
+def test_near_leaves_few_tables(spark, tmp_path):
+    from audience_engine.session import scratch_tables
+    with scratch_tables() as made:
+        near_dedup.near_duplicates(frame(spark, [(1, "a b c d e f"), (2, "a b c d e f g")])).collect()
+    left = [t for t in made if os.path.exists(t.removeprefix("file:"))]
+    assert len(left) <= 2, left
+
+
 def test_near_query_on_a_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert collected(queries.QUERIES["op6_near_dedup"](spark, SF)) == near_brute(rows, 4)
