@@ -2,13 +2,15 @@
 
 Three fixed rules give the base spans: assignments, access keys, long hex strings.  Two
 character-bigram models are then trained from labelled samples: strings that a base rule
-marks (random) and ordinary identifiers of documents without any such mark.  Every other
-long run of key characters in every text is scored by the log-likelihood ratio of the two
-models, and added as kind ``random`` where the ratio is above a threshold.
+marks (random) and the ordinary identifiers, words and numbers of documents without any such
+mark.  Every other long run of key characters in every text is scored by the log-likelihood
+ratio of the two models, and added as kind ``random`` where the ratio is above a threshold both
+in total and for each character, so that neither a short nor a very long run passes by its length.
 
 The samples are bounded and drawn by a hash of the row (``RANDOM_SAMPLE`` strings,
 about ``ORDINARY_DOCS`` documents); the bigram tables have 67 x 66 cells.  Both models fall back
-on the shares of single characters and these on a uniform prior, so without any sample no span is added.  Scanning is one pass without a shuffle.
+on the shares of single characters and these on a uniform share (a fifth of the weight in the random
+model, whose sample may know few alphabets), so without any sample no span is added.  Scanning is one pass without a shuffle.
 
 Defined cases: null text counts as empty and gives zero counts and an empty list; repeated
 rows are scanned each; other columns are ignored; an empty table gives an empty result.
@@ -37,12 +39,17 @@ KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
 MIN_RUN = 16
 CANDIDATE = r"[A-Za-z0-9+/_=]{16,}"
+#: What the ordinary model learns from: runs of key characters, numbers and short identifiers with digits among them.
+ORDINARY = r"[A-Za-z0-9+/_=]{4,}"
 #: Bounds of the labelled samples, and the weight of a character's own share against its bigrams.
 RANDOM_SAMPLE = 20_000
 ORDINARY_DOCS = 2_000
 PRIOR = 8.0
-#: Natural log-likelihood ratio from which a candidate is a secret.
+#: Uniform share in the random model's characters.
+UNIFORM = 0.2
+#: Natural log-likelihood ratio from which a candidate is a secret: in total, and for each character.
 THRESHOLD = 12.0
+PER_CHARACTER = 0.5
 
 
 def _with_base(docs: DataFrame) -> DataFrame:
@@ -67,22 +74,27 @@ def train_models(docs: DataFrame) -> list[float]:
     """The log-likelihood ratio (random over ordinary) of each character given the one before, as a flat table."""
     base = _with_base(documents(docs))
     draw = F.xxhash64("doc_id", "text")
-    marked = base.where((F.size("assign") > 0) | (F.size("access") > 0) | (F.size("hex") > 0))
+    is_marked = (F.size("assign") > 0) | (F.size("access") > 0) | (F.size("hex") > 0)
+    marked = base.where(is_marked)
     values = F.concat(F.transform("assign", lambda x: F.regexp_extract(x["m"], ASSIGN, 2)), F.transform("access", lambda x: x["m"]),
                       F.transform("hex", lambda x: x["m"]))
     random = marked.select(draw.alias("draw"), F.explode(values).alias("s")).where(F.length("s") >= 12)
     random = random.groupBy("s").agg(F.min("draw").alias("draw")).orderBy("draw", "s").limit(RANDOM_SAMPLE)
     share = min(1.0, ORDINARY_DOCS / max(docs.count(), 1))
-    plain = documents(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z][A-Za-z0-9_]{3,}"), F.lit(0))
-    secret_like = F.col("s").rlike("[0-9]") & (F.length("s") >= 12)
-    ordinary = plain.select(F.explode(words).alias("s")).where(~secret_like)
+    plain = documents(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    plain = _with_base(plain).where(~is_marked)
+    ordinary = plain.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("s"))
+    # a long mix of letters and digits is what is looked for, so it is no example of the ordinary
+    mixed = F.col("s").rlike("[0-9]") & F.col("s").rlike("[A-Za-z]") & (F.length("s") >= 12)
+    ordinary = ordinary.where(~mixed)
     counts = [_bigrams(random), _bigrams(ordinary)]
-    models = [_model(c) for c in counts]
+    if not counts[0] or not counts[1]:
+        return [0.0] * (len(ALPHABET) * (len(ALPHABET) + 1))
+    models = [_model(counts[0], UNIFORM), _model(counts[1])]
     return [math.log(r) - math.log(o) for r, o in zip(*models, strict=True)]
 
 
-def _model(counts: dict[tuple[int, int], float]) -> list[float]:
+def _model(counts: dict[tuple[int, int], float], uniform: float = 0.0) -> list[float]:
     """P(next | previous) for all cells: bigram counts over a prior of ``PRIOR`` times the character's own share."""
     n = len(ALPHABET)
     before, single = defaultdict(float), defaultdict(float)
@@ -90,7 +102,7 @@ def _model(counts: dict[tuple[int, int], float]) -> list[float]:
         before[a] += k
         single[b] += k
     total = sum(single.values())
-    share = [(single[b] + 1) / (total + n) for b in range(n)]
+    share = [(1 - uniform) * (single[b] + 1) / (total + n) + uniform / n for b in range(n)]
     return [(counts.get((a, b), 0) + PRIOR * share[b]) / (before[a] + PRIOR) for a in range(n + 1) for b in range(n)]
 
 
@@ -104,12 +116,13 @@ def ratio(string: Column, table: list[float]) -> Column:
         F.lit(0.0), lambda a, x: a + x))
 
 
-def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def find_secrets(docs: DataFrame, table: list[float] | None = None, threshold: float = THRESHOLD, per_character: float = PER_CHARACTER) -> DataFrame:
     """Per row: doc_id, the text, and arrays of spans (s, e, m, before, after) ``assign access hex random``."""
     table = train_models(docs) if table is None else table
     base = _with_base(documents(docs))
-    runs = F.filter(match_spans(F.col("text"), CANDIDATE, F.col("text").rlike(CANDIDATE)), lambda x: ratio(x["m"], table) >= threshold)
-    return base.select("*", apart_from(runs, F.concat("assign", "access", "hex")).alias("random"))
+    runs = F.filter(match_spans(F.col("text"), CANDIDATE, F.col("text").rlike(CANDIDATE)), lambda x: ratio(x["m"], table) >= F.greatest(
+        F.lit(threshold), F.length(x["m"]) * per_character))
+    return base.select("*", apart_from(runs, "assign", "access", "hex").alias("random"))
 
 
 def redact(found: DataFrame, mark: str = "[secret]") -> DataFrame:

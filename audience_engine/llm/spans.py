@@ -70,9 +70,22 @@ def joined(keys: Column, kinds: list[str], by_start: bool) -> Column:
         ":", F.get(names, x[rank]), x[start].cast("string"), x["e"].cast("string"))), ",")
 
 
-def apart_from(spans: Column, others: Column) -> Column:
-    """The spans that overlap none of the others."""
-    return F.filter(spans, lambda c: ~F.exists(others, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+def _overlapped(c: Column, spans: Column) -> Column:
+    """Whether a span meets one of the others, which are in order and apart from each other: by binary
+    search the last one that starts before it ends."""
+    last = F.aggregate(F.lit([1 << b for b in reversed(range(24))]), F.lit(0), lambda lo, step: F.when(
+        (lo + step <= F.size(spans)) & (F.get(spans, F.least(lo + step, F.size(spans)) - 1)["s"] < c["e"]), lo + step).otherwise(lo))
+    return (F.size(spans) > 0) & let(last, lambda n: (n > 0) & F.coalesce(F.get(spans, n - 1)["e"] > c["s"], F.lit(False)))
+
+
+def apart_from(spans: Column, *others: Column | str) -> Column:
+    """The spans that overlap none of the others; each of these is one kind's matches, in order."""
+    def meets(c: Column) -> Column:
+        found = F.lit(False)
+        for o in others:
+            found = found | _overlapped(c, F.col(o) if isinstance(o, str) else o)
+        return found
+    return F.filter(spans, lambda c: ~meets(c))
 
 
 __all__ = ["let", "sums_before", "match_spans", "tagged", "joined", "apart_from", "SPAN"]
