@@ -4,7 +4,8 @@ Each text is cut into blocks of a fixed number of UTF-8 bytes.  The distinct blo
 occur more than once are sorted and numbered: a block's number is its name.  Then adjacent
 names are paired, the distinct pairs are sorted and numbered again, and so on until each
 document has one name.  Two documents end with the same name exactly if their texts are
-equal: names stand for whole sorted keys, never for digests.
+equal: names stand for whole sorted keys, never for digests.  (Rows of one doc_id, and all rows
+without one, are told from each other by a 64-bit hash of the text.)
 
 A block (or pair) that occurs once in the corpus makes its document unique, so such documents
 leave at once and only true repeats go through the later, integer-only rounds.  Numbers come
@@ -29,16 +30,17 @@ from .common import cut_lineage, documents, without
 
 #: Bytes of a first-level block.
 BLOCK_BYTES = 4096
-#: Leading bytes of a block by which blocks are dealt to sorted ranges.
+#: Leading bytes of a block by which blocks are dealt to sorted ranges; blocks with the same ones (a licence
+#: header) are dealt by a hash of the whole block, so that no range grows with a prefix.
 PREFIX_BYTES = 48
 
 
 def _numbered(keys: DataFrame, by: list[str], dealt_by: list[Column], name: str) -> DataFrame:
     """The distinct keys with a number that follows their sort order, as a written table.
 
-    ``dealt_by`` is what the range partitioning samples: a short prefix of the sort order, so
-    that the sample on the driver does not hold whole blocks."""
-    ranked = keys.repartitionByRange(*dealt_by).sortWithinPartitions(*by)
+    The order is that of ``dealt_by``, then of the keys; the range partitioning samples ``dealt_by``
+    only, so that the sample on the driver does not hold whole blocks."""
+    ranked = keys.repartitionByRange(*dealt_by).sortWithinPartitions(*dealt_by, *by)
     return cut_lineage(ranked.withColumn("name", F.monotonically_increasing_id()), name)
 
 
@@ -64,7 +66,7 @@ def _whole(named: DataFrame) -> DataFrame:
 def named_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, h, copies, name) of the documents whose text occurs more than once."""
     blocks = _blocks(documents(docs), block_bytes)
-    names = _numbered(_repeated(blocks, ["block"]), ["block"], [F.substring("block", 1, PREFIX_BYTES)], "block-names")
+    names = _numbered(_repeated(blocks, ["block"]), ["block"], [F.substring("block", 1, PREFIX_BYTES), F.xxhash64("block")], "block-names")
     named = blocks.join(names, "block").groupBy("doc_id", "h", "pos").agg(
         F.max("left").alias("left"), F.max("name").alias("name"), F.count(F.lit(1)).alias("copies"))
     named = cut_lineage(_whole(cut_lineage(named, "block-named")), "named-0")

@@ -52,7 +52,7 @@ def _letter_table() -> np.ndarray:
     global _letters
     if _letters is None:
         out = np.zeros(0x110000, dtype=np.uint32)
-        for c in range(0x30000):
+        for c in range(0x110000):
             ch = chr(c)
             if ch.isalpha():
                 low = ch.lower()

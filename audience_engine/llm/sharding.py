@@ -5,15 +5,17 @@ Records are ordered by a key, a hash of the text, so equal texts are neighbours.
    hash of the record, so a lost task draws the same again).
 2. The sample's quantiles are the splitters of many key ranges per shard.
 3. Records are dealt to ranges by binary search; exact bytes and rows per range are summed
-   (map-side first).  A range over the target, e.g. one text that a third of all rows hold,
-   is subdivided into as many cells as it needs, by a hash of the doc_id.
+   (map-side first).  In the ranges over the target every key that is over it by itself, e.g. a
+   text that a third of all rows hold, gets a range of its own.  An overfull range is then
+   subdivided into as many cells as it needs: by a hash of the key, so that equal texts stay
+   together, and a single key's range by a hash of the doc_id.
 4. Cells have a place in the byte order from their exact sums; inside a cell a window adds
    the place of each record.  A record goes to the shard in whose share of the bytes its
    middle lies (for a small group of copies, the group's middle, so that it stays whole), so
    shard sizes differ by half a percent at most or one record, whatever the sample was.
 
 Driver and broadcast hold the splitters and cells only: at most ``shards * cells_per_shard``
-ranges, and as many subdivided cells again.  Text is never shuffled for the plan.
+ranges, half as many keys with ranges of their own, and as many subdivided cells again.  Text is never shuffled for the plan.
 
 Defined cases: null text has no bytes (size 8); rows of equal doc_id and text are placed one
 after the other; null ids sort first; an empty table gives an empty result.
@@ -65,12 +67,25 @@ def shard_documents(docs: DataFrame, shards: int = 24, cells_per_shard: int = CE
     cut = rows.where(chance).agg(F.percentile("key", quantiles, draws).alias("q")).first()[0]
     splitters = sorted({int(q) for q in cut or []})
     # 3. exact bytes per range; overfull ranges get several cells
-    ranged = rows.withColumn("range", _range_of(F.col("key"), splitters).cast("int"))
     target = max(total / cells, 1.0)
-    sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes"))
-    parts = {r["range"]: max(1, -(-r["bytes"] // int(2 * target))) for r in sums.collect()}
+    full = int(2 * target)
+
+    def ranges(at: list[int]) -> tuple[DataFrame, dict[int, int]]:
+        ranged = rows.withColumn("range", _range_of(F.col("key"), at).cast("int"))
+        sums = ranged.groupBy("range").agg(F.sum("size").alias("bytes")).collect()
+        return ranged, {r["range"]: max(1, -(-r["bytes"] // full)) for r in sums}
+
+    ranged, parts = ranges(splitters)
+    overfull = literal_array([int(parts.get(i, 1) > 1) for i in range(len(splitters) + 1)], "int")
+    hot = ranged.where(F.get(overfull, F.col("range")) == 1).groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > full)
+    alone = {r["key"] for r in hot.select("key").collect()}
+    if alone:
+        splitters = sorted(set(splitters) | alone | {k + 1 for k in alone})
+        ranged, parts = ranges(splitters)
     part_of = literal_array([parts.get(i, 1) for i in range(len(splitters) + 1)])
-    dealt = ranged.withColumn("cell", F.pmod(F.col("draw"), F.get(part_of, F.col("range"))).cast("int"))
+    by_id = literal_array([int(i > 0 and splitters[i - 1] in alone) for i in range(len(splitters) + 1)], "int")
+    dealt_by = F.when(F.get(by_id, F.col("range")) == 1, F.col("draw")).otherwise(F.xxhash64("key", F.lit(7)))
+    dealt = ranged.withColumn("cell", F.pmod(dealt_by, F.get(part_of, F.col("range"))).cast("int"))
     tally = dealt.groupBy("range", "cell").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     # 4. the place of each cell, then of each record in its cell
     place, at_byte, at_row = [], 0, 0
@@ -100,13 +115,18 @@ def shard_documents(docs: DataFrame, shards: int = 24, cells_per_shard: int = CE
 def write_shards(docs: DataFrame, path: str, shards: int = 24, files_per_shard: int = 8) -> DataFrame:
     """Writes the documents (all columns) as parquet, one folder ``shard=N`` per shard, each in
     ``files_per_shard`` files that hold every n-th slot in order, and returns the plan.
-    Rows that repeat a doc_id and a text are written once per row, at one slot."""
+    Rows that repeat a doc_id and a text are written once each, every one at a slot of its own."""
     plan = cut_lineage(shard_documents(docs, shards), "shard-plan")
-    place = plan.groupBy(F.col("doc_id").alias("_d"), F.col("text_crc32").alias("_c")).agg(F.min(F.struct("shard", "slot")).alias("_at"))
     body = docs.drop("shard", "slot")
-    crc = F.crc32(F.coalesce(body["text"].cast("string"), F.lit("")).cast("binary"))
-    dealt = body.join(place, body["doc_id"].eqNullSafe(F.col("_d")) & (crc == F.col("_c"))).select(
-        *[body[c] for c in body.columns], F.col("_at.shard").alias("shard"), F.col("_at.slot").alias("slot"))
+    raw = F.coalesce(body["text"].cast("string"), F.lit("")).cast("binary")
+    key = {"_d": body["doc_id"], "_c": F.crc32(raw), "_s": F.octet_length(raw) + RECORD_BYTES}
+    # which of the rows with the same id, checksum and size
+    turn = F.row_number().over(Window.partitionBy(*key.values()).orderBy(body["text"].isNull()))
+    placed = plan.select(F.col("doc_id").alias("_d"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    placed = placed.withColumn("_n", F.row_number().over(Window.partitionBy("_d", "_c", "_s").orderBy("_shard", "_slot")))
+    counted = body.select(*[body[c] for c in body.columns], *[v.alias(f"_own{k}") for k, v in key.items()], turn.alias("_own_n"))
+    same = [F.col(f"_own{k}").eqNullSafe(F.col(k)) for k in ("_d", "_c", "_s", "_n")]
+    dealt = counted.join(placed, same).select(*[F.col(f"`{c}`") for c in body.columns], F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
     dealt.repartition(shards * files_per_shard, "shard", F.col("slot") % files_per_shard).sortWithinPartitions("shard", "slot") \
         .write.partitionBy("shard").mode("overwrite").parquet(path)
     return plan

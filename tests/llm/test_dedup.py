@@ -43,6 +43,14 @@ def test_exact_edges(spark, block):
     assert got == exact_brute(rows)
 
 
+def test_blocks_under_one_header(spark):
+    """Repeated blocks that begin alike are dealt by their hashes and keep their own names."""
+    header = "Licensed under the terms that follow here, all of them and more. "
+    rows = [(i, header + f"text {i // 2} " * 20) for i in range(200)]
+    got = sorted((tuple(r) for r in exact_dedup(frame(spark, rows), 4096).collect()), key=str)
+    assert got == exact_brute(rows)
+
+
 def test_exact_empty_and_kept(spark):
     assert exact_dedup(frame(spark, EDGES).where("doc_id < 0")).count() == 0
     kept = drop_exact_copies(frame(spark, EDGES))

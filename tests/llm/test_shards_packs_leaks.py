@@ -51,6 +51,32 @@ def test_a_hot_text_is_subdivided(spark):
     assert sum(len(s) == 1 for s in of.values()) == len(of)  # other copies stay together
 
 
+def test_pairs_beside_a_hot_text_stay_together(spark):
+    """Only the copies of a text that is itself over a range are split; groups that shared its range are not."""
+    rows = [(2 * i + j, f"pair {i} of some length") for i in range(4000) for j in range(2)] + [(50_000 + i, "the hot text") for i in range(6000)]
+    got = shard_documents(frame(spark, rows), shards=8, cells_per_shard=4, draws_per_cell=8).collect()
+    check_shards(got, rows, 8)
+    of = collections.defaultdict(set)
+    for r in got:
+        if r.doc_id < 50_000:
+            of[r.doc_id // 2].add(r.shard)
+    assert len(of) == 4000 and all(len(s) == 1 for s in of.values())
+
+
+def test_shards_of_null_ids_and_repeated_rows(spark, tmp_path):
+    rows = [(None, "a"), (None, "a"), (None, None), (None, ""), (1, "x"), (1, "x"), (1, "y"), (2, "x")]
+    df = frame(spark, rows)
+    plan = shard_documents(df, shards=2).collect()
+    assert collections.Counter((r.doc_id, r.text_crc32) for r in plan) == collections.Counter((i, zlib.crc32((t or "").encode())) for i, t in rows)
+    write_shards(df, str(tmp_path / "s"), shards=2, files_per_shard=2)
+    back = spark.read.parquet(str(tmp_path / "s")).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in back) == collections.Counter(rows)
+    slots = collections.defaultdict(list)
+    for r in back:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shard_files_and_empty(spark, tmp_path):
     rows = [(i, f"text {i}") for i in range(50)] + [(50, None)]
     plan = write_shards(frame(spark, rows), str(tmp_path / "s"), shards=4, files_per_shard=2)
