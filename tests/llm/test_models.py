@@ -219,3 +219,17 @@ def test_score_edges(spark):
     twice = lm_score.score_documents(frame(spark, rows + rows[:3])).collect()
     assert len(twice) == len(rows) + 3
     assert lm_score.score_documents(frame(spark, rows).where("doc_id < 0")).count() == 0
+
+
+def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    """The same rows in one and in seven partitions, in another order, learned in several parts."""
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 60_000)
+    monkeypatch.setattr(lm_score, "STEP", 50)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.limit(0)).union(spark.createDataFrame([(None, "no id here"), (None, None)], "doc_id long, text string"))
+    ways = [docs.repartition(1), docs.repartition(7, "text"), docs.orderBy("text", ascending=False)]
+    first, *others = [sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in lm_score.score_documents(w).collect())) for w in ways]
+    for other in others:
+        assert [r[:4] for r in other] == [r[:4] for r in first]
+        np.testing.assert_allclose([r[4:] for r in other], [r[4:] for r in first], rtol=1e-5)
+    assert len(first) == docs.count()
