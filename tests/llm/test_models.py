@@ -115,6 +115,11 @@ def test_language_rejects_by_length(spark):
     assert sum(got[i] for i, _, _ in clean) <= 0.002 * len(clean) and not got[clean[-1][0]] and not got[clean[-2][0]]
 
 
+def test_letters_of_all_planes():
+    table = langid._letter_table()
+    assert table[0x30010] == 0x30010 and table[ord("É")] == ord("é") and table[ord("7")] == 0
+
+
 def test_gram_counts_do_not_depend_on_slices():
     texts = ["The garden, of it", "x", "", "über-all " * 50, "zz"]
     old = langid.SLICE
