@@ -18,7 +18,8 @@ bound; their ids and labels, some hundred kB, are all that is broadcast).  The l
 
 Defined cases: null text counts as empty and is scored like a text without toxic words;
 documents with several labels count as toxic if any label says so; null labels don't count;
-without labels every score is 0; repeated rows are scored each; other columns are ignored.
+without labels, or with fewer than ``LEAST_DOCS`` toxic learning documents, every score is 0; repeated
+rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations

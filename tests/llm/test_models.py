@@ -48,6 +48,14 @@ def test_toxicity_held_out(spark):
     assert sum(b for a, b in own if a) >= 0.5 * sum(a for a, _ in own)
 
 
+def test_toxicity_precision_and_recall(spark):
+    """sf0.1: sf0.01 has six held-out toxic documents, and few to learn from in each language."""
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    got = queries.QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id")
+    count = collections.Counter((r.toxic, r.predicted) for r in got.select("toxic", "predicted").collect())
+    assert count[1, 1] >= 0.9 * (count[1, 1] + count[1, 0]) and count[1, 1] >= 0.9 * (count[1, 1] + count[0, 1])
+
+
 def test_toxicity_edges(spark):
     bad = [(i, f"some plain words here {i} and then awful nasty words again", None) for i in range(0, 60)]
     good = [(i, f"some plain words here {i} and then other kind words again", None) for i in range(60, 200)]
@@ -67,6 +75,8 @@ def test_toxicity_edges(spark):
     assert not found[300] and not found[100]
     none = toxicity.score_toxicity(frame(spark, rows), labels.where("doc_id < 0")).collect()
     assert len(none) == len(rows) and all(r.score == 0 for r in none)
+    few = toxicity.score_toxicity(frame(spark, rows), labels.where(f"toxic = 0 or doc_id < {toxicity.LEAST_DOCS - 1}")).collect()
+    assert len(few) == len(rows) and all(r.score == 0 and not r.passages for r in few)
     assert toxicity.score_toxicity(frame(spark, rows).where("doc_id < 0"), labels).count() == 0
 
 
