@@ -4,14 +4,15 @@
    The ``DICTIONARY`` most frequent words travel with the tasks; all others are met by a join.
 2. The vocabulary is factored: the ``HEADS`` most frequent words are symbols of their own in
    classes; the other dictionary words are middle words in ``GROUPS`` groups (clustered by the
-   frequent words they occur with); the rest, unseen words included, is the rare class.  Inside a middle
+   frequent words they occur with in all learning documents, counted in the tasks and summed by word); the rest, unseen words included, is the rare class.  Inside a middle
    group a word has its share of the group's tokens, inside the rare class (c + 1) / (tokens + types + 1).
    Unseen words count as one type, as in the base score, so the shares of all types add up to one.
-3. The recurrent model (``gru.py``) learns in two steps: on about ``WARM_TOKENS`` tokens in one
-   task, then on all learning documents.  These are dealt into parts of about ``PART_TOKENS``
-   tokens by a hash of id and text, every part is put in order and learned from the same start in
-   steps of ``STEP`` documents, and the parameters of all parts are averaged, weighted by their
-   tokens.  So the model depends on the rows alone, not on files, partitions or cores, and counts,
+3. The recurrent model (``gru.py``) learns from all learning documents, all alike.  These are dealt
+   into parts of about ``PART_TOKENS`` tokens by a hash of id and text.  In each of two rounds every part is put in order
+   and learned from the same start in steps of ``STEP`` documents, and the parameters of the round's parts are averaged,
+   weighted by their tokens.  The first round has one part in ``FIRST`` and starts from the counts, the second has the others
+   and starts from the first one's average at a lower rate: each document is learned from once.  Where one part holds
+   all, both rounds learn from it.  So the model depends on the rows alone, not on files, partitions or cores, and counts,
    group sizes and the learning of the model grow with the input.
 4. Scoring carries the state through whole documents.  What rare words add to the base score and
    to the model's score is summed by document after the join with their counts.
@@ -24,7 +25,6 @@ score is the base score (0); an empty table gives an empty result; other columns
 from __future__ import annotations
 
 import math
-import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,7 +39,10 @@ from .near_dedup import words
 
 FOLD, HELD = 7, 2
 DICTIONARY, HEADS, GROUPS, CLASS_WORDS = 65_536, 2_048, 8, 64
-WARM_TOKENS = 1_500_000
+#: Words whose occurrence beside a word decides its group.
+CONTEXT = 64
+#: One part in so many is learned in the first round.
+FIRST = 8
 #: Tokens of a part, the most parts (beyond, parts grow), and the documents of a learning step.
 PART_TOKENS, MOST_PARTS, STEP = 2_000_000, 32_768, 2_000
 #: Words a task counts before it hands them on.
@@ -85,12 +88,8 @@ class Vocabulary:
         w = words(text)
         return np.fromiter([get(x, -1) for x in w], dtype=np.int64, count=len(w))
 
-    def cluster(self, docs: list[np.ndarray], context: int = 64, rounds: int = 10) -> None:
-        """Groups of words by the most frequent words in their documents."""
-        near = np.zeros((len(self.counts), context), dtype=np.float32)
-        for d in docs:
-            own = np.unique(d[d >= 0])
-            near[own] += np.bincount(own[own < context], minlength=context).astype(np.float32)
+    def cluster(self, near: np.ndarray, rounds: int = 10) -> None:
+        """Groups of words by the most frequent words in their documents: how many have both."""
         near = np.sqrt(near / np.maximum(near.sum(axis=1, keepdims=True), 1))
         near -= near[near.sum(axis=1) > 0].mean(axis=0) if (near.sum(axis=1) > 0).any() else 0
         near /= np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-9)
@@ -144,31 +143,48 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _warm_up(sample: DataFrame, vocabulary: Vocabulary) -> tuple[Vocabulary, dict[str, np.ndarray]]:
-    """Groups, classes and first parameters, from the bounded sample, in one task."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs = [vocabulary.numbers(t) for t in rows.sort_values(["doc_id", "text"])["text"]]
-        vocabulary.cluster(docs)
-        vocabulary.factor()
-        out = gru.Output(vocabulary.class_of, vocabulary.heads)
-        p = gru.initial(vocabulary.class_of, vocabulary.weights, vocabulary.n_classes, vocabulary.heads)
-        p = gru.learn(p, out, [vocabulary.symbols(d) for d in docs])
-        return pd.DataFrame({"model": [pickle.dumps((vocabulary.group.astype(np.int8), p))]})
-
-    got = sample.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, "model binary").collect()
-    if got:
-        vocabulary.group, p = pickle.loads(got[0]["model"])
-        vocabulary.group = vocabulary.group.astype(np.int64)
-    vocabulary.factor()
-    if not got:
-        p = gru.initial(vocabulary.class_of, vocabulary.weights, vocabulary.n_classes, vocabulary.heads)
-    return vocabulary, p
+def _together(learning: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """For each dictionary word, how many learning documents have it and each of the ``CONTEXT`` most frequent words."""
+    size = len(vocabulary.counts)
+    columns = [f"c{i}" for i in range(min(CONTEXT, size))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        near = np.zeros((size, len(columns)), dtype=np.int64)
+        for b in batches:
+            for text in b["text"]:
+                d = vocabulary.numbers(text)
+                own = np.unique(d[d >= 0])
+                beside = np.zeros(len(columns), dtype=np.int64)
+                beside[own[own < len(columns)]] = 1
+                near[own] += beside
+        at = np.flatnonzero(near.any(axis=1))
+        for i in range(0, len(at), 8192):
+            k = at[i:i + 8192]
+            yield pd.DataFrame({"number": k} | {c: near[k, j] for j, c in enumerate(columns)})
+
+    out = np.zeros((size, CONTEXT), dtype=np.float32)
+    if columns:
+        rows = learning.select("text").mapInPandas(run, "number int, " + ", ".join(f"{c} long" for c in columns))
+        found = rows.groupBy("number").agg(*[F.sum(c).alias(c) for c in columns]).select("number", F.array(*columns).alias("c"))
+        for r in found.toLocalIterator():
+            out[r["number"], :len(columns)] = r["c"]
+    return out
 
 
 def _averaged(learning: DataFrame, vocabulary: Vocabulary, start: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The parameters after both rounds."""
+    parts = max(1, min(MOST_PARTS, -(-vocabulary.n // PART_TOKENS)))
+    first = max(1, parts // FIRST)
+    draw = F.xxhash64("doc_id", "text", F.lit(21))
+    dealt = learning.select("text", "doc_id", draw.alias("draw"), F.pmod(draw, F.lit(parts)).cast("int").alias("part"))
+    p = _round(dealt.where(F.col("part") < first), first, vocabulary, start, gru.RATE)
+    rest = dealt.where(F.col("part") >= first) if parts > 1 else dealt
+    return _round(rest, max(1, parts - first), vocabulary, p, gru.RATE / 4)
+
+
+def _round(dealt: DataFrame, parts: int, vocabulary: Vocabulary, start: dict[str, np.ndarray], rate: float) -> dict[str, np.ndarray]:
     """Every part learns from the same start; the weighted mean of their parameters, in pieces."""
     piece = 8192
-    parts = max(1, min(MOST_PARTS, -(-vocabulary.n // PART_TOKENS)))
     slots = math.isqrt(parts - 1) + 1
 
     def pieces(part: int, p: dict[str, np.ndarray], n: int) -> pd.DataFrame:
@@ -183,7 +199,7 @@ def _averaged(learning: DataFrame, vocabulary: Vocabulary, start: dict[str, np.n
         def step() -> None:
             nonlocal p, n, docs
             if docs:
-                p, n, docs = gru.learn(p, out, docs, gru.RATE / 4), n + sum(len(d) for d in docs), []
+                p, n, docs = gru.learn(p, out, docs, rate), n + sum(len(d) for d in docs), []
 
         for b in batches:
             for own, text in zip(b["part"].tolist(), b["text"], strict=True):
@@ -204,9 +220,8 @@ def _averaged(learning: DataFrame, vocabulary: Vocabulary, start: dict[str, np.n
         return pd.DataFrame({"k": [rows["k"].iat[0]], "part": [rows["part"].iat[0]], "n": [rows["n"].sum()], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)]})
 
     schema = "k int, part int, n long, sums array<double>"
-    draw = F.xxhash64("doc_id", "text", F.lit(21))
-    dealt = learning.select("text", "doc_id", draw.alias("draw"), F.pmod(draw, F.lit(parts)).cast("int").alias("part"))
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "draw", "doc_id", "text").select("part", "text")
+    # a partition for each part: by hash, several would meet in one
+    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "draw", "doc_id", "text").select("part", "text")
     sums = dealt.mapInPandas(run, schema).withColumn("slot", F.col("part") % slots)
     # at most the square root of the parts in a group, twice
     rows = sums.groupBy("k", "slot").applyInPandas(lambda g: add(g), schema).groupBy("k").applyInPandas(lambda g: add(g), schema).collect()
@@ -226,8 +241,10 @@ def train(docs: DataFrame) -> tuple[Vocabulary, dict[str, np.ndarray] | None, Da
     vocabulary = Vocabulary(top, n, v, e)
     if not n:
         return vocabulary, None, counts
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(1 << 30))
-    vocabulary, p = _warm_up(learning.where(draw < int(min(1.0, WARM_TOKENS / n) * (1 << 30))), vocabulary)
+    if top:
+        vocabulary.cluster(_together(learning, vocabulary))
+    vocabulary.factor()
+    p = gru.initial(vocabulary.class_of, vocabulary.weights, vocabulary.n_classes, vocabulary.heads)
     p = _averaged(learning, vocabulary, p)
     return vocabulary, p, counts
 

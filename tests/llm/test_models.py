@@ -248,3 +248,25 @@ def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
         assert [r[:4] for r in other] == [r[:4] for r in first]
         np.testing.assert_allclose([r[4:] for r in other], [r[4:] for r in first], rtol=1e-5)
     assert len(first) == docs.count()
+
+
+def test_groups_come_from_every_learning_document(spark, monkeypatch):
+    """The words' groups are those of the counts over all learning documents, and the two rounds share all parts."""
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 300)
+    rows = [(i, f"one two w{i % 50} v{i % 11}", None) for i in range(400)]
+    docs = [t.split() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    dealt, rounds = [], lm_score._round
+
+    def watched(part, parts, *a):
+        dealt.append([(r.doc_id, r.part) for r in part.select("doc_id", "part").collect()])
+        return rounds(part, parts, *a)
+
+    monkeypatch.setattr(lm_score, "_round", watched)
+    vocabulary, p, _ = lm_score.train(frame(spark, rows))
+    near = lm_score._together(frame(spark, [(i, " ".join(d), None) for i, d in enumerate(docs)]), vocabulary)
+    names = {n: w.decode() for w, n in vocabulary.number.items()}
+    for i, w in names.items():
+        want = [sum(w in d and names[j] in d for d in docs) if j in names else 0 for j in range(lm_score.CONTEXT)]
+        assert near[i].tolist() == want, w
+    assert len(dealt) == 2 and sorted(i for d in dealt for i, _ in d) == [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert len({k for _, k in dealt[0]}) < len({k for _, k in dealt[1]})
