@@ -250,6 +250,24 @@ def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
     assert len(first) == docs.count()
 
 
+def test_language_learns_from_every_learning_row(spark):
+    """Frequencies, centroids and floors are those of all rows, far more than 1,500 of a language: one row in 30 is of another kind."""
+    rows = [(i, f"alpha beta gamma {i % 7}" if i % 30 else f"ολα αυτα ειναι αλλο {i % 7}", "xx") for i in range(1, 6001)]
+    texts = [t for i, t, _ in sorted(rows) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = langid.train(frame(spark, rows).repartition(5))
+    seen = sum((c > 0).sum(axis=0) for _, _, c in langid.gram_counts(texts))
+    np.testing.assert_allclose(model["idf"], np.log((len(texts) + 1) / (seen + 1)) + 0.05, rtol=1e-6)
+    v = np.concatenate([x for _, _, x, _ in langid.vectors(texts, model["idf"])])
+    near = (v @ model["centres"].T).argmax(axis=1)
+    for c, centre in enumerate(model["centres"]):
+        if (near == c).any():
+            mean = v[near == c].sum(axis=0)
+            np.testing.assert_allclose(mean / np.linalg.norm(mean), centre, atol=1e-4)
+    np.testing.assert_allclose(model["floor"][0], langid._floors(texts, model["idf"], model["centres"]), atol=1e-9)
+    other = [j for j, t in enumerate(texts) if t[0] == "ο"]
+    assert len(texts) > 4000 and ((v @ model["centres"].T).max(axis=1)[other] > 0.9).all()
+
+
 def test_groups_come_from_every_learning_document(spark, monkeypatch):
     """The words' groups are those of the counts over all learning documents, and the two rounds share all parts."""
     monkeypatch.setattr(lm_score, "PART_TOKENS", 300)
