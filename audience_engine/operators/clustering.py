@@ -3,11 +3,12 @@ the reference's search over k."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,6 +20,9 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from ..functions.vectors import squared_distance
 from ..session import cut_lineage
 
+#: Fits of a sweep that run side by side.
+FITS_AT_ONCE = 3
+
 
 def layout_points(vectors: DataFrame, id_col: str = "id", partitions: int = 8) -> DataFrame:
     """Points hash-partitioned by id into a fixed number of partitions and
@@ -242,7 +246,12 @@ def select_k(vectors: DataFrame, ks, seed: int = 1, max_iter: int = 20, tol: flo
     spark = vectors.sparkSession
     vectors = cut_lineage(vectors, "k-search-vectors")
     laid_out = layout_points(vectors, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)  # once for every k
-    models = {int(k): fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None) for k in ks}
+    # a fit has ``partitions`` tasks and steps on the driver between its jobs, so several fits share the cores
+    def fit(k: int) -> KMeansModel:
+        return fit_kmeans(laid_out, k=k, seed=seed, max_iter=max_iter, tol=tol, id_col=None)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        models = {int(k): model for k, model in zip(ks, pool.map(inheritable_thread_target(spark)(fit), ks), strict=True)}
     labels = cut_lineage(label_models(laid_out, models), "k-search-labels")
     laid_out.unpersist()
     scores = score_models(labels, models)

@@ -183,3 +183,45 @@ def test_cluster_users_renames_columns(spark, embedded):
     assert uc.columns == ["UserIndex", "features", "cluster"]
     assert dict(uc.dtypes)["cluster"] == "int"
     assert uc.select("cluster").distinct().count() <= 3
+
+
+def test_a_sweep_fits_side_by_side(spark, embedded, monkeypatch):
+    """Fits of a sweep overlap, and each is the one that runs alone."""
+    import threading
+
+    from audience_engine.operators import clustering
+    points = embedded.select("id", "features")
+    running, most, lock, fit = [0], [0], threading.Lock(), clustering.fit_kmeans
+
+    def watched(*a, **b):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return fit(*a, **b)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(clustering, "fit_kmeans", watched)
+    beside = clustering.select_k(points, [2, 3, 4, 5], seed=1).metrics.orderBy("k").collect()
+    assert 1 < most[0] <= clustering.FITS_AT_ONCE
+    monkeypatch.setattr(clustering, "FITS_AT_ONCE", 1)
+    alone = clustering.select_k(points, [2, 3, 4, 5], seed=1).metrics.orderBy("k").collect()
+    for a, b in zip(beside, alone, strict=True):
+        assert (a.k, a.chosen) == (b.k, b.chosen)
+        assert (a.silhouette, a.wssse) == pytest.approx((b.silhouette, b.wssse), rel=1e-9)
+
+
+def test_the_pairs_are_read_once_for_the_songs(spark, monkeypatch):
+    """Index and salts of the songs come from one count of the pairs, with nulls and repeated rows."""
+    from audience_engine.operators import activity as module
+    from audience_engine.operators.joins import salt_table
+    names, cut = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df, name: (names.append(name), cut(df, name))[1])
+    plays = spark.createDataFrame([(f"u{i % 40}", f"s{i * i % 7}") for i in range(300)] * 2 + [("u1", None), (None, "s1")], "UserId string, SongId string")
+    built = build_activity(plays, song_buckets=2, rows_per_task=10)
+    assert "song-counts" in names
+    want = salt_table(plays.groupBy("UserId", "SongId").count(), ["SongId"], 10)
+    assert sorted(map(tuple, built.song_salts.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert sorted(map(tuple, built.songs.collect()), key=str) == sorted(map(tuple, index_ids(plays, "SongId", "SongIndex").collect()), key=str)
