@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, cut_lineage_bucketed
-from .joins import ROWS_PER_TASK, SALT, repeated, salt_table, with_salt
+from .joins import ROWS_PER_TASK, SALT, repeated, salts_of, with_salt
 
 _N = "_n"        # frequency of a label
 _PART = "_part"  # range partition of a label
@@ -93,8 +93,10 @@ def build_activity(plays: DataFrame, song_buckets: int = 8, rows_per_task: int =
     spreads it over buckets.  Choose ``song_buckets`` near rows / ``rows_per_task``: a bucket is one task."""
     pairs = cut_lineage(play_counts(plays), "pairs")
     users = rank_labels(label_frequencies(pairs, "UserId", "hits"), "UserId", "UserIndex")
-    songs = rank_labels(label_frequencies(pairs, "SongId", "hits"), "SongId", "SongIndex")
-    salts = cut_lineage(salt_table(pairs, ["SongId"], rows_per_task), "song-salts")
+    # one pass for both: a song's plays give its index, its listeners its salts
+    heard = cut_lineage(pairs.groupBy("SongId").agg(F.sum("hits").alias(_N), F.count(F.lit(1)).alias("_listeners")), "song-counts")
+    songs = rank_labels(heard.select("SongId", _N), "SongId", "SongIndex")
+    salts = cut_lineage(salts_of(heard, ["SongId"], "_listeners", rows_per_task), "song-salts")
     dealt = with_salt(pairs.join(users, "UserId"), salts, ["SongId"], "UserId").repartition(song_buckets, "SongId", SALT)
     indexed = dealt.join(repeated(songs, salts, ["SongId"]), ["SongId", SALT])
     columns = ["UserId", "SongId", "UserIndex", "SongIndex", "hits"]

@@ -21,8 +21,12 @@ def salt_table(rows: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER
 
     Counted exactly, with partial counts map-side.  The table has at most rows / ``rows_per_task`` rows,
     fewer than the tasks that read ``rows``, which bounds its broadcast."""
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-    return counts.select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(SALTS))
+    return salts_of(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), on, "_n", rows_per_task)
+
+
+def salts_of(counts: DataFrame, on: Sequence[str], count: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``salt_table`` from the rows' counts by key."""
+    return counts.where(F.col(count) > rows_per_task).select(*on, F.ceil(F.col(count) / rows_per_task).cast("int").alias(SALTS))
 
 
 def with_salt(rows: DataFrame, salts: DataFrame, on: Sequence[str], spread_by: str) -> DataFrame:
