@@ -59,6 +59,11 @@ class ClusteredListeners:
     song_salts: DataFrame | None = None
 
 
+def _steady(value: float | None) -> float | None:
+    """12 digits: the last ones depend on the order in which Spark adds the sums of partitions."""
+    return None if value is None else float(f"{value:.12g}")
+
+
 def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> ClusteredListeners:
     """Click log -> indexed activity -> ALS factors -> scaled vectors ->
     K-means clusters per user.  With ``search_k`` the k comes from the
@@ -82,7 +87,7 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
             """One row; the silhouette of the labels that were just written (undefined for one centre)."""
             sil = silhouette(uc) if cfg.evaluate and len(km().clusterCenters()) > 1 else None
             cost = float(km().summary.trainingCost) if cfg.evaluate else None
-            return spark.createDataFrame([(chosen(), sil, cost)], "k int, silhouette double, wssse double")
+            return spark.createDataFrame([(chosen(), _steady(sil), _steady(cost))], "k int, silhouette double, wssse double")
 
         k, sil, wss = (stage(spark, "quality", quality) if in_resumable() else quality()).first()
     return ClusteredListeners(activity=act.activity, users=act.users, user_cluster=uc,
