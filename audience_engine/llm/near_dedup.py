@@ -47,6 +47,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -60,6 +62,8 @@ from .common import cut_lineage, documents, drop_table, text_key, without
 from .components import components
 
 REGISTERS, BAND = 128, 4
+#: Bits of a set, each the parity of the number of its elements that fall on it.
+BITS = 1024
 #: Base of the register scale, rate, and largest register value.
 BASE, RATE, TOP = 1.001, 20.0, 32_000
 #: Standard errors below the threshold at which an estimate rules a pair out.
@@ -127,6 +131,13 @@ def sketch(hashes: np.ndarray, mul: np.ndarray) -> np.ndarray:
         return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, TOP).astype(np.int16)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` parities of a set of 64-bit hashes, as 64-bit numbers.  An element that only one of two sets has changes one
+    bit, so the bits in which two sets differ are at most the elements in which they differ."""
+    at = (hashes >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(bool)).view(np.int64)
+
+
 def _log_likelihood(j: np.ndarray, greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m: int) -> np.ndarray:
     """Of the similarity j, from how many registers of a are greater or smaller than those of b, given both
     set sizes: a register of a is greater with the chance -log_base(1 - x (base - 1) / base), x = u - v j."""
@@ -159,7 +170,7 @@ def _floor(percent: int) -> float:
 
 
 def _sketched(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_sha256, n, digest of the set, registers."""
+    """doc_id, text_sha256, n, digest of the set, registers, parities."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, mul = _WordHash(), _multipliers(REGISTERS)
         for b in batches:
@@ -169,13 +180,14 @@ def _sketched(docs: DataFrame, k: int) -> DataFrame:
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"], "text_sha256": part["text_sha256"], "n": [len(s) for s in sets],
                     "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                    "regs": [sketch(s, mul) if len(s) else None for s in sets]})
+                    "regs": [sketch(s, mul) if len(s) else None for s in sets],
+                    "bits": [parities(s) if len(s) else None for s in sets]})
 
     rows = documents(docs)
     kind = dict(rows.dtypes)["doc_id"]
     # ids travel as text: pandas would turn whole numbers beside nulls into floats
     named = rows.select(F.col("doc_id").cast("string").alias("doc_id"), text_key(rows).alias("text_sha256"), "text")
-    out = named.mapInPandas(run, "doc_id string, text_sha256 string, n long, digest binary, regs array<short>")
+    out = named.mapInPandas(run, "doc_id string, text_sha256 string, n long, digest binary, regs array<short>, bits array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -303,16 +315,20 @@ def _keyed(differing: DataFrame, percent: int) -> DataFrame:
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs across components in buckets where they are few: what is outside the largest component meets the
-    bucket.  Rows of differences (with at, p, q) meet only where linked pairs can meet first."""
+    bucket.  Rows of differences (with at, p, q) meet only where linked pairs can meet first.  Pairs whose parities
+    differ in more bits than the sets may in elements aren't linked, and the join leaves them out."""
     few = rows.where("few")
+    words = [f"bits{i}" for i in range(BITS // 64)]
+    few = few.select("*", *[F.col("bits")[i].alias(w) for i, w in enumerate(words)])
     placed = [c for c in ("at", "p", "q") if c in rows.columns]
     one = few.where("component != main").select("bucket", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"),
-                                                *[F.col(c).alias(f"{c}_x") for c in placed])
+                                                *[F.col(c).alias(f"{c}_x") for c in placed + words])
     two = few.select("bucket", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"),
-                     *[F.col(c).alias(f"{c}_y") for c in placed])
+                     *[F.col(c).alias(f"{c}_y") for c in placed + words])
     near = (one["bucket"] == two["bucket"]) & (F.col("cx") != F.col("cy")) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
+    apart = F.floor((F.col("nx") + F.col("ny")) * (100 - percent) / (100 + percent))
+    near &= reduce(add, [F.bit_count(F.col(f"{w}_x").bitwiseXOR(F.col(f"{w}_y"))) for w in words]) <= apart
     if placed:
-        apart = F.floor((F.col("nx") + F.col("ny")) * (100 - percent) / (100 + percent))
         more = F.col("p_x") + F.col("q_x") - F.col("p_y") - F.col("q_y")
         near &= (2 * F.col("at_x") <= more + apart) & (2 * F.col("at_y") <= apart - more)
         # a popular element that is the first in common: nothing rare is
@@ -358,9 +374,9 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, perc
 
 
 def _placed(members: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (bucket, leader, rep) with size and component, in buckets that hold several components."""
+    """Members (bucket, leader, rep) with size, parities and component, in buckets that hold several components."""
     found = components(links).withColumnRenamed("id", "rep")
-    rows = members.join(classes.select("rep", "n"), "rep").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rows = members.join(classes.select("rep", "n", "bits"), "rep").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = cut_lineage(rows, "placed")
     mixed = cut_lineage(_measured(placed), "mixed")
     drop_table(placed)
@@ -387,7 +403,7 @@ def _links(classes: DataFrame, texts: DataFrame, members: DataFrame, k: int, per
     differing = differing.drop("component").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     differing = cut_lineage(differing, "replaced")
     keyed = cut_lineage(_keyed(differing, percent), "elements")
-    alike = cut_lineage(_measured(keyed, FEW_ALIKE), "alike")
+    alike = cut_lineage(_measured(keyed, FEW_ALIKE).join(classes.select("rep", "bits"), "rep"), "alike")
     drop_table(keyed)
     pairs = pairs.union(_across(alike, percent)).distinct()
     popular = alike.where("not few").select(F.col("g").alias("bucket"), "rep").distinct()
@@ -402,7 +418,7 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
     with scratch_tables() as made:
         found = sketched.where("n > 0").groupBy("n", "digest").agg(
             F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")).alias("pick"),
-            F.first("regs").alias("regs"))
+            F.first("regs").alias("regs"), F.first("bits").alias("bits"))
         classes = cut_lineage(found.withColumn("rep", F.monotonically_increasing_id()), "classes")
         keys = F.array(*[F.xxhash64(F.lit(i), F.slice("regs", i * BAND + 1, BAND)) for i in range(REGISTERS // BAND)])
         banded = classes.select("rep", F.explode(keys).alias("bucket"))
@@ -427,7 +443,7 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
             by_class = cut_lineage(named, "class-components")
         made.remove(next(p for p in made if p.rsplit("/", 1)[-1].startswith("class-components")))
         drop_tables(spark, made)
-    out = sketched.drop("regs").join(by_class, (F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest")), "left")
+    out = sketched.drop("regs", "bits").join(by_class, (F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest")), "left")
     component = F.when(F.col("n") > 0, F.col("_component")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "text_sha256", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -142,6 +142,34 @@ def test_a_large_family_around_the_threshold(spark, monkeypatch, shape, n):
     assert sum(seen) < 60 * len(rows)  # edited: of 499,500 pairs
 
 
+def test_pairs_of_a_family_below_the_threshold_are_not_joined(spark, monkeypatch):
+    """A family whose pairs are alike but mostly not linked: few of its pairs come to the estimate, and every link is found."""
+    draw = random.Random(13)
+    base = [f"w{j}" for j in range(100)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for j in draw.sample(range(100), draw.choice([1, 3, 4, 4, 5, 5])):
+            words[j] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    met, likely = [], near_dedup._likely
+    monkeypatch.setattr(near_dedup, "_likely", lambda pairs, *a: met.append(pairs.count()) or likely(pairs, *a))
+    got = collected(near_dedup.near_duplicates(frame(spark, rows), 4))
+    want = near_brute(rows, 4)
+    assert got == want and 1 < len({r[2] for r in want})
+    assert met[-1] < 2 * len(rows)
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for shared, own, other in ((500, 40, 0), (500, 60, 70), (0, 1, 1), (9000, 900, 800), (7, 0, 0)):
+        h = rng.permutation(np.unique(rng.integers(0, 1 << 63, size=shared + own + other, dtype=np.uint64) * np.uint64(2)))
+        a, b = (near_dedup.parities(x) for x in (np.delete(h, np.s_[:other]), h[:len(h) - own]))
+        apart = sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+        assert len(a) == near_dedup.BITS // 64 and apart <= own + other and apart % 2 == (own + other) % 2
+        assert own + other > 150 or apart > 0.8 * (own + other) - 1
+
+
 def test_rows_with_repeated_or_null_ids_are_judged_by_their_text(spark):
     def text(name, tail=""):
         return " ".join(f"{name}{j}" for j in range(60)) + tail
