@@ -186,6 +186,44 @@ def test_gradients_of_the_recurrent_model():
     assert all(v < 0 for v in seen.values()), seen
 
 
+def test_the_model_against_plain_loops(monkeypatch):
+    """Scores, whatever number of states is computed at a time, and one learning step against numeric gradients of the whole mean loss."""
+    p, out = small_model()
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 7, n).astype(np.int32) for n in (20, 3, 11, 1)]
+
+    def loss_of(p, doc):
+        h, total = np.zeros(gru.HIDDEN), 0.0
+        for y in doc:
+            c = out.class_of[y]
+            logits = p["cw"] @ h + p["cb"]
+            total += logits[c] - np.log(np.exp(logits).sum())
+            if y < out.heads:
+                own = np.flatnonzero(out.class_of[:out.heads] == c)
+                logits = p["ww"][own] @ h + p["wb"][own]
+                total += logits[y - own[0]] - np.log(np.exp(logits).sum())
+            (az, ar, an), (uz, ur, un) = np.split(p["gates"][y], 3), np.split(h @ p["u"], 3)
+            z, r = 1 / (1 + np.exp(-az - uz)), 1 / (1 + np.exp(-ar - ur))
+            new = np.tanh(an + r * un)
+            h = new + z * (h - new)
+        return total
+
+    want = [loss_of(p, d) for d in docs]
+    for size in (1, 7, gru.AT_ONCE):
+        monkeypatch.setattr(gru, "AT_ONCE", size)
+        assert np.allclose(gru.score(p, out, docs), want, atol=1e-4)
+    wide = {k: v.astype(np.float64) for k, v in p.items()}
+    after = gru.learn(p, out, docs, rate=1e-3)
+    for k, v in wide.items():
+        for i in rng.integers(0, v.size, 12):
+            step = np.zeros(v.size)
+            step[i] = 1e-4
+            up, down = ({**wide, k: v + f * step.reshape(v.shape)} for f in (1, -1))
+            slope = -sum(loss_of(up, d) - loss_of(down, d) for d in docs) / 2e-4 / sum(map(len, docs))
+            # Adam's first step has the rate's size, a tenth of it in the last window, against the gradient
+            assert np.allclose((after[k] - p[k]).ravel()[i], -1e-4 * slope / (abs(slope) + 1e-6), atol=5e-6), (k, i, slope)
+
+
 def test_scores_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     old = lm_score.DICTIONARY
