@@ -33,6 +33,14 @@ def initial(class_of: np.ndarray, weights: np.ndarray, n_classes: int, heads: in
             "ww": small(max(heads, 1), h), "wb": np.log((weights[:heads] + 1.0) if heads else np.ones(1)).astype(np.float32)}
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Lanes:
     """Documents dealt to lanes, the longest first into the shortest lane."""
 
@@ -71,31 +79,31 @@ def _states(p: dict[str, np.ndarray], x: np.ndarray, keep: np.ndarray, h: np.nda
     """States before each symbol (steps x lanes x hidden), and the one after the last."""
     d = HIDDEN
     out = np.empty((*x.shape, d), dtype=np.float32)
-    # each gate's numbers lie together: (update, reset, new) x steps x lanes x hidden
-    a = np.take(np.ascontiguousarray(p["gates"].reshape(-1, 3, d).transpose(1, 0, 2)), x, axis=1)
-    u = np.ascontiguousarray(p["u"].reshape(d, 3, d).transpose(1, 0, 2))
-    qs = np.empty_like(out) if tape is not None else None
+    gates = np.take(p["gates"], x, axis=0)
     for t in range(len(x)):
-        hb = np.multiply(h, keep[t][:, None], out=out[t])
-        own = hb @ u
-        zr, n, q = a[:2, t], a[2, t], own[2]
-        zr += own[:2]
-        np.negative(zr, out=zr)
-        np.exp(zr, out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
-        n += zr[1] * q
+        hb = h * keep[t][:, None]
+        out[t] = hb
+        a, u = gates[t], hb @ p["u"]
+        zr = _sigmoid(a[:, :2 * d] + u[:, :2 * d])
+        z, r, q = zr[:, :d], zr[:, d:], u[:, 2 * d:]
+        n = r * q
+        n += a[:, 2 * d:]
         np.tanh(n, out=n)
         h = hb - n
-        h *= zr[0]
+        h *= z
         h += n
-        if qs is not None:
-            qs[t] = q
-    if tape is not None:
-        tape += [u, a, qs]
+        if tape is not None:
+            tape.append((hb, z, r, q, n))
     return out, h
 
 
+def _log_softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x -= x.max(axis=1, keepdims=True)
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return x
+
+
 class Output:
     """Class-factored softmax over the states."""
 
@@ -112,48 +120,44 @@ class Output:
         rows = np.arange(len(y))
         lc = h @ p["cw"].T
         lc += p["cb"]
-        lc -= lc.max(axis=1, keepdims=True)
+        lc = _log_softmax(lc)
         out = lc[rows, c]
-        np.exp(lc, out=lc)
-        total = lc.sum(axis=1, keepdims=True)
-        out -= np.log(total[:, 0])
         dh = None
         if grads is not None:
-            lc /= total
-            lc[rows, c] -= 1
-            lc /= len(y)
-            grads["cw"] += lc.T @ h
-            grads["cb"] += lc.sum(axis=0)
-            dh = lc @ p["cw"]
+            dc = np.exp(lc, out=lc)
+            dc[rows, c] -= 1
+            dc /= len(y)
+            grads["cw"] += dc.T @ h
+            grads["cb"] += dc.sum(axis=0)
+            dh = dc @ p["cw"]
         head = np.flatnonzero(y < self.heads)
-        if not len(head):
-            return out if grads is None else (out, dh)
         head = head[np.argsort(c[head], kind="stable")]
-        own, ch = h[head], c[head]
-        ends = np.flatnonzero(np.append(np.diff(ch) != 0, True)) + 1
-        runs = [(a, e, *self.runs[int(ch[a])]) for a, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        # a row for each symbol with the words of its class; classes have different sizes
-        lw = np.full((len(head), max(t - s for _, _, s, t in runs)), -np.inf, dtype=np.result_type(h, p["ww"]))
-        for a, e, s, t in runs:
-            lw[a:e, :t - s] = own[a:e] @ p["ww"][s:t].T + p["wb"][s:t]
-        rows, at = np.arange(len(head)), y[head] - np.repeat([s for _, _, s, _ in runs], [e - a for a, e, _, _ in runs])
-        lw -= lw.max(axis=1, keepdims=True)
-        chosen = lw[rows, at]
-        np.exp(lw, out=lw)
-        total = lw.sum(axis=1, keepdims=True)
-        out[head] += chosen - np.log(total[:, 0])
+        ends = np.flatnonzero(np.append(np.diff(c[head]) != 0, True)) + 1 if len(head) else []
+        # the states of frequent words, sorted by class, and what goes back to them
+        states, words, classes = h[head], y[head], c[head]
+        chosen, back = np.zeros(len(head), dtype=out.dtype), np.zeros_like(states)
+        at = 0
+        for e in ends:
+            own, at = slice(at, e), e
+            s, t = self.runs[int(classes[own.start])]
+            if t - s == 1:
+                continue
+            lw = states[own] @ p["ww"][s:t].T
+            lw += p["wb"][s:t]
+            lw = _log_softmax(lw)
+            k, w = rows[:e - own.start], words[own] - s
+            chosen[own] = lw[k, w]
+            if grads is not None:
+                dw = np.exp(lw, out=lw)
+                dw[k, w] -= 1
+                dw /= len(y)
+                grads["ww"][s:t] += dw.T @ states[own]
+                grads["wb"][s:t] += dw.sum(axis=0)
+                np.matmul(dw, p["ww"][s:t], out=back[own])
+        out[head] += chosen
         if grads is None:
             return out
-        lw /= total
-        lw[rows, at] -= 1
-        lw /= len(y)
-        down = np.empty_like(own)
-        for a, e, s, t in runs:
-            dw = lw[a:e, :t - s]
-            grads["ww"][s:t] += dw.T @ own[a:e]
-            grads["wb"][s:t] += dw.sum(axis=0)
-            np.matmul(dw, p["ww"][s:t], out=down[a:e])
-        dh[head] += down
+        dh[head] += back
         return out, dh
 
 
@@ -187,9 +191,9 @@ def learn(p: dict[str, np.ndarray], out: Output, docs: list[np.ndarray], rate: f
     if not docs:
         return p
     # parameters, gradients and moments lie in one array each
-    flat, g_flat = np.concatenate([v.ravel() for v in p.values()]), np.zeros(sum(v.size for v in p.values()), dtype=np.float32)
-    p, g = _views(flat, p), _views(g_flat, p)
-    m1, m2, change = (np.zeros_like(flat) for _ in range(3))
+    held = np.concatenate([v.ravel() for v in p.values()])
+    slope, m1, m2, change, scale = (np.zeros_like(held) for _ in range(5))
+    p, g = _views(held, p), _views(slope, p)
     d, step = HIDDEN, 0
     run = Lanes(docs, lanes)
     total_steps = max(1, -(-run.steps // WINDOW))
@@ -199,48 +203,44 @@ def learn(p: dict[str, np.ndarray], out: Output, docs: list[np.ndarray], rate: f
         tape: list = []
         hb, h = _states(p, x, keep, h[:n], tape)
         live = np.flatnonzero(run.doc[a:b, :n].ravel() >= 0)
-        g_flat.fill(0)
+        slope.fill(0)
         _, dlive = out.log_probs(p, hb.reshape(-1, d)[live], x.ravel()[live], g)
         dout = np.zeros((x.size, d), dtype=np.float32)
         dout[live] = dlive
         dout = dout.reshape(*x.shape, d)
-        # what a step's gradient is multiplied with on its way to (update, reset, new) and to the state before
-        u, (z, r, new), q = tape
-        back, to_new = np.ascontiguousarray(u.transpose(0, 2, 1)), (1 - z) * (1 - new * new)
-        du = np.stack([(hb - new) * z * (1 - z), to_new * q * r * (1 - r), to_new * r])
-        dh, seen = np.zeros((n, d), dtype=np.float32), np.empty_like(hb)
+        dh = np.zeros((n, d), dtype=np.float32)
+        da = np.empty((*x.shape, 3 * d), dtype=np.float32)
         for t in range(len(x) - 1, -1, -1):
-            seen[t] = dh
-            own = du[:, t]
-            own *= dh
-            dh = dh * z[t]
-            dh += (own @ back).sum(axis=0)
-            dh += dout[t]
-            dh *= keep[t][:, None]
-        before = hb.reshape(-1, d).T
-        g["u"] += np.concatenate([before @ x.reshape(-1, d) for x in du], axis=1)
-        da = np.concatenate([du[0], du[1], seen * to_new], axis=2).reshape(-1, 3 * d)
-        order = np.argsort(x.ravel(), kind="stable")
+            before, z, r, q, new = tape[t]
+            dn, dz = dh * (1 - z), dh * (before - new)
+            dnew = dn * (1 - new * new)
+            dr = dnew * q * r * (1 - r)
+            dz = dz * z * (1 - z)
+            du = np.concatenate([dz, dr, dnew * r], axis=1)
+            da[t] = np.concatenate([dz, dr, dnew], axis=1)
+            g["u"] += before.T @ du
+            dh = (dh * z + du @ p["u"].T + dout[t]) * keep[t][:, None]
+        flat, order = da.reshape(-1, 3 * d), np.argsort(x.ravel(), kind="stable")
         ids = x.ravel()[order]
         starts = np.flatnonzero(np.append(True, np.diff(ids) != 0))
-        g["gates"][ids[starts]] += np.add.reduceat(da[order], starts, axis=0)
-        norm = float(g_flat @ g_flat) ** 0.5
+        g["gates"][ids[starts]] += np.add.reduceat(flat[order], starts, axis=0)
+        norm = sum(float((v * v).sum()) for v in g.values()) ** 0.5
         step += 1
         lr = rate * (1 - 0.9 * step / total_steps)
         if norm > CLIP:
-            g_flat *= CLIP / norm
+            slope *= CLIP / norm
         m1 *= 0.9
-        m1 += np.multiply(g_flat, 0.1, out=change)
+        m1 += np.multiply(slope, 0.1, out=change)
         m2 *= 0.99
-        np.multiply(g_flat, g_flat, out=change)
-        change *= 0.01
-        m2 += change
-        np.divide(m2, 1 - 0.99**step, out=change)
-        np.sqrt(change, out=change)
-        change += 1e-6
-        np.divide(m1, change, out=change)
-        change *= lr / (1 - 0.9**step)
-        flat -= change
+        np.multiply(slope, 0.01, out=change)
+        m2 += np.multiply(change, slope, out=change)
+        np.divide(m1, 1 - 0.9**step, out=change)
+        change *= lr
+        np.divide(m2, 1 - 0.99**step, out=scale)
+        np.sqrt(scale, out=scale)
+        scale += 1e-6
+        change /= scale
+        held -= change
     return p
 
 
