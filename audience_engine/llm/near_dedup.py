@@ -26,6 +26,8 @@ agree often.
    least p(x) + p(y) + |q(x) - q(y)|: a class takes popular keys only if that leaves a possible partner in another
    component of its group.  So the shingles that a family shares are never a key, and
    members that differ from the centre each in their own way never meet.
+   Pairs also need parities (``BITS``) that differ in no more places than linked sets may in elements; the
+   joins of this step leave the others out, so a family whose members are alike but not linked makes few pairs.
 5. Classes whose keys are so popular that they would still make many pairs are compared
    in square blocks of at most ``BLOCK`` classes, so no task holds a large group.
 6. Components come from the verified links.
