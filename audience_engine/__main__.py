@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
                         song_artist=read_song_artist(spark, args.song_artist, args.infer, fmt),
                         notification_artist=read_notification_artist(spark, args.notification_artist, args.infer, fmt),
                         notification_clicks=read_notification_clicks(spark, args.notification_clicks, args.infer, fmt))
-    print(f"als_blocks {cfg.als_blocks}, kmeans_partitions {cfg.kmeans_partitions}, song_buckets {cfg.song_buckets}")
+    print(f"als_blocks {cfg.als_blocks} (more above {cfg.als_rows_per_block} rows a block), kmeans_partitions {cfg.kmeans_partitions}, song_buckets {cfg.song_buckets}")
     result = run(inputs, cfg, sink_dir=args.out, resume_dir=args.resume)
     result.quality().show(truncate=False)  # k, silhouette, WSSSE of the fit
     result.top.orderBy("rowNumber").show(truncate=False)  # K5

@@ -26,11 +26,12 @@ class PipelineConfig:
     reg: float = 0.01
     alpha: float = 1.0
     als_seed: int = 1
-    # blocks of users and of songs (spark.ml's default).  spark.ml draws the first
-    # factors per block, so the factors depend on this number: it is a fixed
-    # setting, never taken from the cores.  Raise it with the data, so that a
-    # block fits one task
+    # blocks of users and of songs (spark.ml's default), and more where a block would
+    # hold more than so many (user, song) rows: a block must fit the heap of one task.
+    # spark.ml draws the first factors per block, so the factors depend on the
+    # number: it comes from these settings and the rows, never from the cores
     als_blocks: int = 10
+    als_rows_per_block: int = 4_000_000
 
     # K-means (M9): k 275 and spark.ml defaults otherwise
     k: int = 275

@@ -41,7 +41,7 @@ from .ctr import (
     top_notifications,
 )
 from .joins import bloom_filter, bloom_semi_join, bloom_words, repeated, salt_table, salted_join, with_salt
-from .factors import factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
+from .factors import als_blocks, factor_vectors, fit_taste_factors, standardise, user_factors, vectorize_columns
 
 __all__ = [
     "Activity", "build_activity", "index_ids", "label_frequencies", "play_counts", "rank_labels",
@@ -52,5 +52,5 @@ __all__ = [
     "click_counts", "clicked_audience", "notification_ctr", "notified_clicks", "target_counts",
     "target_counts_from_notified", "top_notifications",
     "bloom_filter", "bloom_semi_join", "bloom_words", "repeated", "salt_table", "salted_join", "with_salt",
-    "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",
+    "als_blocks", "factor_vectors", "fit_taste_factors", "standardise", "user_factors", "vectorize_columns",
 ]

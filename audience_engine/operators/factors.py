@@ -10,19 +10,32 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
+#: (user, song) rows of an ALS block, on average, at most.
+ROWS_PER_BLOCK = 4_000_000
+
+
+def als_blocks(rows: int, least: int = 10, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    """Blocks of users and of songs for so many (user, song) rows: ``least``, and more where a block
+    would hold more than ``rows_per_block`` rows.
+
+    spark.ml builds a block in one task, on the heap and outside Spark's memory management: 12 bytes a row in
+    the shuffled pieces, the growing arrays, their copy and the sort buffer, about 50 bytes a row together."""
+    return max(least, -(-rows // rows_per_block))
+
 
 def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg: float = 0.01,
                       alpha: float = 1.0, seed: int = 1, blocks: int = 10,
                       user_col: str = "UserIndex", item_col: str = "SongIndex",
-                      rating_col: str = "hits", checkpoint_interval: int = 4) -> ALSModel:
+                      rating_col: str = "hits", checkpoint_interval: int = 4,
+                      rows_per_block: int = ROWS_PER_BLOCK) -> ALSModel:
     """M4: implicit-feedback ALS on (user, song, hits).
 
     Always pass a seed: PySpark's default seed is a hash of the class name,
     which changes between Python processes.  ALS blocks its input by id and
     draws each block's first factors by block number, so the factors depend on
-    ``blocks``: a fixed number (10, spark.ml's default) that gives the same
-    factors on any cluster.  A block is one task per half-iteration; raise the
-    number with the data.
+    the number of blocks.  It comes from the activity's rows alone (``als_blocks``: ``blocks``,
+    10 as in spark.ml, up to 40 million rows), which gives the same factors on any
+    cluster.  A block is one task per half-iteration.
 
     The factor RDDs are checkpointed to the shared checkpoint folder every
     ``checkpoint_interval`` iterations (spark.ml's default of 10 never fires
@@ -30,6 +43,7 @@ def fit_taste_factors(activity: DataFrame, rank: int = 4, max_iter: int = 8, reg
     through every earlier iteration.  Checkpointing does not change the
     factors."""
     checkpoint_root(activity.sparkSession)  # ALS skips checkpoints without a dir
+    blocks = als_blocks(activity.count(), blocks, rows_per_block)  # a written table is counted from its footers
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol=user_col, itemCol=item_col, ratingCol=rating_col,
               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=checkpoint_interval)

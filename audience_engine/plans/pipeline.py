@@ -73,7 +73,7 @@ def cluster_listeners(plays: DataFrame, cfg: PipelineConfig = PipelineConfig())
     # what spark.ml keeps persisted is released once the vectors and the labels are written
     with released_blocks(spark):
         als = cache(lambda: fit_taste_factors(act.activity, rank=cfg.rank, max_iter=cfg.max_iter, reg=cfg.reg, alpha=cfg.alpha,
-                                              seed=cfg.als_seed, blocks=cfg.als_blocks))
+                                              seed=cfg.als_seed, blocks=cfg.als_blocks, rows_per_block=cfg.als_rows_per_block))
         factors = stage(spark, "factors", lambda: user_factors(als()))
         vectors = stage(spark, "vectors", lambda: standardise(factor_vectors(factors, include_id=cfg.include_id)))
         chosen = cache(lambda: cfg.k if not cfg.search_k else select_k(

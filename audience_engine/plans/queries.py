@@ -287,7 +287,7 @@ def _als(spark, sf_dir):
     act = build_activity(inputs_from_tables(spark, sf_dir).plays).activity
     with released_blocks(spark):
         model = fit_taste_factors(act, rank=CFG.rank, max_iter=CFG.max_iter, reg=CFG.reg, alpha=CFG.alpha,
-                                  seed=CFG.als_seed, blocks=CFG.als_blocks)
+                                  seed=CFG.als_seed, blocks=CFG.als_blocks, rows_per_block=CFG.als_rows_per_block)
         return act, cut_lineage(user_factors(model), "factors"), cut_lineage(model.itemFactors, "item-factors")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from audience_engine.config import PipelineConfig
 from audience_engine.operators import (
+    als_blocks,
     bloom_filter,
     bloom_semi_join,
     bloom_words,
@@ -214,6 +215,24 @@ def test_fits_at_64_partitions(spark):
     assert fits[0].transform(vectors).where(F.col("prediction") != nearest).count() == 0
 
 
+def test_als_blocks_grow_with_the_rows(spark):
+    """A block is built on the heap of one task, so above 40 million rows there are more than the ten of spark.ml."""
+    assert [als_blocks(n) for n in (0, 35_961_060, 40_000_000, 40_000_001, 215_766_360)] == [10, 10, 10, 11, 54]
+    plays = spark.createDataFrame([(str(u), str(u * s % 37)) for u in range(90) for s in range(1, 12)], "UserId string, SongId string")
+    act = build_activity(plays).activity
+    n = act.count()
+
+    def users(df):
+        return sorted((r["id"], tuple(r["features"])) for r in df.collect())
+    per_block = -(-n // 12)
+    blocks = als_blocks(n, 10, per_block)
+    assert blocks == 12 and act.groupBy(F.col("UserIndex") % blocks).count().agg(F.max("count")).first()[0] <= 2 * per_block
+    wanted = users(fit_taste_factors(act, max_iter=1, blocks=blocks).userFactors)
+    assert users(fit_taste_factors(act, max_iter=1).userFactors) != wanted
+    job = pipeline.cluster_listeners(plays, PipelineConfig(k=3, max_iter=1, als_rows_per_block=per_block, evaluate=False))
+    assert users(job.als.userFactors) == wanted
+
+
 # -- C7: stages ------------------------------------------------------------------------------
 
 def test_stages_are_named_read_again_and_replaced_if_unfinished(spark, tmp_path):
